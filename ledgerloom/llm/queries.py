@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import mixing, secret_scan
+from ledgerloom.llm import mixing, preference_format, secret_scan, token_rollup, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_rollup.op1_token_counts,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op6_preference_format": preference_format.op6_preference_format,
     "op7_mixing": mixing.op7_mixing,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLES = {
+    "op1_token_counts": token_rollup.ORACLE,
     "op3_secret_scan": secret_scan.ORACLE,
+    "op6_preference_format": preference_format.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
