@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import mixing, preference_format, secret_scan, token_rollup, url_filter
+from ledgerloom.llm import mixing, preference_format, quality_fm, secret_scan, simhash_dedup, token_rollup, url_filter
 
 QUERIES = {
     "op1_token_counts": token_rollup.op1_token_counts,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_quality_fm": quality_fm.op4_quality_fm,
+    "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_preference_format": preference_format.op6_preference_format,
     "op7_mixing": mixing.op7_mixing,
     "op10_url_filter": url_filter.op10_url_filter,
