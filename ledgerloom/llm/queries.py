@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, mixing, preference_format, quality_fm, secret_scan, simhash_dedup, token_rollup, url_filter
+from ledgerloom.llm import decontaminate, mixing, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
 
 QUERIES = {
     "op1_token_counts": token_rollup.op1_token_counts,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_preference_format": preference_format.op6_preference_format,
     "op7_mixing": mixing.op7_mixing,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_url_filter": url_filter.op10_url_filter,
 }
