@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, mixing, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
+from ledgerloom.llm import decontaminate, media_copies, mixing, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
 
 QUERIES = {
     "op1_token_counts": token_rollup.op1_token_counts,
+    "op2_media_copies": media_copies.op2_media_copies,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
