@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,6 @@ def regex_counter(version: str):
 
 def bpe_counter(path: str, pattern: str = r"\p{L}+|\p{N}{1,3}|[^\p{L}\p{N}\s]+|\s+"):
     """Counts by a public byte-pair vocabulary (a tiktoken file at `path`), whole texts in Arrow batches."""
-    import pandas as pd
 
     @F.pandas_udf("long")
     def count(batches: pd.Series) -> pd.Series:
