@@ -463,3 +463,24 @@ def code_already_provided(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem")
     has = F.max(F.when(F.col("l_linenumber") <= 2, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1
     return rows.select("l_orderkey", F.row_number().over(w).cast("long").alias("seq"), has.alias("code_provided"))
+
+
+@query(None)
+def keccak_digests(spark, sf_dir):
+    """Keccak-256, which SQL lacks; the tests hold it against known answers."""
+    from ledgerloom.functions.keccak import keccak256
+
+    return read(spark, sf_dir, "part").select("p_partkey", F.lower(F.hex(keccak256(F.col("p_name").cast("binary")))).alias("digest"))
+
+
+@query(None)
+def storage_trie_roots(spark, sf_dir):
+    """A Merkle Patricia root for each supplier: keys are digests of its lines, values their encoded amounts."""
+    from ledgerloom.functions.keccak import keccak256
+    from ledgerloom.plans.trie import trie_roots
+
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_linenumber").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
+    key = F.unhex(F.sha2(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).cast("binary"), 256))
+    value = F.concat(F.unhex(F.lit("88")), codec.u64_be(F.col("amount")))
+    roots = trie_roots(rows.select(codec.u64_be(F.col("l_suppkey")).alias("owner"), keccak256(key).alias("key"), value.alias("value")))
+    return roots.select(codec.u64_from_be(F.col("owner")).cast("long").alias("l_suppkey"), F.lower(F.hex("root")).alias("root"), F.col("n").alias("slots"))
