@@ -62,8 +62,8 @@ def test_trie_known_root_and_split(spark):
         want[owner] = trie.root_of(leaves)
         rows += [(bytearray(owner), bytearray(k), bytearray(v)) for k, v in leaves.items()]
     df = spark.createDataFrame(rows, "owner binary, key binary, value binary")
-    for split in (1, 2):
-        got = {bytes(r.owner): (bytes(r.root), r.n) for r in trie.trie_roots(df, split).collect()}
+    for split, large in ((1, 2), (2, 0), (2, 1000)):
+        got = {bytes(r.owner): (bytes(r.root), r.n) for r in trie.trie_roots(df, split, large).collect()}
         assert got == {o: (want[o], n) for o, n in owners.items()}
 
 
