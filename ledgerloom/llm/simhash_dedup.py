@@ -14,7 +14,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import join_weighted, small_batches, staged, table
+from ledgerloom.llm.common import fresh, join_weighted, small_batches, staged, table
 from ledgerloom.llm.components import connected
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -145,4 +145,5 @@ def stage(spark, docs, sf_dir):
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
     rank = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return kept.withColumn("__rank", F.row_number().over(rank)).where("__rank = 1").select(*docs.columns)
+    place = fresh(docs, "place")
+    return kept.withColumn(place, F.row_number().over(rank)).where(F.col(place) == 1).drop(place)
