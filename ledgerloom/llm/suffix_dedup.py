@@ -1,14 +1,14 @@
 """Repeated passages by sparse suffixes.
 
 Of a text's suffixes only those at minimisers are retained: in every SPAN consecutive word positions, the leftmost with
-the least hash of its next GRAM words. Two texts that share a passage of LEAST words retain the same suffix of it, with
-PREFIX of the passage's words still to come. Suffixes are brought into order by their first PREFIX words, so that equal
-ones are neighbours; those with a neighbour in another document are kept, and their matches are extended to the left
-and right: each passage of LEAST words around a kept suffix is compared with those of its neighbours, and what is
-shared is joined into the longest passages.
+the least hash of its next GRAM words. Each passage of LEAST words belongs to the suffix retained in its first SPAN
+positions, which has PREFIX of the passage's words still to come; texts that share the passage retain the same one.
+Suffixes are brought into order by those PREFIX words, so that equal ones are neighbours, and one without a neighbour
+from another document is dropped. Matches are then extended left and right: as far as all passages of the suffix reach,
+which settles the inside of whatever is shared; and at the ends of matches passage by passage.
 
 Order means equality here, not rank: the neighbours' comparison is an aggregate by prefix, which combines a hot prefix
-before the shuffle where a sorted run of it would be one task's.
+before the shuffle, where a sorted run of it would be one task's.
 """
 
 from __future__ import annotations
@@ -87,8 +87,20 @@ def minimisers(codes: np.ndarray) -> np.ndarray:
     return place
 
 
+def intervals(codes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of codes[low:high] for each pair of ends: differences of sums of codes by powers, brought to one power."""
+    n = len(codes) + 1
+    up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, ODD)]))
+    down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(pow(int(ODD), -1, 1 << 64)))]))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * up[:-1])])
+    return _both((sums[high] - sums[low]) * down[low], (high - low).astype(np.uint64))
+
+
 def _suffixes(batches):
-    """(doc_id, text) to (doc_id, prefix, pos): the retained suffixes that begin a passage of LEAST words or lie in it."""
+    """(doc_id, text) to (doc_id, prefix, reach, start, n): the retained suffixes; n passages of LEAST words belong to one, from start on.
+
+    prefix hashes the suffix's first PREFIX words; reach all words of its passages, and where in them the suffix begins.
+    """
     codes = Codes()
     for batch in batches:
         at, texts = 0, batch.column(1)
@@ -103,29 +115,30 @@ def _suffixes(batches):
             lengths = np.array([len(p) for p in parts])
             if len(flat) < LEAST:
                 continue
-            ends = np.repeat(np.cumsum(lengths), lengths)
-            start = np.arange(len(flat) - LEAST + 1)
-            places = minimisers(flat)
-            whole = start + LEAST <= ends[: len(start)]  # passages that lie in one text
-            pos = np.unique(places[: len(start)][whole])
-            row = np.searchsorted(np.cumsum(lengths), pos, "right")
-            begin = np.cumsum(lengths) - lengths
+            ends = np.cumsum(lengths)
+            start = np.flatnonzero(np.arange(len(flat) - LEAST + 1) + LEAST <= np.repeat(ends, lengths)[: len(flat) - LEAST + 1])  # passages that lie in one text
+            if not len(start):
+                continue
+            place = minimisers(flat)[start].astype(np.int64)
+            new = np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)])
+            begin = np.flatnonzero(new)
+            low, pos, n = start[begin], place[begin], np.diff(np.append(begin, len(start)))
+            row = np.searchsorted(ends, low, "right")
+            reach = _both(intervals(flat, low, low + n + LEAST - 1), (pos - low).astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[first:at][row], pa.int64()), pa.array(hashed(flat, PREFIX)[pos].view(np.int64)), pa.array((pos - begin[row]).astype(np.int32))],
-                names=["doc_id", "prefix", "pos"],
+                [pa.array(ids[first:at][row], pa.int64()), pa.array(hashed(flat, PREFIX)[pos].view(np.int64)), pa.array(reach.view(np.int64)), pa.array((low - (ends - lengths)[row]).astype(np.int32)), pa.array(n.astype(np.int32))],
+                names=["doc_id", "prefix", "reach", "start", "n"],
             )
 
 
 def _passages(batches):
-    """(doc_id, text, kept positions) to (doc_id, start, passage): the hash of LEAST words from each start whose suffix is kept."""
+    """(doc_id, text, places: start and n) to (doc_id, start, passage): the hash of LEAST words from each of those starts."""
     codes = Codes()
     for batch in batches:
-        for doc, text, kept in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            words = coded(text.as_py() or b"", codes)
-            if len(words) < LEAST:
-                continue
-            passage = hashed(words, LEAST)
-            start = np.flatnonzero(np.isin(minimisers(words)[: len(passage)], kept.values.to_numpy(zero_copy_only=False)))
+        for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            passage = hashed(coded(text.as_py() or b"", codes), LEAST)
+            start = np.unique(np.concatenate([np.arange(p["start"], p["start"] + p["n"]) for p in places]))
+            start = start[start < len(passage)]
             for k in range(0, len(start), CHUNK):
                 some = start[k : k + CHUNK]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), doc, dtype=np.int64)), pa.array(some.astype(np.int32)), pa.array(passage[some].view(np.int64))], names=["doc_id", "start", "passage"])
@@ -135,21 +148,32 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, n_words, other_id: the passages of LEAST words or more that another document (doc_id, text) has too.
 
     Words are what white space parts, as they are written. Passages of a document are as long as each LEAST words of
-    them repeat; other_id is the smallest of the ids with which its LEAST-word parts are shared, taking of each part the
-    smallest (where that is the document's own, the largest). Null texts are empty;
-    rows without an id are left out; rows of one id are one document, so that a row that is repeated is no repetition.
+    them repeat; other_id is the smallest that was met of the ids with which parts of it are shared. Null texts are
+    empty; rows without an id are left out; rows of one id are one document, so that a row that is repeated is no
+    repetition.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text")).where("doc_id IS NOT NULL")
-    suffixes = staged(texts.mapInArrow(_suffixes, "doc_id long, prefix long, pos int"), "suffixes")
-    shared = suffixes.groupBy("prefix").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b").select("prefix")
-    kept = suffixes.join(shared, "prefix", "left_semi").groupBy("doc_id").agg(F.collect_list("pos").alias("kept"))
-    passages = staged(texts.join(kept, "doc_id").select("doc_id", "text", "kept").mapInArrow(_passages, "doc_id long, start int, passage long"), "passages")
-    owners = passages.groupBy("passage").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b")
-    hits = passages.join(owners, "passage").select("doc_id", "start", F.when(F.col("a") == F.col("doc_id"), F.col("b")).otherwise(F.col("a")).alias("other"))
-    once = hits.groupBy("doc_id", "start").agg(F.min("other").alias("other"))
-    island = once.withColumn("island", F.col("start") - F.row_number().over(Window.partitionBy("doc_id").orderBy("start")))
-    return island.groupBy("doc_id", "island").agg(F.min("start").alias("start_word"), (F.count("*") + (LEAST - 1)).cast("int").alias("n_words"), F.min("other").alias("other_id")).drop("island")
+    suffixes = staged(texts.mapInArrow(_suffixes, "doc_id long, prefix long, reach long, start int, n int"), "suffixes")
+    owners = lambda df, *by: df.groupBy(*by).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    other = F.when(F.col("a") == F.col("doc_id"), F.col("b")).otherwise(F.col("a")).alias("other")
+    kept = staged(suffixes.join(owners(suffixes, "prefix").where("a != b").select("prefix"), "prefix", "left_semi"), "kept-suffixes")
+    reaches = staged(owners(kept, "prefix", "reach").withColumn("shared", F.col("a") != F.col("b")), "reaches")
+    within = kept.join(reaches.where("shared"), ["prefix", "reach"]).select("doc_id", "start", "n", other)
+    # ends of matches: reaches of one document, and, for them to be compared with, one document of each other reach of the prefix
+    lone = reaches.where("NOT shared").select("prefix").distinct()
+    against = reaches.where("shared").join(lone, "prefix", "left_semi").select("prefix", "reach", F.col("a").alias("doc_id"))
+    ends = kept.join(reaches.where("NOT shared").select("prefix", "reach"), ["prefix", "reach"], "left_semi").select("doc_id", "start", "n")
+    ends = ends.unionByName(kept.join(against, ["prefix", "reach", "doc_id"], "left_semi").select("doc_id", "start", "n"))
+    places = ends.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("places"))
+    passages = staged(texts.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_passages, "doc_id long, start int, passage long"), "passages")
+    single = passages.join(owners(passages, "passage").where("a != b"), "passage").select("doc_id", "start", F.lit(1).alias("n"), other)
+    every = within.unionByName(single)
+    by_start = Window.partitionBy("doc_id").orderBy("start", "n")
+    reached = F.max(F.col("start") + F.col("n")).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    island = every.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    out = island.groupBy("doc_id", "island").agg(F.min("start").alias("start_word"), F.max(F.col("start") + F.col("n")).alias("end"), F.min("other").alias("other_id"))
+    return out.select("doc_id", "start_word", (F.col("end") - F.col("start_word") + (LEAST - 1)).cast("int").alias("n_words"), "other_id")
 
 
 def op8_suffix_dedup(spark, sf_dir):
