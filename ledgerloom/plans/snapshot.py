@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import rlp
@@ -228,6 +228,29 @@ def verify(spark: SparkSession, target: str, state: State, root: bytes, scheme:
     return {r["kind"]: {"keys": r["keys"], "bytes": r["bytes"]} for r in rows}
 
 
+#: Prefixes of a light client's service records, and the key of a snapshot's root.
+SERVICE = ("cumulativeTime:", "_globalCostFactor", "chtIndexV2-", "bltIndex-", "cht-", "blt-", "chtRootV2-", "bltRoot-")
+SNAPSHOT_ROOT = "SnapshotRoot"
+
+
+def foreign_key(key: Column, content: Column) -> Column:
+    """Whether a key is of a layout or service that pruning does not know: light clients' records, prefixed code, trie nodes by path.
+
+    All by length, prefix and hex form, so that a scan of the inventory stays in the JVM.
+    """
+    size, digits = F.octet_length(key), F.hex(key)
+    out = (key == F.lit(bytearray(SNAPSHOT_ROOT.encode()))) | ((size == 33) & key.startswith(_bin(CODE)) & (F.substring(key, 2, 32) == content))
+    for prefix in SERVICE:
+        out = out | key.startswith(_bin(prefix.encode()))
+    balance = digits.rlike("^000[01]") & (size > 5)
+    rest = F.substring(key, 6, 1 << 20).cast("string")
+    quad = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    address = rest.rlike(rf"^{quad}([.]{quad}){{3}}$") | (rest.rlike("^[0-9a-fA-F:.]*:[0-9a-fA-F:.]*:[0-9a-fA-F:.]*(%.+)?$")) | rest.rlike("^[0-9a-fA-F]{64}$")
+    out = out | (balance & (F.substring(key, 3, 3) == _bin(b"pb:")) & (size == 37)) | (balance & (F.substring(key, 3, 3) == _bin(b"nb:")) & address)
+    by_path = digits.rlike("^41(0[0-9A-F]){0,63}$") | digits.rlike("^4F[0-9A-F]{64}(0[0-9A-F]){0,63}$")
+    return out | by_path
+
+
 def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: bytes | None = None) -> dict:
     """Marks what the head's state reaches (and the genesis root's node), sweeps other rows that their own digest keys.
 
@@ -239,10 +262,9 @@ def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: b
     if genesis_root is not None:
         keep = keep.unionByName(kv.where(F.col("key") == _bin(genesis_root)))
     keep = keep.dropDuplicates(["key"])
-    foreign = F.col("key").startswith(_bin(b"les-")) | ((F.octet_length("key") == 33) & F.col("key").startswith(_bin(CODE)))
-    if bad := kv.where(foreign).first():
-        raise ValueError(f"key {bytes(bad.key).hex()} is of another layout")
     rows = staged(merge.ordered_diff(kv.withColumn("content", keccak256(F.col("value"))), keep, "key", "value", F.octet_length("key") == 32, F.col("content") == F.col("key")), "prune-roles")
+    if bad := rows.where(~F.col("role").isin("delete", "retain") & foreign_key(F.col("key"), F.col("content"))).first():
+        raise ValueError(f"key {bytes(bad.key).hex()} is of another layout")
     faults = rows.where(F.col("role").isin("missing", "conflict")).first()
     if faults:
         raise ValueError(f"kept key {bytes(faults.key).hex()}: {faults.role}")
