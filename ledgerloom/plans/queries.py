@@ -99,8 +99,8 @@ def point_lookup_chain(spark, sf_dir):
     head = o.agg(F.max_by(F.struct("o_orderkey", "o_custkey"), "o_orderkey").alias("h")).select("h.*")
     return (
         head.join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(read(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("o_orderkey", "c_name", "n_name", "r_name")
     )
 
