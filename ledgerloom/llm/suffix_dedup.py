@@ -160,9 +160,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     kept = staged(suffixes.join(owners(suffixes, "prefix").where("a != b").select("prefix"), "prefix", "left_semi"), "kept-suffixes")
     reaches = staged(owners(kept, "prefix", "reach").withColumn("shared", F.col("a") != F.col("b")), "reaches")
     within = kept.join(reaches.where("shared"), ["prefix", "reach"]).select("doc_id", "start", "n", other)
-    # ends of matches: reaches of one document, and, for them to be compared with, one document of each other reach of the prefix
+    # ends of matches: reaches of one document, and, for them to be compared with, two documents of each other reach of the prefix, of which one is another's
     lone = reaches.where("NOT shared").select("prefix").distinct()
-    against = reaches.where("shared").join(lone, "prefix", "left_semi").select("prefix", "reach", F.col("a").alias("doc_id"))
+    against = reaches.where("shared").join(lone, "prefix", "left_semi").select("prefix", "reach", F.explode(F.array("a", "b")).alias("doc_id"))
     ends = kept.join(reaches.where("NOT shared").select("prefix", "reach"), ["prefix", "reach"], "left_semi").select("doc_id", "start", "n")
     ends = ends.unionByName(kept.join(against, ["prefix", "reach", "doc_id"], "left_semi").select("doc_id", "start", "n"))
     places = ends.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("places"))

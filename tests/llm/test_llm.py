@@ -227,6 +227,21 @@ def test_repeated_passages_equal_brute_force(spark):
     assert suffix_dedup.repeated_passages(nothing(spark)).count() == 0
 
 
+def test_passages_repeated_within_a_document_are_found(spark):
+    """A reach of one document, whose passages another has in a reach that both share."""
+    x, p, y, z, w = (words(n, seed).split() for n, seed in ((150, 61), (70, 62), (150, 63), (60, 64), (80, 65)))
+    tokens = {1: x + p + y + z + p + w, 2: x + p + y}
+    owner: dict = {}
+    for i, t in tokens.items():
+        for k in range(len(t) - 50):
+            owner.setdefault(tuple(t[k : k + 51]), set()).add(i)
+    want = {(i, k) for i, t in tokens.items() for k in range(len(t) - 50) if len(owner[tuple(t[k : k + 51])]) > 1}
+    for order in ((1, 2), (2, 1)):  # either document has the smaller id
+        docs = spark.createDataFrame([(order[i - 1], " ".join(t)) for i, t in tokens.items()], "doc_id long, text string")
+        got = {(r.doc_id, k) for r in suffix_dedup.repeated_passages(docs).collect() for k in range(r.start_word, r.start_word + r.n_words - 50)}
+        assert got == {(order[i - 1], k) for i, k in want} and {(order[0], k) for k in range(430, 450)} <= got
+
+
 def edits(a, text):
     """Least edits from a to any part of text."""
     row = [0] * (len(text) + 1)
