@@ -23,8 +23,8 @@ SEGMENT, STARTS = 48, (0, 40, 80)
 TURNS = 32
 #: Bits in which matching descriptors may differ; pixels by which a match may miss the transform; matches that must agree.
 DIFFER, MISS, AGREE = 32, 3.0, 6
-#: Images of the usual size that are described at once.
-IMAGES = 64
+#: Images of the usual size that are described at once; images of a block, of which a larger bucket has several.
+IMAGES, BUCKET = 64, 256
 
 
 def _tests(seed: int = 5):
@@ -175,40 +175,36 @@ def _verified(batches):
 def _linked(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points agree, as (u, v)."""
     of = lambda s: points.select(F.col("image_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("xs", "ys", "bits")])
-    both = pairs.distinct().join(of("a"), "a").join(of("b"), "b").select("a", "b", "xs_a", "ys_a", "bits_a", "xs_b", "ys_b", "bits_b")
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "xs_a", "ys_a", "bits_a", "xs_b", "ys_b", "bits_b")
     return staged(both.mapInArrow(_verified, "u long, v long"), "media-links")
 
 
+def _met(entry: DataFrame) -> DataFrame:
+    """entry (key, image_id) to the distinct pairs (a, b), a < b, that share a key; a large bucket's are formed by blocks against blocks, in many tasks."""
+    sized = entry.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int"))
+    sized = staged(sized.withColumn("block", F.pmod(F.xxhash64("image_id"), "blocks").cast("int")).drop("n"), "media-buckets")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = sized.select("key", F.col("image_id").alias("a"), F.col("block").alias("i"), every.alias("j"))
+    right = sized.select("key", F.col("image_id").alias("b"), every.alias("i"), F.col("block").alias("j"))
+    return left.join(right, ["key", "i", "j"]).where("a < b").select("a", "b").distinct()
+
+
 def copies(images: DataFrame) -> DataFrame:
     """image_id, component_id, links of every image (image_id, width, height, pixels: 8 bits of grey, by rows).
 
     component_id is the smallest id that links reach; links counts the verified ones of the image's class of equal
-    pixels, in which one stands for all. Any two classes that share a table key are compared, or are in one component
-    before: a bucket's images are compared with its first, then, where that has left several components, with its last,
-    and only what lies in different components even then in pairs. So a large group of copies gives no pairs, and no
-    link between components is lost. Null pixels, and sizes that do not fit them, have no points: only equal ones link.
+    pixels, in which one stands for all. Any two classes that share a table key are compared, so that a group of n
+    different copies gives up to n * (n - 1) / 2 links, all of which are counted. Null pixels, and sizes that do not fit
+    them, have no points: only equal ones link.
     """
     small_batches(images.sparkSession, 4 * IMAGES)
     rows = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors, "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
     points = rows.where("image_id IS NOT NULL")
     classes = staged(rows.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n")), "media-classes")
     entry = points.join(classes.select(F.col("first").alias("image_id")), "image_id", "left_semi").dropDuplicates(["image_id"]).select("image_id", "bits").mapInArrow(_keys, "key long, image_id long")
-    bucket = Window.partitionBy("key")
-    met = staged(entry.withColumn("hub", F.min("image_id").over(bucket)).withColumn("n", F.count("*").over(bucket)).where("n > 1").drop("n"), "media-buckets")
-    links = _linked(met.where("image_id != hub").select(F.col("hub").alias("a"), F.col("image_id").alias("b")), points)
-    for last in (False, True):
-        roots = staged(connected(links), "media-roots")
-        placed = met.select("key", "image_id").join(roots, met["image_id"] == roots["node"], "left").select("key", "image_id", F.coalesce("root", "image_id").alias("root"))
-        met = placed.withColumn("one", F.min("root").over(bucket)).withColumn("other", F.max("root").over(bucket)).withColumn("far", F.max(F.struct("image_id", "root")).over(bucket))
-        met = staged(met.where("one != other").select("key", "image_id", "root", "far"), "media-buckets")
-        if last:
-            right = met.select("key", F.col("image_id").alias("b"), F.col("root").alias("root_b"))
-            pairs = met.join(right, "key").where("image_id < b AND root != root_b").select(F.col("image_id").alias("a"), "b")
-        else:
-            pairs = met.where("root != far.root").select(F.col("image_id").alias("a"), F.col("far.image_id").alias("b"))
-        links = links.unionByName(_linked(pairs, points))
+    links = _linked(_met(entry), points)
     roots = staged(connected(links), "media-roots")
-    counted = links.distinct().select(F.explode(F.array("u", "v")).alias("first")).groupBy("first").agg(F.count("*").alias("links"))
+    counted = links.select(F.explode(F.array("u", "v")).alias("first")).groupBy("first").agg(F.count("*").alias("links"))
     labels = classes.join(roots, classes["first"] == roots["node"], "left").join(counted, "first", "left")
     labels = staged(labels.select("digest", F.coalesce("root", "first").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"), "n"), "media-labels")
     return join_weighted(rows.select("image_id", "digest"), labels, "digest", "n").select("image_id", "component_id", "links")

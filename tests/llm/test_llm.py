@@ -307,6 +307,39 @@ def test_images(spark):
     assert media_copies.copies(media.limit(0)).count() == 0
 
 
+IMAGES = "image_id long, width int, height int, pixels binary"
+
+
+def picture(seed, side, cell=4):
+    """Smooth random grey of side x side, whose patches are some `cell` pixels wide."""
+    grid = np.random.default_rng(seed).normal(0, 1, (side // cell + 2,) * 2)
+    at = np.arange(side) / cell
+    low, part = at.astype(int), at - at.astype(int)
+    rows = grid[low] * (1 - part[:, None]) + grid[low + 1] * part[:, None]
+    return np.clip(128 + 45 * (rows[:, low] * (1 - part) + rows[:, low + 1] * part), 0, 255)
+
+
+def media(spark, images):
+    return spark.createDataFrame([(i, a.shape[1], a.shape[0], bytearray(np.clip(a, 0, 255).astype(np.uint8).tobytes())) for i, a in images.items()], IMAGES)
+
+
+def noisy(a, by, seed):
+    return a + np.random.default_rng(seed).normal(0, by, a.shape)
+
+
+@pytest.mark.parametrize("bucket", [256, 3])
+def test_image_links_are_all_counted(spark, monkeypatch, bucket):
+    """Two groups of edited copies, in each of which every two are copies."""
+    monkeypatch.setattr(media_copies, "BUCKET", bucket, raising=False)
+    images = {10 * g + k: noisy(picture(g, 96), 1, 10 * g + k) for g in (1, 2) for k in range(7)}
+    df = media(spark, images)
+    described = {r: media_copies.describe(np.clip(a, 0, 255).astype(np.uint8)[None], media_copies._tests())[0] for r, a in images.items()}
+    full = {i: (np.array(z), np.array(d).view(np.uint64)) for i, (z, d) in described.items()}
+    want = {i: sum(media_copies.agreeing(*full[min(i, j)], *full[max(i, j)]) >= media_copies.AGREE for j in images if j != i) for i in images}
+    assert set(want.values()) == {6}
+    assert {r.image_id: (r.component_id, r.links) for r in media_copies.copies(df).collect()} == {i: (i // 10 * 10, n) for i, n in want.items()}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
