@@ -18,11 +18,12 @@ from ledgerloom.llm.components import connected
 #: Pyramid: scale and corners kept of each level (the strongest local maxima).
 LEVELS = ((1.0, 16), (0.7, 8))
 #: Bits of a descriptor, radius of the patch in which orientation and tests lie; bits of a table's key, where the tables' segments begin.
-BITS, RADIUS = 128, 10
-SEGMENT, STARTS = 48, (0, 40, 80)
+BITS, RADIUS = 256, 10
+SEGMENT = 32
+STARTS = tuple(range(0, BITS, SEGMENT))
 TURNS = 32
 #: Bits in which matching descriptors may differ; pixels by which a match may miss the transform; matches that must agree.
-DIFFER, MISS, AGREE = 32, 3.0, 6
+DIFFER, MISS, AGREE = 64, 3.0, 6
 #: Images of the usual size that are described at once; images of a block, of which a larger bucket has several.
 IMAGES, BUCKET = 64, 256
 
@@ -213,7 +214,7 @@ def copies(images: DataFrame) -> DataFrame:
 # --- images to look at: the tables hold none, so each vector is drawn, and once more as a cropped and edited copy
 
 #: Side of an image and of its copy; cells of the grid that a vector is drawn on.
-SIDE, CUT, GRID = 96, 78, 40
+SIDE, CUT, GRID = 96, 78, 24
 
 
 def _drawn(batches):

@@ -340,6 +340,17 @@ def test_image_links_are_all_counted(spark, monkeypatch, bucket):
     assert {r.image_id: (r.component_id, r.links) for r in media_copies.copies(df).collect()} == {i: (i // 10 * 10, n) for i, n in want.items()}
 
 
+def found(spark, pairs):
+    """Of pairs of an image and its copy, how many are in one component; of different ones none are."""
+    got = {r.image_id: r.component_id for r in media_copies.copies(media(spark, {2 * n + k: a for n, pair in enumerate(pairs) for k, a in enumerate(pair)})).collect()}
+    assert len(got) == 2 * len(pairs) and all(c // 2 == i // 2 for i, c in got.items())
+    return sum(got[2 * n + 1] == 2 * n for n in range(len(pairs)))
+
+
+def test_images_with_strong_noise_are_candidates(spark):
+    assert found(spark, [(picture(s, 96), noisy(picture(s, 96), 20, s)) for s in range(40)]) >= 39
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
