@@ -1,6 +1,6 @@
 """Cropped or edited copies among images, by local descriptors.
 
-Corners are found on a pyramid of scales; around each, binary tests between pairs of pixels are turned by the patch's
+Corners, a number by area, are found on a pyramid of scales; around each, binary tests between pairs of pixels are turned by the patch's
 orientation. A descriptor's segments are keys of hash tables: images that share a key are compared in full, descriptor
 by descriptor under Hamming distance, and are copies if enough matches agree on one similarity transform.
 """
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import join_weighted, small_batches, staged, table
 from ledgerloom.llm.components import connected
 
-#: Pyramid: scale and corners kept of each level (the strongest local maxima).
-LEVELS = ((1.0, 16), (0.7, 8))
+#: Pyramid: scales of its levels, which cover the turns that are accepted; a corner is the strongest so many pixels around, so that their number grows with the area.
+LEVELS = tuple(0.8**k for k in range(5))
+APART = 6
 #: Bits of a descriptor, radius of the patch in which orientation and tests lie; bits of a table's key, where the tables' segments begin.
 BITS, RADIUS = 256, 10
 SEGMENT = 32
@@ -26,6 +27,10 @@ TURNS = 32
 DIFFER, MISS, AGREE = 64, 3.0, 6
 #: Images of the usual size that are described at once; images of a block, of which a larger bucket has several.
 IMAGES, BUCKET = 64, 256
+#: Transforms that may agree by chance, of two images.
+CHANCE = 0.05
+#: Corners that are described at once; distances, or points under transforms, that are worked out at once.
+CORNERS, CELLS = 4096, 1 << 21
 
 
 def _tests(seed: int = 5):
@@ -57,12 +62,24 @@ def _scaled(a: np.ndarray, scale: float) -> np.ndarray:
     return a
 
 
+def _highest(a: np.ndarray) -> np.ndarray:
+    """The largest value up to APART pixels around each, by axes."""
+    for axis in (1, 2):
+        pad = [(0, 0)] * 3
+        pad[axis] = (APART, APART)
+        wide, n = np.pad(a, pad, mode="edge"), a.shape[axis]
+        a = np.take(wide, range(n), axis)
+        for k in range(1, 2 * APART + 1):
+            np.maximum(a, np.take(wide, range(k, k + n), axis), out=a)
+    return a
+
+
 def describe(images: np.ndarray, tests: np.ndarray) -> list:
     """Images of one size (n, h, w) to, for each, (points as x + iy, descriptors of BITS / 8 bytes)."""
     found = [([], []) for _ in images]
     disc = np.array([(x, y) for y in range(-7, 8) for x in range(-7, 8) if x * x + y * y <= 49])
     edge = RADIUS + 1
-    for scale, most in LEVELS:
+    for scale in LEVELS:
         a = _box(_scaled(images.astype(np.float32), scale), 3)
         n, h, w = a.shape
         if min(h, w) <= 2 * edge:
@@ -72,25 +89,18 @@ def describe(images: np.ndarray, tests: np.ndarray) -> list:
         xx, yy, xy = _box(gx * gx, 5), _box(gy * gy, 5), _box(gx * gy, 5)
         corner = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
         inner = corner[:, edge:-edge, edge:-edge]
-        top = inner.copy()
-        for dy in (-1, 0, 1):
-            for dx in (-1, 0, 1):
-                np.maximum(top, corner[:, edge + dy : h - edge + dy, edge + dx : w - edge + dx], out=top)
-        peak = np.where((inner >= top) & (inner > 1.0), inner, 0).reshape(n, -1)
-        count = min(most, peak.shape[1])
-        best = np.argsort(-peak, axis=1, kind="stable")[:, :count]
-        which, kth = np.nonzero(np.take_along_axis(peak, best, 1) > 0)
-        spot = best[which, kth]
-        y, x = spot // inner.shape[2] + edge, spot % inner.shape[2] + edge
-        patch = a[which[:, None], y[:, None] + disc[:, 1], x[:, None] + disc[:, 0]]
-        turn = np.rint(np.arctan2(patch @ disc[:, 1], patch @ disc[:, 0]) * TURNS / (2 * np.pi)).astype(np.int64) % TURNS
-        offset = tests[turn]
-        value = a[which[:, None, None], np.clip(y[:, None, None] + offset[..., 1], 0, h - 1), np.clip(x[:, None, None] + offset[..., 0], 0, w - 1)]
-        bits = np.packbits(value[..., 0] < value[..., 1], axis=1)
-        points = ((x + 0.5) + 1j * (y + 0.5)) / scale
-        for k, i in enumerate(which):
-            found[i][0].append(points[k])
-            found[i][1].append(bits[k])
+        every = np.nonzero((inner >= _highest(inner)) & (inner > 1.0))
+        for k in range(0, len(every[0]), CORNERS):
+            which, y, x = every[0][k : k + CORNERS], every[1][k : k + CORNERS] + edge, every[2][k : k + CORNERS] + edge
+            patch = a[which[:, None], y[:, None] + disc[:, 1], x[:, None] + disc[:, 0]]
+            turn = np.rint(np.arctan2(patch @ disc[:, 1], patch @ disc[:, 0]) * TURNS / (2 * np.pi)).astype(np.int64) % TURNS
+            offset = tests[turn]
+            value = a[which[:, None, None], np.clip(y[:, None, None] + offset[..., 1], 0, h - 1), np.clip(x[:, None, None] + offset[..., 0], 0, w - 1)]
+            bits = np.packbits(value[..., 0] < value[..., 1], axis=1)
+            points = ((x + 0.5) + 1j * (y + 0.5)) / scale
+            for at, i in enumerate(which):
+                found[i][0].append(points[at])
+                found[i][1].append(bits[at])
     return found
 
 
@@ -137,26 +147,69 @@ def _keys(batches):
         yield pa.RecordBatch.from_arrays([cat(keys), cat(ids)], names=["key", "image_id"])
 
 
+def _nearest(da: np.ndarray, db: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (i, j) of descriptors that are each other's nearest, and at DIFFER bits or fewer; some rows at a time."""
+    to, to_at = np.empty(len(da), dtype=np.int64), np.empty(len(da), dtype=np.int64)
+    back, back_at = np.zeros(len(db), dtype=np.int64), np.full(len(db), BITS + 1)
+    step = max(1, CELLS // len(db))
+    for k in range(0, len(da), step):
+        apart = np.bitwise_count(da[k : k + step, None] ^ db[None]).sum(axis=2, dtype=np.int64)
+        to[k : k + step], to_at[k : k + step] = apart.argmin(axis=1), apart.min(axis=1)
+        least = apart.min(axis=0)
+        back = np.where(least < back_at, apart.argmin(axis=0) + k, back)
+        back_at = np.minimum(least, back_at)
+    own = np.flatnonzero((back[to] == np.arange(len(da))) & (to_at <= DIFFER))
+    return own, to[own]
+
+
+def _places(z: np.ndarray) -> np.ndarray:
+    """For each point the first that stands for it: levels find one corner several times."""
+    label = np.full(len(z), -1)
+    for i in range(len(z)):
+        if label[i] < 0:
+            label[(label < 0) & (np.abs(z - z[i]) <= 2 * MISS)] = i
+    return np.unique(label, return_inverse=True)[1]
+
+
+def _needed(m: int, z: np.ndarray) -> int:
+    """Places that must agree: AGREE, or as many as chance is not expected to bring together among the transforms of m matches to points z."""
+    by_chance = m * np.pi * MISS * MISS / max(float(np.ptp(z.real) * np.ptp(z.imag)), 1.0)
+    term, tail = np.exp(-by_chance), 1.0
+    for k in range(m):
+        if k + 2 >= AGREE and m * m / 2 * tail < CHANCE:
+            return k + 2
+        tail, term = tail - term, term * by_chance / (k + 1)
+    return max(m + 1, AGREE)
+
+
 def agreeing(za: np.ndarray, da: np.ndarray, zb: np.ndarray, db: np.ndarray) -> int:
-    """The most matches of two images' points that one turn, scale and shift brings together."""
+    """Places of the matches of two images' points that one turn, scale and shift brings together: the most, or the first AGREE or more that are met; fewer than AGREE where chance would do as much."""
     if not len(za) or not len(zb):
         return 0
-    apart = np.bitwise_count(da[:, None] ^ db[None]).sum(axis=2, dtype=np.int64)
-    to, back = apart.argmin(axis=1), apart.argmin(axis=0)
-    own = np.flatnonzero((back[to] == np.arange(len(za))) & (apart[np.arange(len(za)), to] <= DIFFER))
+    own, to = _nearest(da, db)
     if len(own) < AGREE:
         return 0
-    a, b = za[own], zb[to[own]]
-    i, j = np.triu_indices(len(a), 1)
-    far = np.abs(a[i] - a[j]) > 2 * MISS
-    i, j = i[far], j[far]
-    if not len(i):
+    a, b = za[own], zb[to]
+    places = _places(a), _places(b)
+    if min(p.max() for p in places) + 1 < AGREE:
         return 0
-    turn = (b[i] - b[j]) / (a[i] - a[j])
-    fair = (np.abs(turn) > 0.4) & (np.abs(turn) < 2.5)
-    shift = b[i] - turn * a[i]
-    hits = (np.abs(turn[:, None] * a + shift[:, None] - b) <= MISS).sum(axis=1)
-    return int(np.where(fair, hits, 0).max())
+    needed = _needed(len(own), zb)
+    best, step = 0, max(1, CELLS // len(a) ** 2)
+    for k in range(0, len(a), step):  # the transforms of some points with all later ones
+        i, j = np.nonzero(np.arange(k, min(k + step, len(a)))[:, None] < np.arange(len(a)))
+        i += k
+        far = (np.abs(a[i] - a[j]) > 2 * MISS) & (b[i] != b[j])
+        i, j = i[far], j[far]
+        turn = (b[i] - b[j]) / (a[i] - a[j])
+        fair = (np.abs(turn) > 0.4) & (np.abs(turn) < 2.5)
+        i, turn = i[fair], turn[fair]
+        shift = b[i] - turn * a[i]
+        hits = np.abs(turn[:, None] * a + shift[:, None] - b) <= MISS
+        for h in hits[hits.sum(axis=1) >= needed]:
+            best = max(best, min(len(np.unique(p[h])) for p in places))
+            if best >= needed:
+                return best
+    return min(best, AGREE - 1)
 
 
 def _verified(batches):

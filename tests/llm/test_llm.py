@@ -351,6 +351,13 @@ def test_images_with_strong_noise_are_candidates(spark):
     assert found(spark, [(picture(s, 96), noisy(picture(s, 96), 20, s)) for s in range(40)]) >= 39
 
 
+def test_small_crops_and_rescaled_images_are_found(spark):
+    crops = [(a, noisy(a[200:500, 300:600], 2, s)) for s, a in enumerate(picture(s, 1000, 8) for s in (0, 1))]
+    crops += [(a, noisy(a[200:300, 130:230], 2, s)) for s, a in enumerate(picture(s, 400, 6) for s in range(10, 14))]
+    scaled = [(a, media_copies._scaled(a[None].astype(np.float32), by)[0]) for a, by in ((picture(20 + k, 192, 8), by) for k, by in enumerate((0.42, 0.5, 0.6, 0.85, 1.2, 1.5, 2.0, 2.4)))]
+    assert found(spark, crops + scaled) == 14
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
