@@ -50,6 +50,11 @@ def text_of(df: DataFrame) -> Column:
     return F.coalesce(df["text"], F.lit(""))
 
 
+def text_digest(df: DataFrame) -> Column:
+    """A digest that stands for a row's text; a null one is empty."""
+    return F.sha2(text_of(df).cast("binary"), 256)
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 

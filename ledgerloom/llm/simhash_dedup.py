@@ -14,7 +14,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, join_weighted, small_batches, staged, table
+from ledgerloom.llm.common import fresh, join_weighted, small_batches, staged, table, text_digest
 from ledgerloom.llm.components import connected
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -25,7 +25,7 @@ CHUNK = 1 << 17
 
 
 def _fingerprints(batches):
-    """(doc_id, text as bytes) to (doc_id, fp)."""
+    """(doc_id, text as bytes, others) to (doc_id, fp, others)."""
     import numpy as np
     import pyarrow as pa
     from xxhash import xxh64_intdigest
@@ -67,13 +67,14 @@ def _fingerprints(batches):
                     count()
                     rows, lengths, waiting = [], [], []
         count()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (64 bits as a signed long) of every row; a null text is empty, and an empty one has fingerprint zero."""
+def fingerprints(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """doc_id, fp (64 bits as a signed long) of every row, and its text's digest if asked for; a null text is empty, and an empty one has fingerprint zero."""
     small_batches(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    more = [text_digest(docs).alias("digest")] if digest else []
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"), *more).mapInArrow(_fingerprints, "doc_id long, fp long" + ", digest string" * digest)
 
 
 def _forests(batches):
@@ -125,13 +126,17 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     Rows of one id, and repeated rows, stay; null ids never are a component's id unless it has no other.
     """
     rows = staged(fingerprints(docs), "simhash-rows")
+    return join_weighted(rows, _labels(rows, bucket), "fp", "n").select("doc_id", "fp", "component_id")
+
+
+def _labels(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """fp, component_id, root (the component's least fingerprint), n (rows) of every fingerprint of rows (doc_id, fp)."""
     every = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-fps")
     roots = connected(links(every.select("fp"), bucket)).withColumnRenamed("node", "fp")
     linked = every.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("least").alias("reached"))
-    reached = roots.join(least, "root").select("fp", "reached")
-    labels = staged(every.join(reached, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"), "n"), "simhash-labels")
-    return join_weighted(rows, labels, "fp", "n").select("doc_id", "fp", "component_id")
+    reached = roots.join(least, "root").select("fp", "root", "reached")
+    return staged(every.join(reached, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"), "n"), "simhash-labels")
 
 
 def op5_simhash_dedup(spark, sf_dir):
@@ -140,10 +145,15 @@ def op5_simhash_dedup(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """One document of each component stays: that of the smallest id, and of its rows the one whose text sorts first."""
-    found = near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
-    rank = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    place = fresh(docs, "place")
-    return kept.withColumn(place, F.row_number().over(rank)).where(F.col(place) == 1).drop(place)
+    """One document of each component stays: that of the smallest id, null if it has no other, and of its rows the one whose text sorts first.
+
+    Components are told apart by their fingerprints and rows by id and text, so that unlinked texts without an id, or of one id, all stay.
+    """
+    rows = staged(fingerprints(docs, digest=True), "simhash-rows")
+    labelled = join_weighted(rows, _labels(rows), "fp", "n").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    digest, group, place = fresh(docs, "digest"), fresh(docs, "component"), fresh(docs, "place")
+    keep = labelled.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"), F.col("root").alias(group)).distinct()
+    found = docs.withColumn(digest, text_digest(docs))
+    kept = found.join(keep, found["doc_id"].eqNullSafe(keep["kept_id"]) & (found[digest] == keep["kept_digest"])).select(*[found[c] for c in docs.columns], keep[group])
+    rank = Window.partitionBy(group).orderBy(F.col("text").asc_nulls_first(), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    return kept.withColumn(place, F.row_number().over(rank)).where(F.col(place) == 1).drop(place, group)

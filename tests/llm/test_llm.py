@@ -154,6 +154,16 @@ def test_simhash_stage_keeps_one(spark):
     assert simhash_dedup.stage(spark, nothing(spark), DATA).count() == 0
 
 
+def test_simhash_stage_goes_by_component(spark):
+    """Unlinked texts without an id, or of one id, stay; what is linked to a smaller id goes."""
+    a, b, c, d, e, f = (words(80, 70 + n) for n in range(6))
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, c), (2, d), (2, e), (2, d), (3, min(c, f)), (3, max(c, f)), (None, None)]
+    docs = spark.createDataFrame([(*r, "de", 5) for r in rows], "doc_id long, text string, digest string, component int")
+    kept = simhash_dedup.stage(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e), (3, f), (None, None)], key=repr)
+
+
 def test_components(spark):
     draw = random.Random(5)
     links = [(n, n + 1) for n in range(0, 60)] + [(100, n) for n in range(101, 160)] + [(draw.randint(200, 400), draw.randint(200, 400)) for _ in range(150)]
