@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from ledgerloom.llm.common import small_batches, table
+from ledgerloom.llm.common import small_batches, table, text_digest
 
 #: Words that may be inserted, deleted or replaced, as a share of the item's.
 EDITS = 0.2
@@ -207,33 +207,35 @@ class Index:
                 yield first + t, int(self.ids[i]), max(s, 0), edits
 
 
-def _searching(index: Index):
+def _searching(index: Index, kind):
     def found(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             rows = list(index.search(batch.column(1).to_pylist()))
             cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[r] for r in cols[0]], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())],
+                [pa.array([ids[r] for r in cols[0]], kind), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())],
                 names=["doc_id", "item_id", "start_word", "edits"],
             )
 
     return found
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK, digests: bool = False) -> DataFrame:
     """doc_id, item_id, start_word, edits: every document (doc_id, text) in which an item (item_id, text) occurs.
 
     The driver holds `block` items at a time; a larger benchmark takes a pass over the documents for each block. Null
-    and empty texts and items match nothing; repeated items give a row each, and so do repeated documents.
+    and empty texts and items match nothing; repeated items give a row each, and so do repeated documents. With
+    `digests`, doc_id is instead the digest of the document's text.
     """
     small_batches(docs.sparkSession)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.lower(docs["text"]).cast("binary").alias("text"))
-    schema = "doc_id long, item_id long, start_word int, edits int"
+    key = text_digest(docs) if digests else docs["doc_id"].cast("long")
+    texts = docs.select(key.alias("doc_id"), F.lower(docs["text"]).cast("binary").alias("text"))
+    schema = f"doc_id {'string' if digests else 'long'}, item_id long, start_word int, edits int"
     out, waiting = None, []
 
     def search():
-        part = texts.mapInArrow(_searching(Index(waiting, edits)), schema)
+        part = texts.mapInArrow(_searching(Index(waiting, edits), pa.string() if digests else pa.int64()), schema)
         return part if out is None else out.unionByName(part)
 
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
@@ -248,6 +250,6 @@ def op9_decontaminate(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Documents in which an item of the benchmark occurs go."""
-    bad = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Documents in which an item of the benchmark occurs go: by text, so that others without an id, or of the same id, stay."""
+    bad = contaminated(docs, table(spark, sf_dir, "benchmark"), digests=True).select(F.col("doc_id").alias("bad_text")).distinct()
+    return docs.join(bad, text_digest(docs) == bad["bad_text"], "left_anti")

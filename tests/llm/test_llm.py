@@ -289,6 +289,15 @@ def test_decontamination_recall_against_brute_force(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == decontaminate.contaminated(nothing(spark), bench).count() == 0
 
 
+def test_decontamination_stage_goes_by_text(spark):
+    """A contaminated row takes no clean one of its id, nor one without an id, with it."""
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first()["text"]
+    clean = [(None, "clean one"), (1, "clean two"), (None, None), (1, "")]
+    docs = spark.createDataFrame([*clean, (None, f"before {item} after"), (1, f"{item} after"), (1, f"{item} after")], "doc_id long, text string")
+    kept = decontaminate.stage(spark, docs, DATA)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=repr) == sorted(clean, key=repr)
+
+
 def test_url_cases(spark):
     urls = [None, "", "no scheme", "HTTP://WWW.Example.ORG/es/1?x", "http://example.org/en/12#t", "http://a.org", "x://y://z.com/fr/", "http://xcom/de/1", "http://a.com/de/1", "http://com/de/", "http://org/"]
     df = spark.createDataFrame([(n, u, "r") for n, u in enumerate(urls)], "page_id long, url string, rule string")
