@@ -59,6 +59,40 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def let(value: Column, use) -> Column:
+    """use(value), where value is worked out once: within a lambda an expression from outside would be once a call."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+#: Elements of a block of a running total.
+RUN_BLOCK = 64
+
+
+def before(values: Column, kind: str = "int", step=lambda a, b: a + b, levels: int = 2) -> Column:
+    """For each element of an array what `step` makes of all before it, from nought on: running sums, or running maxima.
+
+    By blocks of RUN_BLOCK, whose own totals are summed up in the same way: time is linear, where an array that grows by
+    an element is copied each time.
+    """
+    zero, none = F.lit(0).cast(kind), F.expr(f"cast(array() as array<{kind}>)")
+
+    def plain(a: Column) -> Column:
+        return F.aggregate(a, F.struct(zero.alias("at"), none.alias("out")), lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def go(a: Column, level: int) -> Column:
+        if not level:
+            return plain(a)
+        blocks = F.transform(F.sequence(F.lit(0), F.size(a) - 1, F.lit(RUN_BLOCK)), lambda i: F.slice(a, i + 1, RUN_BLOCK))
+
+        def joined(parts: Column) -> Column:
+            totals = F.transform(parts, lambda b: F.aggregate(b, zero, step))
+            return let(let(totals, lambda t: go(t, level - 1)), lambda from_: F.flatten(F.transform(parts, lambda b, i: F.transform(plain(b), lambda x: step(x, F.element_at(from_, i + 1))))))
+
+        return F.when(F.size(a) <= RUN_BLOCK, plain(a)).otherwise(let(blocks, joined))
+
+    return let(values, lambda a: go(a, levels))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Whole texts go to Python in Arrow batches of so many rows at most, so that a batch of long ones fits into memory."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import before, table
 
 #: How a turn is rendered: head, role, middle, text, tail. What is trained on is the text and the tail.
 HEAD, MIDDLE, TAIL = "<|", "|>\n", "<|end|>\n"
@@ -40,15 +40,9 @@ def rendered(turns: Column) -> Column:
 
 def trained_spans(turns: Column) -> Column:
     """start:end of what is trained on, in code points of rendered(turns), comma-joined."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, t: Column) -> Column:
-        at = acc["at"] + len(HEAD) + F.length(_role(t)) + len(MIDDLE)
-        end = at + F.length(_text(t)) + len(TAIL)
-        span = F.concat(F.when(acc["out"] == "", "").otherwise(","), at.cast("string"), F.lit(":"), end.cast("string"))
-        return F.struct(end.alias("at"), F.when(_role(t) == TRAINED, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(turns, start, step, lambda acc: acc["out"])
+    sizes = F.transform(turns, lambda t: len(HEAD) + F.length(_role(t)) + len(MIDDLE) + F.length(_text(t)) + len(TAIL))
+    spans = F.zip_with(turns, before(sizes), lambda t, at: F.struct((_role(t) == TRAINED).alias("own"), (at + len(HEAD) + F.length(_role(t)) + len(MIDDLE)).alias("s"), F.length(_text(t)).alias("n")))
+    return F.array_join(F.transform(F.filter(spans, lambda x: x["own"]), lambda x: F.concat(x["s"].cast("string"), F.lit(":"), (x["s"] + x["n"] + len(TAIL)).cast("string"))), ",")
 
 
 def format_preferences(pairs: DataFrame) -> DataFrame:
@@ -70,16 +64,22 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
 
 def conversations_of(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text) to conv_id and its turns in order; ties by role and text; a row is one turn."""
+    """(conv_id, turn, role, text) to conv_id and its turns in order; ties by role and text; a row is one turn.
+
+    Nothing says which rows without a conv_id belong together: each is a conversation of one turn.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    return turns.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+    of = lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))
+    rows = turns.select("conv_id", "turn", "role", "text")
+    known = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.transform(ordered, of).alias("turns"))
+    return known.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array(F.struct("role", "text")).alias("turns")))
 
 
 def preference_pairs(turns: DataFrame) -> DataFrame:
     """Each conversation as chosen, and as rejected the same with its last assistant turn answered by the next conversation's.
 
-    The next is that of conv_id + 1; where it has no assistant turn, or is missing, the answer is empty. A conversation
-    without an assistant turn is rejected as it is.
+    The next is that of conv_id + 1; where it has no assistant turn, or is missing, the answer is empty, as it is for
+    conversations without an id. A conversation without an assistant turn is rejected as it is.
     """
     every = conversations_of(turns)
     answers = every.select((F.col("conv_id") - 1).alias("conv_id"), F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(F.filter("turns", lambda t: t["role"] == TRAINED), lambda t: t["text"])), -1).alias("answer"))
@@ -94,20 +94,22 @@ def op6_preference_format(spark, sf_dir):
 
 
 ORACLE = """
-WITH e AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM conversations GROUP BY conv_id),
-l AS (SELECT conv_id, turns, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)), 0) AS at FROM e),
-s AS (SELECT l.conv_id, l.turns AS chosen,
+WITH g AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+      UNION ALL SELECT conv_id, [{'role': role, 'text': text}] FROM conversations WHERE conv_id IS NULL),
+e AS (SELECT row_number() OVER () AS row, conv_id, turns FROM g),
+l AS (SELECT row, conv_id, turns, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)), 0) AS at FROM e),
+s AS (SELECT l.row, l.conv_id, l.turns AS chosen,
         list_transform(l.turns, lambda t, i: CASE WHEN i = l.at THEN {'role': t.role, 'text': coalesce(n.turns[nullif(n.at, 0)].text, '')} ELSE t END) AS rejected
       FROM l LEFT JOIN l n ON n.conv_id = l.conv_id + 1),
 p AS (SELECT *, coalesce(list_min(list_filter(range(1, len(chosen) + 1), lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1, len(chosen)) AS k FROM s),
-c AS (SELECT conv_id, k, unnest([0, 1, 2]) AS part, unnest([chosen[1:k], chosen[k + 1:], rejected[k + 1:]]) AS turns FROM p),
-r AS (SELECT conv_id, k, part, turns, list_transform(turns, lambda t: '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10)) AS shown FROM c),
-f AS (SELECT conv_id, k, part, coalesce(array_to_string(shown, ''), '') AS shown,
+c AS (SELECT row, conv_id, k, unnest([0, 1, 2]) AS part, unnest([chosen[1:k], chosen[k + 1:], rejected[k + 1:]]) AS turns FROM p),
+r AS (SELECT row, conv_id, k, part, turns, list_transform(turns, lambda t: '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10)) AS shown FROM c),
+f AS (SELECT row, conv_id, k, part, coalesce(array_to_string(shown, ''), '') AS shown,
         coalesce(array_to_string(list_transform(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant'), lambda i:
           CAST(coalesce(list_sum(list_transform(shown[1:i - 1], lambda x: length(x))), 0) + 2 + 9 + 3 AS BIGINT) || ':' ||
           CAST(list_sum(list_transform(shown[1:i], lambda x: length(x))) AS BIGINT)), ','), '') AS spans FROM r)
-SELECT conv_id, CAST(any_value(k) AS INTEGER) AS prompt_turns, max(shown) FILTER (part = 0) AS prompt,
+SELECT any_value(conv_id) AS conv_id, CAST(any_value(k) AS INTEGER) AS prompt_turns, max(shown) FILTER (part = 0) AS prompt,
        max(shown) FILTER (part = 1) AS chosen, max(spans) FILTER (part = 1) AS chosen_spans,
        max(shown) FILTER (part = 2) AS rejected, max(spans) FILTER (part = 2) AS rejected_spans
-FROM f GROUP BY conv_id
+FROM f GROUP BY row
 """
