@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, table
+from ledgerloom.llm.common import before, fresh, let, table
 
 #: Kind, pattern, group whose length counts, least length.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -26,11 +26,12 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 WINDOW = 20
 #: Character class, pattern of a candidate in it, least entropy of some window, in bits a character.
 CLASSES = (("entropy_hex", r"^([0-9a-f]+|[0-9A-F]+)$", 2.9), ("entropy_base64", r"", 3.8))
-#: Candidates that are no secrets, lower-cased: placeholders, UUIDs, paths, and the digests of the empty string.
+#: What looks like a path, lower-cased, and its pieces that are candidates.
+PATH, PIECE = r"/[a-z_-]+/[a-z_-]+/", r"[A-Za-z0-9+_-]{20,}"
+#: Candidates that are no secrets, lower-cased: placeholders, UUIDs, and the digests of the empty string.
 ALLOWED = (
     r"example|sample|placeholder|dummy|changeme|your[_-]|xxxx|0000000000|1234567890",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"/[a-z_-]+/[a-z_-]+/",
     r"^(d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855)$",
 )
 KINDS = [k for k, *_ in BASE] + [k for k, *_ in CLASSES]
@@ -43,48 +44,70 @@ def micro(count: int) -> int:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, m>>: the matches of the pattern with start and end (exclusive)."""
+    """array<struct<s, e, m>>: the matches of the pattern with start and end (exclusive), in time linear in the text and in the matches."""
     matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(pieces, matches, lambda p, m: F.struct(F.length(p).alias("p"), F.coalesce(F.length(m), F.lit(0)).alias("n"), m.alias("m")))
-    none = F.expr("cast(array() as array<struct<s: int, e: int, m: string>>)")
-    return F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["p"] + x["n"]).alias("at"),
-            F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + x["p"]).alias("s"), (acc["at"] + x["p"] + x["n"]).alias("e"), x["m"].alias("m"))))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    pieces = F.split(text, pattern, -1)  # one more than matches; the last is cut off
+    sizes = F.zip_with(pieces, matches, lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("n"), m.alias("m")))
+
+    def placed(rows: Column) -> Column:
+        starts = before(F.transform(rows, lambda x: x["p"] + x["n"]))
+        return F.zip_with(rows, starts, lambda x, at: F.struct((at + x["p"]).alias("s"), (at + x["p"] + x["n"]).alias("e"), x["m"].alias("m")))
+
+    return let(F.filter(sizes, lambda x: x["m"].isNotNull()), placed)
 
 
 def spans_of(found: Column, kind: str) -> Column:
     return F.transform(found, lambda x: F.struct(x["s"].alias("s"), F.lit(KINDS.index(kind)).alias("rank"), x["e"].alias("e"), F.lit(kind).alias("kind")))
 
 
+#: A character's count takes so many bits of a word of counts, and a word has so many counts.
+COUNT_BITS, COUNTS = 5, 12
+
+
 def window_entropy(word: Column, window: int = WINDOW) -> Column:
     """The largest sum, over windows of so many characters, of window*log2(window) - sum(count*log2(count)), in millionths.
 
-    Counts are kept by character and changed by the one that enters and the one that leaves: a step costs no window.
+    Counts are kept by character, packed into a few words, and changed by the character that enters and the one that
+    leaves: a step costs neither a window nor the alphabet. Windows have fewer than 2 ** COUNT_BITS characters.
     """
-    size = len(ALPHABET)
-    table_f = F.array(*[F.lit(micro(c)).cast("long") for c in range(window + 2)])
-    f = lambda c: F.element_at(table_f, c + 1)
-    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
-    start = F.struct(F.array_repeat(F.lit(0), size).alias("n"), F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("best"), codes.alias("codes"))
-
-    def step(acc: Column, i: Column) -> Column:
-        into = F.element_at(acc["codes"], i)
-        out = F.when(i > window, F.element_at(acc["codes"], F.greatest(i - window, F.lit(1)))).otherwise(F.lit(0))
-        n_in, n_out = F.element_at(acc["n"], into), F.element_at(acc["n"], F.greatest(out, F.lit(1)))
-        change = F.when(into == out, F.lit(0).cast("long")).otherwise(f(n_in + 1) - f(n_in) + F.when(out > 0, f(n_out - 1) - f(n_out)).otherwise(F.lit(0).cast("long")))
-        total = acc["sum"] + change
-        counts = F.transform(acc["n"], lambda c, j: c + (j + 1 == into).cast("int") - (j + 1 == out).cast("int"))
-        best = F.when(i >= window, F.greatest(acc["best"], F.lit(micro(window)).cast("long") - total)).otherwise(acc["best"])
-        return F.struct(counts.alias("n"), total.alias("sum"), best.alias("best"), acc["codes"].alias("codes"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda acc: acc["best"])
+    words = -(-len(ALPHABET) // COUNTS)
+    zero = F.lit(0).cast("long")
+    terms = [F.lit(micro(c)).cast("long") for c in range(window + 2)]
+    f = lambda c: F.element_at(F.array(*terms), c + 1)
+    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
+    start = F.struct(*[zero.alias(f"n{k}") for k in range(words)], zero.alias("sum"), F.lit(-1).cast("long").alias("best"))
+    at = lambda c: ((c % COUNTS) * COUNT_BITS).cast("int")
+    word_of = lambda c: F.floor(c / COUNTS).cast("int")
+
+    def count(acc: Column, c: Column) -> Column:
+        held = acc["n0"]
+        for k in range(1, words):
+            held = F.when(word_of(c) == k, acc[f"n{k}"]).otherwise(held)
+        return F.call_function("shiftright", held, at(c)).bitwiseAND((1 << COUNT_BITS) - 1).cast("int")
+
+    def bump(c: Column, k: int) -> Column:
+        return F.when(word_of(c) == k, F.call_function("shiftleft", F.lit(1).cast("long"), at(c))).otherwise(zero)
+
+    def slide(chars: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            into = F.element_at(chars, i)
+            out = F.when(i > window, F.element_at(chars, F.greatest(i - window, F.lit(1)))).otherwise(F.lit(-1))
+            pair = F.struct(into.alias("into"), out.alias("out"))
+
+            def changed(x: Column) -> Column:
+                a, b = x["into"], x["out"]
+                n_in, n_out = count(acc, a), count(acc, F.greatest(b, F.lit(0)))
+                change = F.when(a == b, zero).otherwise(f(n_in + 1) - f(n_in) + F.when(b >= 0, f(n_out - 1) - f(n_out)).otherwise(zero))
+                total = acc["sum"] + change
+                best = F.when(i >= window, F.greatest(acc["best"], F.lit(micro(window)).cast("long") - total)).otherwise(acc["best"])
+                held = [(acc[f"n{k}"] + bump(a, k) - F.when(b >= 0, bump(b, k)).otherwise(zero)).alias(f"n{k}") for k in range(words)]
+                return F.struct(*held, total.alias("sum"), best.alias("best"))
+
+            return let(pair, changed)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda acc: acc["best"])
+
+    return let(codes, slide)
 
 
 def allowed(word: Column) -> Column:
@@ -95,8 +118,18 @@ def allowed(word: Column) -> Column:
     return out
 
 
+def candidates(text: Column) -> Column:
+    """The runs of CANDIDATE; of one that looks like a path, its pieces between slashes that are as long: a path hides no secret in it."""
+
+    def pieces(x: Column) -> Column:
+        inner = F.transform(located(x["m"], PIECE), lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m")))
+        return F.when(F.lower(x["m"]).rlike(PATH), inner).otherwise(F.array(x))
+
+    return F.flatten(F.transform(located(text, CANDIDATE), pieces))
+
+
 def entropy_spans(text: Column) -> Column:
-    words = F.filter(located(text, CANDIDATE), lambda x: x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]") & ~allowed(x["m"]))
+    words = F.filter(candidates(text), lambda x: x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]") & ~allowed(x["m"]))
     hexa = CLASSES[0][1]
     rank = F.lit(KINDS.index("entropy_hex")), F.lit(KINDS.index("entropy_base64"))
     least = [F.lit(round(bits * WINDOW * 1e6)).cast("long") for *_, bits in CLASSES]
@@ -128,19 +161,34 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+#: Code points of a page, from which parts of a text are cut: a part costs its own length and a page's, wherever it lies.
+PAGE = 1024
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with each span, overlapping ones as one, replaced by MASK. spans: sorted by start."""
+
+    def cut(pages: Column, low: Column, high: Column) -> Column:
+        first = F.floor(low / PAGE).cast("int")
+        part = F.array_join(F.slice(pages, first + 1, F.greatest(F.ceil(high / PAGE).cast("int") - first, F.lit(0))), "")
+        return F.substring(part, low - first * PAGE + 1, high - low)
+
+    def parts(x: Column) -> Column:
+        pages, rows, size = x["pages"], x["rows"], x["size"]
+        done = before(F.transform(rows, lambda r: r["e"]), step=lambda a, b: F.greatest(a, b))  # how far what comes before a span reaches
+        pieces = F.zip_with(rows, done, lambda r, at: F.when(r["s"] >= at, F.concat(cut(pages, at, r["s"]), F.lit(MASK))).otherwise(""))
+        return F.concat(F.array_join(pieces, ""), cut(pages, F.array_max(F.transform(rows, lambda r: r["e"])), size))
+
+    pages = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    return let(F.struct(pages.alias("pages"), spans.alias("rows"), F.length(text).alias("size")), parts)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """docs with each span of its texts, overlapping ones as one, replaced by MASK; n_chars, where there is one, follows. Null texts stay null."""
     base, spans = fresh(docs, "base_spans"), fresh(docs, "all_spans")
     found = with_spans(docs, base, spans)
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(MASK))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = found.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(text))
+    out = found.withColumn("text", F.when(F.size(spans) > 0, masked(text, F.col(spans))).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
@@ -180,7 +228,12 @@ u AS (SELECT doc_id, rank, kind, least, unnest(m) AS m, unnest(v) AS v, unnest(l
         CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT))) AS s
       FROM f WHERE len(m) > 0),
 b AS (SELECT doc_id, rank, kind, s, s + length(m) AS e FROM u WHERE rank < 9 AND length(v) >= least),
-c AS (SELECT * FROM u WHERE rank = 9 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT ({allow})),
+w AS (SELECT doc_id, m, s FROM u WHERE rank = 9 AND NOT regexp_matches(lower(m), '{PATH}')
+      UNION ALL SELECT doc_id, m, base_at + piece_at FROM (
+        SELECT doc_id, s AS base_at, unnest(regexp_extract_all(m, '{PIECE}')) AS m, unnest(list_transform(range(1, len(regexp_extract_all(m, '{PIECE}')) + 1), lambda i:
+          CAST(list_sum(list_transform(string_split_regex(m, '{PIECE}')[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all(m, '{PIECE}')[1:i - 1], lambda x: length(x))), 0) AS BIGINT))) AS piece_at
+        FROM u WHERE rank = 9 AND regexp_matches(lower(m), '{PATH}'))),
+c AS (SELECT * FROM w WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT ({allow})),
 h AS (SELECT doc_id, s, m, max({micro(WINDOW)} - bits) AS best FROM (
         SELECT doc_id, s, m, i, sum(({f})[n + 1]) AS bits FROM (
           SELECT doc_id, s, m, i, ch, count(*) AS n FROM (
