@@ -294,45 +294,64 @@ def test_mixing_targets_by_rounds(spark):
     assert got == pytest.approx(want)
 
 
-def test_repeated_passages_equal_brute_force(spark):
+def shared_starts(rows, least=51):
+    """By document (id and text): the starts of passages that another document has too; and the documents by passage."""
+    docs = {(i, t): WORD.findall(t or "") for i, t in rows}
+    owner: dict = {}
+    for d, w in docs.items():
+        for k in range(len(w) - least + 1):
+            owner.setdefault(tuple(w[k : k + least]), set()).add(d)
+    return {d: [k for k in range(len(w) - least + 1) if len(owner[tuple(w[k : k + least])]) > 1] for d, w in docs.items()}, docs, owner
+
+
+def spans_of(starts, least=51):
+    out = []
+    for k in starts:
+        if out and out[-1][1] == k - 1:
+            out[-1][1] = k
+        else:
+            out.append([k, k])
+    return [(a, b - a + least) for a, b in out]
+
+
+@pytest.mark.parametrize("ranges", [4, 23])
+def test_repeated_passages_equal_brute_force(spark, ranges):
     passage = words(70, 21)
+    draw = random.Random(3)
     rows = [(200, words(100, 22) + " " + passage + " " + words(90, 23)), (201, words(10, 24) + " " + passage), (202, passage.replace(" ", "\n")), (203, " ".join(passage.split()[:50]) + " " + words(60, 25)), (204, words(40, 26) + " " + " ".join(passage.split()[9:60])), (205, "a " * 300), (206, "a " * 200)]
+    rows += [(202, words(20, 27) + " " + passage), (None, words(30, 28) + " " + passage + " " + words(5, 29)), (None, passage + " x"), (200, rows[0][1]), (None, passage + " x")]  # other texts of an id, none, repeated rows
+    hot = words(66, 30)
+    rows += [(300 + n, words(draw.randint(0, 60), 400 + n) + " " + hot + " " + words(draw.randint(0, 60), 700 + n)) for n in range(150)]  # one passage in many unlike documents
     docs = documents(spark).select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
-    tokens = {r.doc_id: WORD.findall(r.text or "") for r in docs.where("doc_id IS NOT NULL").collect()}
-    owner: dict = {}
-    for i, w in tokens.items():
-        for k in range(len(w) - 50):
-            owner.setdefault(tuple(w[k : k + 51]), set()).add(i)
-    want = set()
-    for i, w in tokens.items():
-        starts = [k for k in range(len(w) - 50) if len(owner[tuple(w[k : k + 51])]) > 1]
-        for k in starts:
-            if k - 1 not in starts:
-                end = k
-                while end + 1 in starts:
-                    end += 1
-                want.add((i, k, end - k + 51))
-    got = suffix_dedup.repeated_passages(docs).collect()
-    assert {(r.doc_id, r.start_word, r.n_words) for r in got} == want and {200, 201, 202, 204, 205, 1, 2} <= {r.doc_id for r in got} and 203 not in {r.doc_id for r in got}
+    starts, tokens, owner = shared_starts({tuple(r) for r in docs.collect()})
+    want = sorted(((d[0], *x) for d, found in starts.items() for x in spans_of(found)), key=repr)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)  # many ranges cut through what is alike
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", ranges == 4)
+    try:
+        got = suffix_dedup.repeated_passages(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(((r.doc_id, r.start_word, r.n_words) for r in got), key=repr) == want
+    assert {None, 200, 201, 202, 204, 205, 1, 2} <= {r.doc_id for r in got} and 203 not in {r.doc_id for r in got}
+    by_span = {(d[0], *x): d for d, found in starts.items() for x in spans_of(found)}
     for r in got:
-        w = tokens[r.doc_id]
-        assert r.other_id != r.doc_id and any(r.other_id in owner[tuple(w[k : k + 51])] for k in range(r.start_word, r.start_word + r.n_words - 50))
+        d = by_span[r.doc_id, r.start_word, r.n_words]
+        others = {o for k in range(r.start_word, r.start_word + r.n_words - 50) for o in owner[tuple(tokens[d][k : k + 51])] if o != d}
+        assert r.other_id in {o[0] for o in others}
     assert suffix_dedup.repeated_passages(nothing(spark)).count() == 0
 
 
 def test_passages_repeated_within_a_document_are_found(spark):
     """A reach of one document, whose passages another has in a reach that both share."""
     x, p, y, z, w = (words(n, seed).split() for n, seed in ((150, 61), (70, 62), (150, 63), (60, 64), (80, 65)))
-    tokens = {1: x + p + y + z + p + w, 2: x + p + y}
-    owner: dict = {}
-    for i, t in tokens.items():
-        for k in range(len(t) - 50):
-            owner.setdefault(tuple(t[k : k + 51]), set()).add(i)
-    want = {(i, k) for i, t in tokens.items() for k in range(len(t) - 50) if len(owner[tuple(t[k : k + 51])]) > 1}
+    texts = {1: " ".join(x + p + y + z + p + w), 2: " ".join(x + p + y)}
     for order in ((1, 2), (2, 1)):  # either document has the smaller id
-        docs = spark.createDataFrame([(order[i - 1], " ".join(t)) for i, t in tokens.items()], "doc_id long, text string")
-        got = {(r.doc_id, k) for r in suffix_dedup.repeated_passages(docs).collect() for k in range(r.start_word, r.start_word + r.n_words - 50)}
-        assert got == {(order[i - 1], k) for i, k in want} and {(order[0], k) for k in range(430, 450)} <= got
+        rows = [(order[i - 1], t) for i, t in texts.items()]
+        starts, _, _ = shared_starts(rows)
+        got = {(r.doc_id, k) for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() for k in range(r.start_word, r.start_word + r.n_words - 50)}
+        assert got == {(d[0], k) for d, found in starts.items() for k in found} and {(order[0], k) for k in range(430, 450)} <= got
 
 
 def edits(a, text):
