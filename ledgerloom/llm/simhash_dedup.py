@@ -2,9 +2,10 @@
 
 Two fingerprints at 4 differing bits or fewer agree in one of their two halves up to 2 bits. Both emit the values at 1
 bit or fewer from each half, so that such two meet in a table bucket, where complete distances are verified. Equal
-fingerprints are one entry. A bucket of up to BUCKET fingerprints is searched at once and gives a spanning forest of its
-links, never all pairs. The fingerprints of a larger one emit instead all values at 2 bits or fewer from the whole
-fingerprint: two at 4 or fewer share such a value, all that share one are linked, and at most 2081 can share one.
+fingerprints are one entry. A bucket gives a spanning forest of its links, never all pairs. Half values that over CROWD
+fingerprints have are counted beforehand: the fingerprints of all buckets that such a value goes to emit instead all
+values at 2 bits or fewer from the whole fingerprint: two at 4 or fewer share such a value, all that share one are
+linked, and at most 2081 can share one. So no bucket has more than 33 * CROWD fingerprints.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from ledgerloom.llm.common import fresh, join_weighted, small_batches, staged, t
 from ledgerloom.llm.components import connected
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Most fingerprints of a bucket that are compared with each other in one task.
-BUCKET = 1024
+#: Fingerprints that have the same half, from which on their buckets are searched by whole fingerprints.
+CROWD = 512
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 17
 
@@ -105,37 +106,42 @@ def _flips(value, bits: int):
     return F.transform(F.sequence(F.lit(0), F.lit(bits)), lambda i: F.when(i == bits, value).otherwise(value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
 
 
-def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """distinct fps (fp) to links (u, v) among them that connect all that are at RADIUS bits or fewer."""
     fp = F.col("fp")
     halves = F.array(F.struct(F.lit(0).alias("half"), fp.bitwiseAND(0xFFFFFFFF).alias("value")), F.struct(F.lit(1).alias("half"), F.shiftrightunsigned(fp, 32).alias("value")))
-    entries = fps.select("fp", F.explode(halves).alias("x")).select("fp", "x.half", F.explode(_flips(F.col("x.value"), 32)).alias("value"))
-    met = staged(entries.withColumn("n", F.count("*").over(Window.partitionBy("half", "value"))).where("n > 1"), "simhash-buckets")
-    found = met.where(F.col("n") <= bucket).groupBy("half", "value").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(_forests, "u long, v long")
-    crowd = met.where(F.col("n") > bucket).select("fp").distinct()
+    own = fps.select("fp", F.explode(halves).alias("x")).select("fp", "x.half", "x.value")
+    ball = F.explode(_flips(F.col("value"), 32)).alias("value")
+    entries = own.select("fp", "half", ball)
+    popular = staged(own.groupBy("half", "value").agg(F.count("*").alias("n")).where(F.col("n") > crowd), "simhash-popular")  # counted before the shuffle
+    full = staged(popular.select("half", ball).distinct(), "simhash-full")  # the buckets that popular values go to
+    rest = entries.join(full, ["half", "value"], "left_anti")
+    met = rest.withColumn("n", F.count("*").over(Window.partitionBy("half", "value"))).where("n > 1")  # one shuffle for this and what follows
+    found = met.groupBy("half", "value").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(_forests, "u long, v long")
+    many = staged(entries.join(full, ["half", "value"], "left_semi").select("fp").distinct(), "simhash-crowd")
     one = _flips(fp, 64)
     pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), lambda i: F.transform(F.sequence(i + 1, F.lit(63)), lambda j: fp.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)).bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), j)))))
-    ball = crowd.select("fp", F.explode(F.concat(one, pairs)).alias("z"))
-    stars = ball.withColumn("least", F.min("fp").over(Window.partitionBy("z"))).where("fp != least").select(F.col("least").alias("u"), F.col("fp").alias("v")).distinct()
+    balls = many.select("fp", F.explode(F.concat(one, pairs)).alias("z"))
+    stars = balls.withColumn("least", F.min("fp").over(Window.partitionBy("z"))).where("fp != least").select(F.col("least").alias("u"), F.col("fp").alias("v")).distinct()
     return found.unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp, component_id of every row of docs (doc_id, text); component_id is the smallest doc_id that links reach.
 
     Rows of one id, and repeated rows, stay; null ids never are a component's id unless it has no other.
     """
     rows = staged(fingerprints(docs), "simhash-rows")
-    return join_weighted(rows, _labels(rows, bucket), "fp", "n").select("doc_id", "fp", "component_id")
+    return join_weighted(rows, _labels(rows, crowd), "fp", "n").select("doc_id", "fp", "component_id")
 
 
-def _labels(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def _labels(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """fp, component_id, root (the component's least fingerprint), n (rows) of every fingerprint of rows (doc_id, fp)."""
     every = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-fps")
-    roots = connected(links(every.select("fp"), bucket)).withColumnRenamed("node", "fp")
-    linked = every.join(roots, "fp")
-    least = linked.groupBy("root").agg(F.min("least").alias("reached"))
-    reached = roots.join(least, "root").select("fp", "root", "reached")
+    roots = connected(links(every.select("fp"), crowd)).withColumnRenamed("node", "fp")
+    linked = staged(every.join(roots, "fp"), "simhash-linked")
+    least = staged(linked.groupBy("root").agg(F.min("least").alias("reached"), F.count("*").alias("fps")), "simhash-least")
+    reached = join_weighted(linked.select("fp", "root"), least, "root", "fps").select("fp", "root", "reached")
     return staged(every.join(reached, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"), "n"), "simhash-labels")
 
 

@@ -208,19 +208,34 @@ def classes(ids, links):
     return {i: top(i) for i in ids}
 
 
-@pytest.mark.parametrize("bucket", [1024, 2])
-def test_simhash_equals_brute_force(spark, bucket):
+@pytest.mark.parametrize("crowd", [512, 1])
+def test_simhash_equals_brute_force(spark, crowd):
     base = words(400, 9).split()
     rows = [(n, " ".join(base[:k] + ["x" * (n % 5 + 1)] + base[k:])) for n, k in enumerate(range(0, 400, 25), 100)]
     docs = documents(spark).select("doc_id", "text").where("doc_id IS NOT NULL").union(spark.createDataFrame(rows, "doc_id long, text string"))
     texts = {r.doc_id: r.text for r in docs.collect()}
     fps = {i: fingerprint(t) for i, t in texts.items()}
     want = classes(texts, [(a, b) for a in texts for b in texts if a < b and (fps[a] ^ fps[b]).bit_count() <= 4])
-    got = simhash_dedup.near_duplicates(docs, bucket).collect()
+    got = simhash_dedup.near_duplicates(docs, crowd).collect()
     assert {(r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in got} == {(i, fps[i], want[i]) for i in texts}
     assert len(got) == len(rows) + 11
 
 
+@pytest.mark.parametrize("crowd", [512, 40, 3])
+def test_simhash_links_equal_brute_force(spark, crowd):
+    """Fingerprints of which many have the same half, or nearly, and of which others lie just beside those."""
+    draw = random.Random(17)
+    flip = lambda x, n: x ^ sum(1 << b for b in draw.sample(range(64), n))
+    hub = draw.getrandbits(64)
+    fps = {hub ^ draw.getrandbits(32) for _ in range(150)} | {hub ^ draw.getrandbits(8) << 40 for _ in range(60)} | {flip(hub, draw.randint(0, 5)) for _ in range(80)}
+    fps |= {flip(x, 4) for x in list(fps)[:100]} | {draw.getrandbits(64) for _ in range(100)}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    got = simhash_dedup.links(spark.createDataFrame([(signed(x),) for x in fps], "fp long"), crowd).collect()
+    pairs = [(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in got]
+    assert all((u ^ v).bit_count() <= 4 for u, v in pairs)
+    assert classes(fps, pairs) == classes(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4])
+
+
 def test_simhash_stage_keeps_one(spark):
     docs = documents(spark)
     kept = simhash_dedup.stage(spark, docs, DATA)
