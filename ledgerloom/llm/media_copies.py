@@ -7,9 +7,11 @@ by descriptor under Hamming distance, and are copies if enough matches agree on
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import join_weighted, small_batches, staged, table
@@ -33,12 +35,44 @@ CHANCE = 0.05
 CORNERS, CELLS = 4096, 1 << 21
 
 
+#: Binary tests that are drawn, of which BITS are chosen; how wide they lie, in parts of RADIUS; how one-sided a chosen one may be.
+POOL, WIDE, FAR, SIDED = 3072, 1 / 1.9, 0.8, 0.25
+
+
+@cache
 def _tests(seed: int = 5):
+    """Offsets by turn, test and end, as (x, y): tests whose bits are even and depend little on each other, over corners of random pictures of several grains.
+
+    Chosen greedily, the evenest first, under the least bound on correlation that leaves enough of them; those that
+    were chosen one after another go to different segments. Keys of dependent bits would bring unlike images together.
+    """
     draw = np.random.default_rng(seed)
-    points = np.clip(draw.normal(0, RADIUS / 2.2, (BITS, 2, 2)), -RADIUS * 0.7, RADIUS * 0.7)
+    points = np.clip(draw.normal(0, RADIUS * WIDE, (POOL, 2, 2)), -RADIUS * FAR, RADIUS * FAR)
     angle = np.arange(TURNS) * 2 * np.pi / TURNS
     turn = np.stack([np.stack([np.cos(angle), -np.sin(angle)], -1), np.stack([np.sin(angle), np.cos(angle)], -1)], -2)
-    return np.rint(np.einsum("tij,bpj->tbpi", turn, points)).astype(np.int64)  # turn, test, end, (x, y)
+    tests = np.rint(np.einsum("tij,bpj->tbpi", turn, points)).astype(np.int64)
+    seen = []
+    for cells in (48, 32, 24, 16, 12):
+        at = np.clip((np.arange(96) + 0.5) * cells / 96 - 0.5, 0, cells - 1.001)
+        low, part = at.astype(np.int64), at - at.astype(np.int64)
+        grid = draw.normal(0, 1, (6, cells, cells))
+        tall = grid[:, low] * (1 - part[:, None]) + grid[:, low + 1] * part[:, None]
+        images = np.clip(128 + 45 * (tall[:, :, low] * (1 - part) + tall[:, :, low + 1] * part), 0, 255)
+        seen += [np.stack(d) for _, d in describe(images.astype(np.uint8), tests) if len(d)]
+    bits = np.unpackbits(np.concatenate(seen), axis=1)[:, :POOL].astype(np.float32)
+    mean = bits.mean(axis=0)
+    unit = (bits - mean) / np.maximum(bits.std(axis=0), 1e-6)
+    alike = np.abs(unit.T @ unit) / len(bits)
+    even = [k for k in np.argsort(np.abs(mean - 0.5), kind="stable") if abs(mean[k] - 0.5) < SIDED]
+    for bound in np.arange(0.1, 1.01, 0.02):
+        chosen, worst = [], np.zeros(POOL)
+        for k in even:
+            if worst[k] <= bound and len(chosen) < BITS:
+                chosen.append(k)
+                worst = np.maximum(worst, alike[k])
+        if len(chosen) == BITS:
+            break
+    return tests[:, np.array(chosen).reshape(-1, len(STARTS)).T.ravel()]
 
 
 def _box(a: np.ndarray, size: int) -> np.ndarray:
@@ -213,55 +247,73 @@ def agreeing(za: np.ndarray, da: np.ndarray, zb: np.ndarray, db: np.ndarray) ->
 
 
 def _verified(batches):
-    """(a, b, points and bits of both) to (u, v): pairs of which AGREE matches agree."""
+    """(a, ids, points and bits of a; b, points and bits of some b) to (u, v): pairs of which AGREE matches agree."""
+
+    def points(xs, ys, bits):
+        return np.asarray(xs.values) + 1j * np.asarray(ys.values), np.frombuffer(bits.as_py(), dtype=np.uint64).reshape(-1, BITS // 64)
+
     for batch in batches:
-        col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
         us, vs = [], []
         for k in range(batch.num_rows):
-            z = [np.asarray(col[f"xs_{s}"][k].values) + 1j * np.asarray(col[f"ys_{s}"][k].values) for s in "ab"]
-            d = [np.frombuffer(col[f"bits_{s}"][k].as_py(), dtype=np.uint64).reshape(-1, BITS // 64) for s in "ab"]
-            if agreeing(z[0], d[0], z[1], d[1]) >= AGREE:
-                us.append(col["a"][k].as_py())
-                vs.append(col["b"][k].as_py())
+            one = points(*(batch.column(c)[k] for c in (1, 2, 3)))
+            for other in batch.column(4)[k].values:
+                if agreeing(*one, *points(*(other[c] for c in ("xs", "ys", "bits")))) >= AGREE:
+                    us.append(batch.column(0)[k].as_py())
+                    vs.append(other["image_id"].as_py())
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
+#: Images that one is compared with in a row.
+GROUP = 64
+
+
 def _linked(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose points agree, as (u, v)."""
-    of = lambda s: points.select(F.col("image_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("xs", "ys", "bits")])
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "xs_a", "ys_a", "bits_a", "xs_b", "ys_b", "bits_b")
+    """The pairs (a, b) whose points agree, as (u, v). Points of b travel once a pair, those of a once for each GROUP of its pairs."""
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(1 << 20)).alias("salt"))
+    counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    others = salted.join(counted, "a").withColumn("salt", F.pmod("salt", "groups")).join(points.withColumnRenamed("image_id", "b"), "b")
+    lists = others.groupBy("a", "salt").agg(F.collect_list(F.struct(F.col("b").alias("image_id"), "xs", "ys", "bits")).alias("others"))
+    both = lists.join(points.withColumnRenamed("image_id", "a"), "a").select("a", "xs", "ys", "bits", "others")
     return staged(both.mapInArrow(_verified, "u long, v long"), "media-links")
 
 
 def _met(entry: DataFrame) -> DataFrame:
-    """entry (key, image_id) to the distinct pairs (a, b), a < b, that share a key; a large bucket's are formed by blocks against blocks, in many tasks."""
-    sized = entry.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int"))
-    sized = staged(sized.withColumn("block", F.pmod(F.xxhash64("image_id"), "blocks").cast("int")).drop("n"), "media-buckets")
+    """entry (key, image_id) to the distinct pairs (a, b), a < b, that share a key; a large bucket's are formed by blocks against blocks, in many tasks.
+
+    Keys are counted by an aggregate, so that a hot one is no task's, and joined by weight.
+    """
+    entry = staged(entry, "media-keys")
+    shared = staged(entry.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")), "media-shared")
+    sized = join_weighted(entry, shared, "key", "n").where("blocks IS NOT NULL")
+    sized = staged(sized.withColumn("block", F.pmod(F.xxhash64("image_id"), "blocks").cast("int")), "media-buckets")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = sized.select("key", F.col("image_id").alias("a"), F.col("block").alias("i"), every.alias("j"))
     right = sized.select("key", F.col("image_id").alias("b"), every.alias("i"), F.col("block").alias("j"))
-    return left.join(right, ["key", "i", "j"]).where("a < b").select("a", "b").distinct()
+    return staged(left.join(right, ["key", "i", "j"]).where("a < b").select("a", "b").distinct(), "media-pairs")
 
 
 def copies(images: DataFrame) -> DataFrame:
     """image_id, component_id, links of every image (image_id, width, height, pixels: 8 bits of grey, by rows).
 
-    component_id is the smallest id that links reach; links counts the verified ones of the image's class of equal
-    pixels, in which one stands for all. Any two classes that share a table key are compared, so that a group of n
-    different copies gives up to n * (n - 1) / 2 links, all of which are counted. Null pixels, and sizes that do not fit
-    them, have no points: only equal ones link.
+    Equal pixels are one class, in which one stands for all; component_id is the smallest id of the classes that links
+    reach, null if none has one; links counts the verified ones of the image's class. Any two classes that share a table
+    key are compared, so that a group of n different copies gives up to n * (n - 1) / 2 links, all of which are counted.
+    Rows without an id, and rows of one id with other pixels, are images of their own. Null pixels, and sizes that do not
+    fit them, have no points: only equal ones link.
     """
     small_batches(images.sparkSession, 4 * IMAGES)
     rows = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors, "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
-    points = rows.where("image_id IS NOT NULL")
-    classes = staged(rows.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n")), "media-classes")
-    entry = points.join(classes.select(F.col("first").alias("image_id")), "image_id", "left_semi").dropDuplicates(["image_id"]).select("image_id", "bits").mapInArrow(_keys, "key long, image_id long")
-    links = _linked(_met(entry), points)
+    any_of = [F.any_value(c).alias(c) for c in ("xs", "ys", "bits")]  # equal pixels have equal points
+    classes = staged(rows.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n"), *any_of).withColumn("node", F.xxhash64("digest")), "media-classes")
+    points = classes.select(F.col("node").alias("image_id"), "xs", "ys", "bits")
+    links = _linked(_met(points.select("image_id", "bits").mapInArrow(_keys, "key long, image_id long")), points)
     roots = staged(connected(links), "media-roots")
-    counted = links.select(F.explode(F.array("u", "v")).alias("first")).groupBy("first").agg(F.count("*").alias("links"))
-    labels = classes.join(roots, classes["first"] == roots["node"], "left").join(counted, "first", "left")
-    labels = staged(labels.select("digest", F.coalesce("root", "first").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"), "n"), "media-labels")
-    return join_weighted(rows.select("image_id", "digest"), labels, "digest", "n").select("image_id", "component_id", "links")
+    counted = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    labels = classes.select("digest", "first", "n", "node").join(roots, "node", "left").join(counted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labels = staged(labels.select("digest", "first", "n", "root", F.coalesce("links", F.lit(0)).alias("links")), "media-labels")
+    least = staged(labels.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("of")), "media-least")
+    labels = join_weighted(labels, least, "root", "of").select("digest", "component_id", "links", "n")
+    return join_weighted(rows.select("image_id", "digest"), staged(labels, "media-classes-labelled"), "digest", "n").select("image_id", "component_id", "links")
 
 
 # --- images to look at: the tables hold none, so each vector is drawn, and once more as a cropped and edited copy

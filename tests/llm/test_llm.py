@@ -487,6 +487,31 @@ def test_images_with_strong_noise_are_candidates(spark):
     assert found(spark, [(picture(s, 96), noisy(picture(s, 96), 20, s)) for s in range(40)]) >= 39
 
 
+def test_image_links_against_all_pairs(spark):
+    """The query's own pictures: links of all pairs are found, and no others."""
+    vectors = spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").limit(60)
+    df = media_copies.media_of(vectors)
+    rows = {r.image_id: np.frombuffer(r.pixels, dtype=np.uint8).reshape(r.height, r.width) for r in df.collect()}
+    full = {}
+    for i, a in rows.items():
+        z, d = media_copies.describe(a[None], media_copies._tests())[0]
+        full[i] = np.array(z), np.array(d).view(np.uint64)
+    digest = {i: a.tobytes() for i, a in rows.items()}
+    links = [(i, j) for i in rows for j in rows if i < j and digest[i] != digest[j] and media_copies.agreeing(*full[i], *full[j]) >= media_copies.AGREE]
+    got = {r.image_id: r for r in media_copies.copies(df).collect()}
+    assert {i: r.component_id for i, r in got.items()} == classes(rows, links + [(i, j) for i in rows for j in rows if i < j and digest[i] == digest[j]])
+    if len(set(digest.values())) == len(digest):
+        assert {i: r.links for i, r in got.items()} == {i: sum(i in x for x in links) for i in rows}
+
+
+def test_images_of_one_id_or_none_are_told_apart(spark):
+    a, b, c = (picture(s, 96) for s in (71, 72, 73))
+    rows = [(1, a), (1, b), (2, noisy(b, 2, 1)), (None, noisy(a, 2, 2)), (None, c), (None, noisy(c, 2, 3)), (5, noisy(a, 2, 4)), (5, noisy(a, 2, 4))]
+    df = spark.createDataFrame([(i, 96, 96, bytearray(np.clip(x, 0, 255).astype(np.uint8).tobytes())) for i, x in rows], IMAGES)
+    got = sorted(map(tuple, media_copies.copies(df).collect()), key=repr)
+    assert got == sorted([(1, 1, 2), (1, 1, 1), (2, 1, 1), (None, 1, 2), (None, None, 1), (None, None, 1), (5, 1, 2), (5, 1, 2)], key=repr)
+
+
 def test_small_crops_and_rescaled_images_are_found(spark):
     crops = [(a, noisy(a[200:500, 300:600], 2, s)) for s, a in enumerate(picture(s, 1000, 8) for s in (0, 1))]
     crops += [(a, noisy(a[200:300, 130:230], 2, s)) for s, a in enumerate(picture(s, 400, 6) for s in range(10, 14))]
