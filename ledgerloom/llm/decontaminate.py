@@ -21,10 +21,10 @@ from ledgerloom.llm.common import small_batches, table, text_digest
 EDITS = 0.2
 #: Longest run that is looked up; embeddings, tables of each, positions that a table samples.
 RUN, WALKS, TABLES, SAMPLED = 3, 8, 4, 2
-#: Items that are searched for in one pass over the documents.
-BLOCK = 20_000
-#: Words, and windows, that are worked on at once.
-CHUNK, WINDOWS = 1 << 20, 1 << 12
+#: Words of the items that are searched for in one pass over the documents, unless one item has more.
+BLOCK = 1 << 21
+#: Words, windows, and positions of their embeddings, that are worked on at once.
+CHUNK, WINDOWS, CELLS = 1 << 20, 1 << 12, 1 << 22
 REMEMBERED = 1 << 19
 MARKS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -86,10 +86,22 @@ class Index:
             sieve = np.zeros(1 << 20, dtype=bool)
             sieve[(key >> np.uint64(44)).astype(np.int64)] = True
             self.seeds[g] = (key, item, offset, sieve)
-        padded = np.zeros((len(kept), int(self.m.max(initial=0)) + 1), dtype=np.uint64)
-        for k, c in enumerate(self.words):
-            padded[k, : len(c)] = c
-        self.sampled = np.concatenate([self.embed(padded[k : k + WINDOWS], self.m[k : k + WINDOWS]) for k in range(0, len(kept), WINDOWS)], axis=2) if kept else None
+        self.sampled = np.zeros((WALKS, TABLES * SAMPLED, len(kept)), dtype=np.uint64)
+        for of in self.parts(np.arange(len(kept))):
+            rows = np.zeros((len(of), int(self.m[of].max()) + 1), dtype=np.uint64)
+            for k, i in enumerate(of):
+                rows[k, : self.m[i]] = self.words[i]
+            self.sampled[:, :, of] = self.embed(rows, self.m[of])
+
+    def parts(self, items: np.ndarray):
+        """Places of the items by length, so many together that neither their number nor their embeddings are many: a long item is embedded with few others, and none is padded to it."""
+        order = np.argsort(self.m[items], kind="stable")
+        while len(order):
+            size = min(len(order), WINDOWS)
+            while size > 1 and size * 3 * WALKS * int(self.m[items[order[size - 1]]]) > CELLS:
+                size = (size + 1) // 2
+            yield order[:size]
+            order = order[size:]
 
     def embed(self, rows: np.ndarray, m: np.ndarray) -> np.ndarray:
         """Sampled positions of the CGK embeddings: (walk, sample, row). rows: codes, 0 from m on.
@@ -97,19 +109,16 @@ class Index:
         At each step the current word is put out, and the walk moves on or stays as a bit of (step, word) says.
         """
         count, last = len(rows), rows.shape[1] - 1
-        found = np.empty((WALKS, TABLES * SAMPLED, count), dtype=np.uint64)
         every, steps = np.arange(count), 3 * int(m.max())
-        for walk in range(WALKS):
-            at = np.zeros(count, dtype=np.int64)
-            shown = np.zeros((steps, count), dtype=np.uint64)
-            for t in range(steps):
-                now = rows[every, at]
-                shown[t] = now
-                at += (((now ^ self.turns[walk, t]) * ODD) >> np.uint64(63)).astype(np.int64)
-                np.minimum(at, np.minimum(m, last), out=at)
-            for k, u in enumerate(self.spots[walk]):
-                found[walk, k] = shown[(u * 3 * m).astype(np.int64), every]
-        return found
+        at = np.zeros((WALKS, count), dtype=np.int64)
+        shown = np.zeros((steps, WALKS, count), dtype=np.uint64)
+        end = np.minimum(m, last)
+        for t in range(steps):
+            now = shown[t] = rows[every, at]
+            at += (((now ^ self.turns[:, t, None]) * ODD) >> np.uint64(63)).astype(np.int64)
+            np.minimum(at, end, out=at)
+        place = (self.spots[:, :, None] * 3 * m).astype(np.int64)  # (walk, sample, row)
+        return shown[place, np.arange(WALKS)[:, None, None], every]
 
     def windows(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Texts, items and starts (which may lie before the text) of the windows at the runs that text and items share.
@@ -143,9 +152,7 @@ class Index:
     def candidates(self, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, items: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Which windows agree with their item in all positions of some table. begin, end: of each window's text."""
         keep = np.zeros(len(items), dtype=bool)
-        order = np.argsort(self.m[items], kind="stable")
-        for k in range(0, len(order), WINDOWS):
-            of = order[k : k + WINDOWS]
+        for of in self.parts(items):
             m = self.m[items[of]]
             at = starts[of][:, None] + np.arange(int(m.max()) + 1)
             inside = (at >= begin[of][:, None]) & (at < end[of][:, None]) & (np.arange(at.shape[1]) < m[:, None])
@@ -224,24 +231,26 @@ def _searching(index: Index, kind):
 def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK, digests: bool = False) -> DataFrame:
     """doc_id, item_id, start_word, edits: every document (doc_id, text) in which an item (item_id, text) occurs.
 
-    The driver holds `block` items at a time; a larger benchmark takes a pass over the documents for each block. Null
-    and empty texts and items match nothing; repeated items give a row each, and so do repeated documents. With
+    The driver holds items of `block` words at a time, or one that is longer; a larger benchmark takes a pass over the
+    documents for each block. Null and empty texts and items match nothing; repeated items give a row each, and so do repeated documents. With
     `digests`, doc_id is instead the digest of the document's text.
     """
     small_batches(docs.sparkSession)
     key = text_digest(docs) if digests else docs["doc_id"].cast("long")
     texts = docs.select(key.alias("doc_id"), F.lower(docs["text"]).cast("binary").alias("text"))
     schema = f"doc_id {'string' if digests else 'long'}, item_id long, start_word int, edits int"
-    out, waiting = None, []
+    out, waiting, held = None, [], 0
 
     def search():
         part = texts.mapInArrow(_searching(Index(waiting, edits), pa.string() if digests else pa.int64()), schema)
         return part if out is None else out.unionByName(part)
 
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
+        size = len((row["text"] or "").split())
+        if waiting and held + size > block:
+            out, waiting, held = search(), [], 0
         waiting.append((row["item_id"], row["text"]))
-        if len(waiting) == block:
-            out, waiting = search(), []
+        held += size
     return search() if waiting or out is None else out
 
 

@@ -401,11 +401,31 @@ def test_decontamination_recall_against_brute_force(spark):
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.contaminated(docs, bench).collect()}
     assert set(got) <= set(want) and len(got) >= 0.97 * len(want)
     assert {k for k, e in want.items() if e == 0} <= set(got)
-    blocks = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block=7).collect()}
+    blocks = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block=200).collect()}
     assert blocks <= set(want) and len(blocks) >= 0.97 * len(want)
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == decontaminate.contaminated(nothing(spark), bench).count() == 0
 
 
+def test_a_long_item_costs_no_more_than_its_words():
+    """An item of 20,000 words beside many short ones: memory grows by its own length, and it is found, edited."""
+    import tracemalloc
+
+    text = words(20_000, 81)
+    items = [(n, words(40, 900 + n)) for n in range(400)]
+    tracemalloc.start()
+    decontaminate.Index(items)
+    short = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    index = decontaminate.Index([*items, (1000, text)])
+    assert tracemalloc.get_traced_memory()[1] < short + (96 << 20)
+    tracemalloc.stop()
+    w = text.split()
+    for k in range(0, len(w), 40):
+        w[k] = "other"
+    got = list(index.search([f"before {' '.join(w)} after".encode(), items[7][1].encode()]))
+    assert [(r[0], r[1], r[3]) for r in got] == [(0, 1000, 500), (1, 7, 0)]
+
+
 def test_decontamination_stage_goes_by_text(spark):
     """A contaminated row takes no clean one of its id, nor one without an id, with it."""
     item = spark.read.parquet(f"{DATA}/benchmark.parquet").first()["text"]
