@@ -6,6 +6,8 @@ as one row of DIMS + 1 weights. Scoring a page is a sum over its n-grams' weight
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +16,41 @@ from ledgerloom.llm.common import table
 #: Verdict, host, path. The longest rule that fits holds.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 #: Length of an n-gram, number of buckets, rounds over the labelled table, step, threshold of the verdict.
-GRAM, DIMS, ROUNDS, STEP, THRESHOLD = 3, 1024, 30, 3.0, 0.5
-#: The labelled table: what makes a host unwanted, and what does not.
-UNWANTED = "casino-win casino-bonus online-casino lucky-casino free-bets sport-bets best-bets bet-now cheap-pills buy-pills diet-pills pills-shop adult-x adult-cams x-adult hot-adult spam-farm link-farm content-farm spam-mail ads-track click-track ads-server track-ads".split()
-WANTED = "thriver thinker thirsty thistle northern seventh thread thesis theory inland handmade onward station another within thinning nation restful herald weather library science museum gardens cooking history physics schools student reading travels nations hithere earthen thatched ninth stately estates oration others eastern thousand blessing tinted lynx heading outing thither".split()
-ENDINGS = "example.com/en/12 example.net/fr/345 example.org/de/678/ example.com/es/9012.html".split()
+GRAM, DIMS, ROUNDS, STEP, THRESHOLD = 3, 2048, 12, 3.0, 0.5
+#: The labelled table is made of these: stems of unwanted hosts, what goes with a stem, and wanted hosts: common nouns, by how common they are.
+UNWANTED = "casino poker bets slots jackpot pills viagra pharma adult porn escort cams spam popup ads track loans replica warez keygen".split()
+WITH = "online daily best house free group live farm shop world win club".split()
+WANTED = (
+    "people history way art world information map family government health system computer meat year thanks music person reading method data food understanding theory law bird "
+    "literature problem software control knowledge power ability economics love internet television science library nature fact product idea temperature investment area society "
+    "activity story industry media thing oven community definition safety quality development language management player variety video week security country exam movie organization "
+    "equipment physics analysis policy series thought basis friend direction strategy technology army camera freedom paper environment child instance month truth marketing university "
+    "writing article department difference goal news audience fishing growth income marriage user combination failure meaning medicine philosophy teacher communication night chemistry disease disk energy nation road role soup advertising location success addition"
+).split()
+FRONTS, ENDINGS = ("", "www.", "m.", "blog."), "example.com/en/12 example.net/fr/345 example.org/de/678/ example.com/es/9012.html".split()
+
+
+def unwanted(held_out: bool = False) -> list[str]:
+    """Names of a stem and a word that goes with it: a quarter of all, or the others, which the model never sees."""
+    pairs = [(i, j) for i in range(len(UNWANTED)) for j in range(len(WITH)) if ((i + 3 * j) % 4 == 0) != held_out]
+    return [(f"{UNWANTED[i]}-{WITH[j]}", f"{WITH[j]}-{UNWANTED[i]}", f"{WITH[j]}{UNWANTED[i]}")[(i + j) % 3] for i, j in pairs]
+
+
+def wanted(nouns: list) -> list[str]:
+    """A third of the nouns as they are, the others with one of the words that go with unwanted stems too."""
+    return [(noun, f"{noun}-{WITH[k % len(WITH)]}", f"{WITH[k % len(WITH)]}{noun}")[k % 3] for k, noun in enumerate(nouns)]
+
+
+def url_of(name: str, k: int) -> str:
+    return f"https://{FRONTS[(k // 4 + k) % 4]}{name}.{ENDINGS[k % 4]}"
 
 
 def _examples():
     """One unwanted host, then two wanted ones, and so on; fronts and endings go round alike for both."""
-    for i, bad in enumerate(UNWANTED):
-        front, ending = ("", "www.", "m.", "blog.")[(i // 4 + i) % 4], ENDINGS[i % 4]
-        for label, name in ((1, bad), (0, WANTED[2 * i]), (0, WANTED[2 * i + 1])):
-            yield label, f"https://{front}{name}.{ending}"
+    good = wanted(WANTED)
+    for i, bad in enumerate(unwanted()):
+        for label, name in ((1, bad), (0, good[2 * i]), (0, good[2 * i + 1])):
+            yield label, url_of(name, i)
 
 
 def labelled(spark: SparkSession) -> DataFrame:
@@ -47,7 +71,8 @@ def path_of(url: Column) -> Column:
 def buckets(host: Column, path: Column) -> Column:
     """The distinct buckets of the n-grams of ^host$path$, sorted."""
     s = F.concat(F.lit("^"), host, F.lit("$"), path, F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - GRAM + 1, F.lit(1))), lambda i: F.substring(s, i, GRAM))
+    # from each of GRAM starts on, one after another: linear, where a substring is counted off from the beginning
+    grams = F.concat(*[F.regexp_extract_all(F.substring(s, k + 1, (1 << 31) - 1), F.lit(f"(?s).{{{GRAM}}}"), F.lit(0)) for k in range(GRAM)])
     number = lambda g: F.conv(F.substring(F.md5(g), 1, 6), 16, 10).cast("int") % DIMS + 1
     return F.array_sort(F.array_distinct(F.transform(F.array_distinct(grams), number)))
 
@@ -88,7 +113,7 @@ def judge(pages: DataFrame, weights: list[float], rules: tuple = RULES, threshol
     other columns are left out.
     """
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    score = probability(F.array(*[F.lit(w) for w in weights]), F.col("found"))
+    score = probability(F.from_json(F.lit(json.dumps(weights)), "array<double>"), F.col("found"))  # one constant, where thousands would be planned one by one
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
     out = cut.withColumn("found", buckets(F.col("host"), F.col("path"))).withColumn("score", score).drop("found")
     return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("score") >= threshold, "block").otherwise("allow")).alias("verdict"), "score")
