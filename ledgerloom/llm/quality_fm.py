@@ -1,4 +1,4 @@
-"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata of a text.
+"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata (the length on record) of a text.
 
 y = b + sum_j w_j x_j + 1/2 sum_f [ (sum_j v_jf x_j)^2 - sum_j v_jf^2 x_j^2 ]: the pairwise interactions of all features
 in time linear in those a text has. Fitted by AdaGrad on a bounded sample of labelled rows; scored in place, row by row.
@@ -26,7 +26,7 @@ KEEP = 0.3
 FOLDS = 5
 #: Value of a statistic's feature; words together have length one.
 STRENGTH = 0.5
-STATISTICS = 11
+STATISTICS = 12
 #: Words whose bucket a worker remembers.
 REMEMBERED = 1 << 18
 
@@ -53,8 +53,8 @@ class _Buckets(dict):
         return at
 
 
-def features(text: bytes, buckets: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values: words by bucket, then one bin of each statistic. An empty text has statistics only."""
+def features(text: bytes, buckets: dict, n_chars: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and values: words by bucket, then one bin of each statistic, the last of the metadata: the length on record. An empty text has statistics only."""
     words = text.split()
     n = len(words)
     chars = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
@@ -75,17 +75,22 @@ def features(text: bytes, buckets: dict) -> tuple[np.ndarray, np.ndarray]:
         min(BINS - 1, n.bit_length()), share(marks / size, 60), share(chars[65:91].sum() / max(letters, 1), 20), share(chars[48:58].sum() / size, 40),
         share(size / per, 1), share(len(found) / per, 15), share(counts.max() / per if n else 0, 15), min(BINS - 1, int(per / lines).bit_length()),
         share(chars[124] / per, 15), min(BINS - 1, int(lines).bit_length()), share(again / per, 30),
+        BINS - 1 if n_chars is None else min(BINS - 2, max(0, n_chars).bit_length()),
     )
     j = np.concatenate([found, WORDS + BINS * np.arange(STATISTICS) + np.array(stats, dtype=np.int64)])
     norm = np.sqrt((counts * counts).sum()) if n else 1.0
     return j, np.concatenate([counts / norm, np.full(STATISTICS, STRENGTH)])
 
 
-def _examples(batches):
+def _recorded(docs: DataFrame) -> Column:
+    """The length that docs has on record, null where it has no such column."""
+    return docs["n_chars"].cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+
 
+def _examples(batches):
     buckets = _Buckets()
     for batch in batches:
-        rows = [features(t.as_py() or b"", buckets) for t in batch.column(1)]
+        rows = [features(t.as_py() or b"", buckets, n.as_py()) for t, n in zip(batch.column(1), batch.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))], names=["doc_id", "label", "j", "x"])
 
 
@@ -103,7 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
     small_batches(docs.sparkSession)
     chosen = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), _recorded(docs).alias("n_chars")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "n_chars")
     rows = texts.mapInArrow(_examples, "doc_id long, label int, j array<int>, x array<float>").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("j", "x")).limit(sample).toArrow()
     size = WORDS + BINS * STATISTICS
     draw = np.random.default_rng(seed)
@@ -129,27 +134,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
 
 
 def scorer(model: Model):
-    """A function of a binary column: the probability that a text is of label 1; a null text is empty."""
+    """A function of columns: the probability that a text, of a length on record, is of label 1; a null text is empty."""
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
+    def score(texts: pa.Array, lengths: pa.Array) -> pa.Array:
         buckets = _Buckets()
-        margins = [model.margin(*features(t.as_py() or b"", buckets)) for t in texts]
+        margins = [model.margin(*features(t.as_py() or b"", buckets, n.as_py())) for t, n in zip(texts, lengths, strict=True)]
         return pa.array(1.0 / (1.0 + np.exp(-np.clip(np.array(margins), -700, 700))), pa.float64())
 
-    return lambda text: score(text.cast("binary"))
+    return lambda text, length: score(text.cast("binary"), length)
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """docs with a column of scores more; every row stays."""
+    """docs (text, and n_chars if there is one) with a column of scores more; every row stays."""
     small_batches(docs.sparkSession)
-    return docs.withColumn(name, scorer(model)(F.coalesce(docs["text"], F.lit(""))))
+    return docs.withColumn(name, scorer(model)(F.coalesce(docs["text"], F.lit("")), _recorded(docs)))
 
 
 def op4_quality_fm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    out = scored(docs.select("doc_id", "text"), model)
+    out = scored(docs.select("doc_id", "text", "n_chars"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score").withColumn("predicted", (F.col("score") >= KEEP).cast("int"))
 
 

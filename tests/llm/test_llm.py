@@ -185,7 +185,49 @@ def test_quality_learns_and_scores_all(spark):
     assert len(odd) == 12 and all(0 <= r.mark <= 1 for r in odd)
     assert quality_fm.scored(nothing(spark), model, "mark").count() == 0
     empty = quality_fm.fit(nothing(spark), labels.limit(0))
-    assert {round(r.mark, 6) for r in quality_fm.scored(documents(spark), empty, "mark").collect()} <= {round(1 / (1 + np.exp(-empty.margin(*quality_fm.features((r.text or "").encode(), quality_fm._Buckets())))), 6) for r in documents(spark).collect()}
+    assert {round(r.mark, 6) for r in quality_fm.scored(documents(spark), empty, "mark").collect()} <= {round(1 / (1 + np.exp(-empty.margin(*quality_fm.features((r.text or "").encode(), quality_fm._Buckets(), r.n_chars)))), 6) for r in documents(spark).collect()}
+
+
+def plain_features(text, n_chars):
+    """What the classifier sees of a text, worked out word by word and character by character."""
+    data = (text or "").encode()
+    tokens, bins = re.findall(rb"[^\x20\x09-\x0D]+", data), quality_fm.BINS
+    codes = [xxhash.xxh64_intdigest(w, 0) % quality_fm.WORDS for w in tokens]
+    counts = {c: codes.count(c) for c in set(codes)} if len(codes) < 3000 else dict(zip(*np.unique(codes, return_counts=True), strict=True))
+    norm = sum(n * n for n in counts.values()) ** 0.5
+    x = {c: n / norm for c, n in counts.items()}
+    size, per = max(len(data), 1), max(len(tokens), 1)
+    upper = sum(65 <= b <= 90 for b in data)
+    letters, digits = sum(65 <= b <= 90 or 97 <= b <= 122 or b > 127 for b in data), sum(48 <= b <= 57 for b in data)
+    other = size - letters - digits - sum(b in b" \n,." for b in data)
+    lines = data.count(b"\n") + 1
+    cut = lambda v: min(bins - 1, int(v))
+    stats = [
+        cut(len(tokens).bit_length()), cut(other / size * 60), cut(upper / max(letters, 1) * 20), cut(digits / size * 40), cut(size / per), cut(len(counts) / per * 15),
+        cut(max(counts.values(), default=0) / per * 15), cut(int(per / lines).bit_length()), cut(data.count(b"|") / per * 15), cut(lines.bit_length()),
+        cut(sum(a == b for a, b in zip(codes, codes[1:], strict=False)) / per * 30), bins - 1 if n_chars is None else min(bins - 2, n_chars.bit_length()),
+    ]
+    return x | {quality_fm.WORDS + bins * k + s: quality_fm.STRENGTH for k, s in enumerate(stats)}
+
+
+def test_quality_scores_equal_all_pairs(spark):
+    """The query's scores against the sum over all pairs of features, for texts of up to 400 words and the odd ones."""
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality_fm.fit(docs, labels)
+    rows = {r.doc_id: (r.text, r.n_chars) for r in docs.collect()}
+    got = {r.doc_id: r for r in quality_fm.op4_quality_fm(spark, DATA).collect()}
+    assert set(got) == set(rows)
+    odd = quality_fm.scored(documents(spark).drop("score"), model).collect()
+    cases = [(*rows[i], r.score) for i, r in got.items() if len((rows[i][0] or "").split()) <= 400][:60] + [(r.text, r.n_chars, r.score) for r in odd if r.doc_id != 5]
+    for text, n_chars, score in cases:
+        x = plain_features(text, n_chars)
+        j, value = np.array(list(x)), np.array(list(x.values()))
+        dots = (model.v[j] @ model.v[j].T) * np.outer(value, value)
+        margin = model.b + value @ model.w[j] + np.triu(dots, 1).sum()
+        assert np.isclose(score, 1 / (1 + np.exp(-margin)), rtol=1e-5, atol=1e-7)
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for i, r in got.items())
 
 
 def fingerprint(text):
@@ -557,7 +599,7 @@ def test_pipeline_stages(spark):
     rows = out.collect()
     every = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     model = quality_fm.fit(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"))
-    good = {i: r for i, r in every.items() if 1 / (1 + np.exp(-model.margin(*quality_fm.features((r.text or "").encode(), quality_fm._Buckets())))) >= quality_fm.KEEP}
+    good = {i: r for i, r in every.items() if 1 / (1 + np.exp(-model.margin(*quality_fm.features((r.text or "").encode(), quality_fm._Buckets(), r.n_chars)))) >= quality_fm.KEEP}
     fps = {i: fingerprint(r.text) for i, r in good.items()}
     group = classes(good, [(a, b) for a in good for b in good if a < b and (fps[a] ^ fps[b]).bit_count() <= 4])
     bench = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
