@@ -1,28 +1,52 @@
-"""python -m ledgerloom export | import | migrate | verify | prune | version: the verbs on an inventory in Parquet (key, value)."""
+"""python -m ledgerloom export | import | migrate | convert | verify | prune | version: the verbs on an inventory in Parquet (key, value)."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import logging
 
+import pyspark
 from pyspark.sql import SparkSession
 
-from ledgerloom.plans import history, snapshot
-from ledgerloom.sources import inputs, kv
+from ledgerloom import __version__
+from ledgerloom.plans import conversion, history, report, snapshot
+from ledgerloom.plans.progress import Progress
+from ledgerloom.plans.staging import scratch
+from ledgerloom.sources import inputs, kv, records
 
-VERSION = "1"
+
+def _hex(size: int | None = None):
+    def parse(text: str) -> bytes:
+        data = bytes.fromhex(text.removeprefix("0x"))
+        if size is not None and len(data) != size:
+            raise ValueError(f"{size} bytes are wanted")
+        return data
+
+    return parse
+
+
+def _path(text: str) -> str:
+    if not text.strip():
+        raise ValueError("a path is empty")
+    return text
 
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="ledgerloom", description=__doc__)
+    out.add_argument("--verbose", action="store_true", help="tell of phases as they go on")
     verbs = out.add_subparsers(dest="verb", required=True)
     add = lambda name, *args: [verbs.choices[name].add_argument(a, **k) for a, k in args] if verbs.add_parser(name) else None
-    source, scheme = ("--source", {"required": True}), ("--scheme", {"choices": ["hash", "path"], "default": "hash"})
-    add("export", source, ("--out", {"required": True}), ("--compression", {"choices": ["none", "zstd"], "default": "none"}))
-    add("import", ("--bundle", {"required": True}), ("--out", {"required": True}), scheme)
-    add("migrate", source, ("--out", {"required": True}), scheme)
-    add("verify", ("--bundle", {"required": True}), ("--target", {"required": True}), scheme)
-    add("prune", source, ("--out", {}), ("--genesis-root", {}), ("--report", {}))
+    need, may = {"required": True, "type": _path}, {"type": _path}
+    source, scheme = ("--source", need), ("--scheme", {"choices": snapshot.SCHEMES, "default": "hash"})
+    domain = ("--domain", {"type": lambda x: x.encode(), "help": "domain of the record chain"})
+    token = [("--token", {"type": _hex(20)}), ("--witness", may), ("--code", may), ("--retain", may), ("--alloc", may), ("--audit", may), ("--cold", may), ("--extra", {"type": lambda x: x.encode(), "default": b""})]
+    add("export", source, ("--out", need), ("--compression", {"choices": ["none", "zstd"], "default": "none"}), domain)
+    add("import", ("--bundle", need), ("--out", need), scheme, domain)
+    add("migrate", source, ("--out", need), scheme)
+    add("convert", source, ("--out", need), scheme, *token)
+    add("verify", ("--target", need), ("--bundle", may), ("--source", may), domain, *token)
+    add("prune", source, ("--out", may), ("--genesis-root", {"type": _hex(32)}), ("--report", may))
     add("version")
     return out
 
@@ -31,37 +55,63 @@ def head_of(df) -> history.Head:
     return history.read_head(lambda key: kv.get(df, key))
 
 
+def options_of(a: argparse.Namespace) -> conversion.Options:
+    if not (a.token and a.witness and a.code):
+        raise ValueError("a conversion needs --token, --witness and --code")
+    return conversion.Options(a.token, a.witness, a.code, a.retain, a.alloc, a.audit, a.cold, a.extra)
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> dict:
-    """What a verb found. A head that has moved meanwhile ends it."""
-    if a.verb in ("import", "verify"):
-        state, root = snapshot.read_bundle(spark, a.bundle)
-        state.nodes = snapshot.nodes_of(state)
+    """What a verb found: the artifact's path with its report, or what was measured. A head that moves before the output appears ends it."""
+    progress = Progress(spark, a.verb)
+    with scratch(spark), progress.phase(a.verb):
         if a.verb == "import":
             inputs.outside(a.out, a.bundle)
-            return snapshot.import_state(state, root, a.out, a.scheme)
-        return snapshot.verify(spark, a.target, state, root, a.scheme)
-    source = kv.read_kv(spark, a.source)
-    head = head_of(source)
-    if a.out:
-        inputs.outside(a.out, a.source)
-    if a.verb == "export":
-        out = vars(snapshot.export(source, head.state_root, a.out, head.number, head.hash, head.header, a.compression))
-    elif a.verb == "migrate":
-        out = snapshot.import_state(snapshot.traverse(source, head.state_root), head.state_root, a.out, a.scheme)
-    else:
-        out = snapshot.prune(source, head.state_root, a.out, bytes.fromhex(a.genesis_root) if a.genesis_root else None)
+            return {"artifact": a.out, "verification": snapshot.import_bundle(spark, a.bundle, a.out, a.scheme, a.domain)}
+        if a.verb == "verify" and a.bundle:
+            if a.source:
+                raise ValueError("an artifact is verified against a bundle or against a source")
+            return {"artifact": a.target, "verification": snapshot.verify_bundle(spark, a.bundle, a.target, a.domain)}
+        if not a.source:
+            raise ValueError("--source or --bundle is wanted")
+        source = kv.read_kv(spark, a.source)
+        head = head_of(source)
+
+        def confirm() -> None:
+            if head_of(kv.read_kv(spark, a.source)) != head:
+                raise ValueError("the head has moved")
+
+        if a.verb == "verify":
+            if snapshot.read_artifact(spark, a.target)["format"] == report.CONVERSION:
+                found = conversion.verify(source, head, options_of(a), a.target, confirm)
+            else:
+                found = snapshot.verify_direct(source, head, a.target, confirm)
+            return {"artifact": a.target, "verification": found}
+        if a.out:
+            inputs.outside(a.out, a.source, *(options_of(a).inputs().values() if a.verb == "convert" else ()))
+        if a.verb == "export":
+            return vars(snapshot.export(source, head, a.out, a.compression, a.domain or records.DOMAIN, confirm))
+        if a.verb == "migrate":
+            return {"artifact": a.out, "verification": snapshot.migrate(source, head, a.out, a.scheme, confirm)}
+        if a.verb == "convert":
+            return {"artifact": a.out, "verification": conversion.migrate(source, head, options_of(a), a.out, a.scheme, confirm)}
+        measures = snapshot.prune(source, head.state_root, a.out, a.genesis_root, confirm)
+        confirm()
+        found = report.prune(head, measures)
         if a.report:
-            snapshot.write_report(a.report, out)
-    if head_of(source) != head:
-        raise ValueError("the head has moved")
-    return out
+            report.write(spark, a.report, found)
+            if report.read(spark, a.report) != found:
+                raise ValueError("report differs after reading")
+        return found
 
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     if a.verb == "version":
-        print(f"ledgerloom {VERSION}")
+        print(f"ledgerloom {__version__}, pyspark {pyspark.__version__}")
         return
+    if a.verbose:
+        logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
     print(json.dumps(run(spark, a), indent=1, sort_keys=True))
 

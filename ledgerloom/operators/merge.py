@@ -73,3 +73,20 @@ def owners(slots: DataFrame, key: str, **evidence: DataFrame) -> DataFrame:
 def inventory_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with side 'left' or 'right'; empty if the multisets are equal."""
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def expected_once(rows: DataFrame, expected: DataFrame, key: str, value: str) -> DataFrame:
+    """key, found, fault of each of the few expected (key, value): it must be among the rows exactly once, and with its value.
+
+    Only rows with an expected key leave the scan: the expected ones are sent to it.
+    """
+    want = expected.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
+    met = rows.join(F.broadcast(want), rows[key] == F.col("__k")).groupBy("__k").agg(F.count("*").alias("found"), F.count_if(F.col(value).eqNullSafe(F.col("__v"))).alias("__same"))
+    out = want.join(met, "__k", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    fault = F.when(F.col("found") == 0, "missing").when(F.col("found") > 1, "twice").when(F.col("__same") == 0, "another value")
+    return out.select(F.col("__k").alias(key), "found", fault.alias("fault"))
+
+
+def common(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The distinct rows that both have."""
+    return a.intersect(b)

@@ -17,6 +17,25 @@ def increasing(rows: DataFrame, by: list[str], order: list, value: str, strict:
     return rows.withColumn("ok", before.isNull() | ok)
 
 
+def not_increasing(rows: DataFrame, number: str, value: str, span: int = 1 << 16) -> DataFrame:
+    """Pairs (value, before) of rows next to each other by `number` whose value is not above the one before; empty if all rise.
+
+    Rows are compared within ranges of `span` numbers, and the ranges' ends apart: those are one row a range.
+    """
+    part = rows.select(F.floor(F.col(number) / span).alias("__range"), F.col(number).alias("__n"), F.col(value).alias("__v"))
+    inner = part.select("__v", F.lag("__v").over(_over(["__range"], ["__n"])).alias("__before"))
+    ends = part.groupBy("__range").agg(F.min_by("__v", "__n").alias("__v"), F.max_by("__v", "__n").alias("__last"))
+    outer = ends.select("__v", F.lag("__last").over(_over([], ["__range"])).alias("__before"))
+    return inner.unionByName(outer).where("__v <= __before").select(F.col("__v").alias("value"), F.col("__before").alias("before"))
+
+
+def rates(rows: DataFrame, by: list[str], order: list, seconds: str, total: Column, **measures: Column) -> DataFrame:
+    """rows with running totals, the share of `total` that the first measure has reached, in percent, and its rate a second."""
+    first = next(iter(measures))
+    out = running(rows, by, order, **measures)
+    return out.withColumn("percent", F.try_divide(100.0 * F.col(first), total)).withColumn("rate", F.try_divide(F.col(first).cast("double"), F.col(seconds)))
+
+
 def contiguous(rows: DataFrame, by: list[str], number: str, start: int = 0) -> DataFrame:
     """by, first, last, rows, ok: whether the numbers go from `start` on without a gap or a repetition."""
     out = rows.groupBy(*by).agg(F.min(number).alias("first"), F.max(number).alias("last"), F.count("*").alias("n"), F.count_distinct(number).alias("distinct"))

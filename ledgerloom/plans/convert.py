@@ -158,14 +158,14 @@ def convert(state: State, token: bytes, addresses: DataFrame, allowances: DataFr
     return out, state_root(out), got
 
 
-def checkpoint(header: bytes, root: bytes) -> bytes:
-    """The header of an empty block after `header`, a second later, with another state root."""
+def checkpoint(header: bytes, root: bytes, extra: bytes = b"") -> bytes:
+    """The header of an empty block after `header`, a second later, with another state root; extra names the tool that made it."""
     f = rlp.decode(header)
     parent, number, time = keccak(header), rlp.number(f[8], 64) + 1, rlp.number(f[11], 64) + 1
     if number >> 64 or time >> 64:
         raise OverflowError("number or time does not fit 64 bits")
     empty_list = keccak(b"\xc0")
-    return rlp.encode([parent, empty_list, f[2], root, EMPTY_ROOT, EMPTY_ROOT, bytes(256), f[7], number, f[9], b"", time, b"", bytes(32), bytes(8)])
+    return rlp.encode([parent, empty_list, f[2], root, EMPTY_ROOT, EMPTY_ROOT, bytes(256), f[7], number, f[9], b"", time, extra, bytes(32), bytes(8)])
 
 
 def overlay_alloc(state: State, alloc: DataFrame) -> tuple[State, bytes]:

@@ -43,6 +43,25 @@ def read_head(get) -> Head:
     return Head(int.from_bytes(number, "big"), found, fields[3], header)
 
 
+def check_head(head: Head) -> None:
+    """The header has the head's hash, number and state root."""
+    fields = rlp.decode(head.header)
+    if not isinstance(fields, list) or len(fields) < 15 or keccak(head.header) != head.hash or rlp.number(fields[8], 64) != head.number or fields[3] != head.state_root:
+        raise ValueError("header has another hash, number or state root than the head")
+
+
+def head_rows(head: Head) -> dict[bytes, bytes]:
+    """What a client needs to find a head: its header, its number by hash, its hash by number, and the two marks."""
+    check_head(head)
+    number = head.number.to_bytes(8, "big")
+    return {b"h" + number + head.hash: head.header, b"H" + head.hash: number, b"h" + number + b"n": head.hash, b"LastBlock": head.hash, b"LastHeader": head.hash}
+
+
+def empty_body(head: Head) -> dict[bytes, bytes]:
+    """The body of a block without transactions and uncles."""
+    return {b"b" + head.number.to_bytes(8, "big") + head.hash: rlp.encode([[], []])}
+
+
 def blocks(kv: DataFrame, last: int, cold: dict[str, DataFrame] | None = None) -> DataFrame:
     """number, hash, header, receipts, other_receipts, conflict for 0 to last; what neither copy has is null.
 

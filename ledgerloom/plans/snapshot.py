@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
-import os
+from collections.abc import Callable
 from dataclasses import dataclass
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +12,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import rlp
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256
 from ledgerloom.operators import counts, merge, order
-from ledgerloom.plans import trie
-from ledgerloom.plans.staging import staged
+from ledgerloom.plans import history, report, trie
+from ledgerloom.plans.staging import appearing, names_in, staged
 from ledgerloom.sources import inputs, records
 
 #: Prefixes of the path layout: nodes of the accounts' trie, of storage tries, flat accounts, flat slots; and of code in both layouts.
@@ -67,7 +65,7 @@ def traverse(kv: DataFrame, root: bytes) -> State:
 
     Code is looked up behind its prefix first, then bare. Every fault is an error before anything is returned.
     """
-    spark = kv.sparkSession
+    spark, kv = kv.sparkSession, trie.by_key(kv)
     top = spark.createDataFrame([(bytearray(), bytearray(root))], "owner binary, root binary")
     leaves, nodes = trie.scan(kv, top)
     accounts = staged(leaves.select("key", "value").mapInArrow(_accounts, ACCOUNT), "accounts")
@@ -113,39 +111,51 @@ def record_stream(state: State) -> DataFrame:
     return a.unionByName(s).unionByName(c)
 
 
-def export(kv: DataFrame, root: bytes, folder: str, number: int = 0, block_hash: bytes = bytes(32), header: bytes = b"", compression: str = "none") -> records.Evidence:
+def export(kv: DataFrame, head: history.Head, folder: str, compression: str = "none", domain: bytes = records.DOMAIN, confirm: Callable | None = None) -> records.Evidence:
     """Writes a bundle (manifest.json and the record stream), reads it again and checks it, then publishes the folder.
 
-    A stream is one file with a chained digest, so that the driver writes it, a partition of the sorted records at a time.
+    A stream is one file with a chained digest, so that the driver writes it, a partition of the sorted records at a
+    time. confirm() is called last of all, and ends it if the source has changed.
     """
-    state = traverse(kv, root)
+    history.check_head(head)
+    state = traverse(kv, head.state_root)
     rows = record_stream(state).orderBy("account_hash", "kind", "sub_hash")
     name = "state.records" + (".zst" if compression == "zstd" else "")
-    link = records.first_link(number, block_hash, root, header)
+    link = records.first_link(head.number, head.hash, head.state_root, head.header, domain)
     found = []
 
     def write(part: str) -> None:
         stream = ((r.kind, bytes(r.code_hash if r.kind == 3 else r.account_hash), bytes(r.sub_hash) if r.kind == 2 else None, bytes(r.payload)) for r in rows.toLocalIterator(prefetchPartitions=True))
         found.append(records.write_stream(f"{part}/{name}", stream, link, compression))
         want = state.counts()
-        if any(want[k] != getattr(found[0], k) for k in ("accounts", "storage_slots", "code_records", "records")):
+        if any(want[k] != getattr(found[0], k) for k in ("accounts", "storage_slots", "code_references", "code_records", "records")):
             raise ValueError("the stream has other counts than the state")
-        records.write_manifest(f"{part}/manifest.json", found[0], number=number, block_hash=block_hash.hex(), state_root=root.hex(), header=header.hex(), compression=compression)
-        records.verify_stream(f"{part}/{name}", records.read_manifest(f"{part}/manifest.json")[0], link, compression)
+        source = {"number": head.number, "block_hash": head.hash.hex(), "state_root": head.state_root.hex(), "header": head.header.hex(), "compression": compression, "chain_domain": domain.hex()}
+        records.write_manifest(f"{part}/manifest.json", found[0], **source)
+        records.verify_stream(f"{part}/{name}", records.read_manifest(f"{part}/manifest.json")[0], link, compression, canonical=True)
+        if confirm:
+            confirm()
 
     inputs.publish(folder, write)
     return found[0]
 
 
-def read_bundle(spark: SparkSession, folder: str) -> tuple[State, bytes]:
-    """A bundle's state, its order, references and roots checked. Nodes are not part of a bundle."""
+def read_bundle(spark: SparkSession, folder: str, domain: bytes | None = None) -> tuple[State, history.Head, dict]:
+    """A bundle's state, head and manifest; its order, references, roots and header checked. Nodes are not part of a bundle.
+
+    domain: that of the record chain, where the manifest's is not to be believed.
+    """
     evidence, source = records.read_manifest(f"{folder}/manifest.json")
     packed = source["compression"] == "zstd"
     name = "state.records" + (".zst" if packed else "")
     inputs.exact_layout(folder, {"manifest.json": "file", name: "file"})
-    root = bytes.fromhex(source["state_root"])
-    link = records.first_link(source["number"], bytes.fromhex(source["block_hash"]), root, bytes.fromhex(source["header"]))
-    records.verify_stream(f"{folder}/{name}", evidence, link, source["compression"])
+    head = history.Head(source["number"], *(bytes.fromhex(source[k]) for k in ("block_hash", "state_root", "header")))
+    history.check_head(head)
+    root, named = head.state_root, bytes.fromhex(source["chain_domain"])
+    if domain is not None and named != domain:
+        raise ValueError("the record chain is of another domain")
+    link = records.first_link(head.number, head.hash, root, head.header, named)
+    records.verify_stream(f"{folder}/{name}", evidence, link, source["compression"], canonical=True)
     rows = staged(records.read_records(spark, [f"{folder}/{name}"], source["compression"]), "records")
     a = rows.where("type = 1").select(F.col("account_hash").alias("key"), F.col("payload"), "seq")
     accounts = staged(a.mapInArrow(_slim, ACCOUNT + ", seq long"), "accounts")
@@ -156,16 +166,16 @@ def read_bundle(spark: SparkSession, folder: str) -> tuple[State, bytes]:
         "code has another digest": code.where(keccak256(F.col("code")) != F.col("code_hash")),
         "code that no account names": code.join(accounts, "code_hash", "left_anti"),
         "code is missing": accounts.where(F.col("code_hash") != _bin(EMPTY_CODE)).join(code, "code_hash", "left_anti"),
+        "accounts out of order": order.not_increasing(accounts, "seq", "account_hash"),
+        # a slot's key behind its owner's: in order for all owners at once, as accounts are
+        "slots out of order": order.not_increasing(slots.withColumn("both", F.concat("owner", "key")), "seq", "both"),
     }
-    ordered = order.increasing(rows.where("type = 1").withColumn("all", F.lit(0)), ["all"], ["seq"], "account_hash")
-    faults["accounts out of order"] = ordered.where("NOT ok")
-    faults["slots out of order"] = order.increasing(slots, ["owner"], ["seq"], "key").where("NOT ok")
     for what, df in faults.items():
         if not df.isEmpty():
             raise ValueError(what)
     state = State(accounts.drop("seq"), slots.drop("seq"), code.drop("seq"), spark.createDataFrame([], "owner binary, path string, hash binary, blob binary"))
     check_roots(state, root)
-    return state, root
+    return state, head, {"evidence": evidence, "manifest_sha256": inputs.file_digest(f"{folder}/manifest.json")}
 
 
 def _slim(batches):
@@ -179,6 +189,24 @@ def _slim(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["account_hash", "nonce", "balance", "storage_root", "code_hash", "slim", "full_bytes", "seq"])
 
 
+#: What says that a state by path is complete: its root, a finished snapshot, no state history, a finished download.
+def completion_marks(root: bytes) -> dict[bytes, bytes]:
+    return {b"SnapshotRoot": root, b"SnapshotGenerator": rlp.encode([b"", b"\x01", b"", b"", b"", b""]), b"LastStateID": bytes(8), b"SnapSyncStatus": b"\x02"}
+
+
+SCHEMES = ("hash", "path")
+
+
+def metadata(scheme: str, head: history.Head, *more: dict[bytes, bytes]) -> dict[bytes, bytes]:
+    """The rows besides the state's that a target has: the head's, those of a path layout, and more; none may be named twice."""
+    out: dict = {}
+    for rows in (history.head_rows(head), completion_marks(head.state_root) if scheme == "path" else {}, *more):
+        if set(out) & set(rows):
+            raise ValueError("metadata names a key twice")
+        out |= rows
+    return out
+
+
 def layout(state: State, scheme: str) -> DataFrame:
     """key, value, kind of the state in the hash layout (nodes and code by digest) or the path layout (nodes by path, flat leaves)."""
     code = state.code.select(F.concat(_bin(CODE), "code_hash").alias("key"), F.col("code").alias("value"), F.lit("code").alias("kind"))
@@ -195,44 +223,164 @@ def layout(state: State, scheme: str) -> DataFrame:
     return nodes.unionByName(accounts).unionByName(slots).unionByName(code)
 
 
-def import_state(state: State, root: bytes, target: str, scheme: str) -> dict:
-    """Writes the layout to a new folder, reads it again and verifies it."""
-    layout(state, scheme).write.mode("errorifexists").parquet(target)
-    return verify(state.accounts.sparkSession, target, state, root, scheme)
+def entry_kind(scheme: str, key: Column, value: Column, known: list[bytes]) -> Column:
+    """What a target's entry is by its key; null for what has no place in the layout. Empty code is none."""
+    digits, size = F.hex(key), F.octet_length(key)
+    kind = F.when(key.isin([bytearray(k) for k in known]), "metadata").when((size == 33) & key.startswith(_bin(CODE)) & (F.octet_length(value) > 0), "code")
+    if scheme == "hash":
+        return kind.when(size == 32, "node")
+    return (
+        kind.when((size == 33) & key.startswith(_bin(FLAT_ACCOUNT)), "account").when((size == 65) & key.startswith(_bin(FLAT_SLOT)), "slot")
+        .when(digits.rlike("^41(0[0-9A-F]){0,64}$"), "account node").when(digits.rlike("^4F[0-9A-F]{64}(0[0-9A-F]){0,64}$"), "storage node")
+    )
 
 
 def nodes_of(state: State) -> DataFrame:
-    """All nodes of the state's tries, built from its leaves; for a bundle, which has none. An owner's trie is built in one task."""
+    """All nodes of the state's tries, built from its leaves; for a state that has none yet. Large tries are dealt by nibbles."""
     full = state.accounts.select(_bin(b"").alias("owner"), F.col("account_hash").alias("key"), "slim").mapInArrow(_full, "owner binary, key binary, value binary")
-    return full.unionByName(state.slots.select("owner", "key", "value")).groupBy("owner").applyInArrow(_built, "owner binary, path string, hash binary, blob binary")
-
-
-def _built(table: pa.Table) -> pa.Table:
-    items = sorted(zip(map(trie.nibbles, table.column("key").to_pylist()), table.column("value").to_pylist(), strict=True))
-    top, every = trie.build(items)
-    kept = [n for n in every if len(n.blob) >= 32 or n is top]
-    owner = table.column("owner")[0].as_py()
-    return pa.table({"owner": pa.array([owner] * len(kept), pa.binary()), "path": ["".join(f"{x:x}" for x in n.at) for n in kept], "hash": pa.array([n.hash for n in kept], pa.binary()), "blob": pa.array([n.blob for n in kept], pa.binary())})
-
-
-def verify(spark: SparkSession, target: str, state: State, root: bytes, scheme: str) -> dict:
-    """What lies in the target is what the state makes, no more and no less, key by key; then counts by kind."""
-    found = spark.read.parquet(target)
-    wanted = layout(state, scheme)
-    off = merge.inventory_difference(found.select("key", "value", "kind"), wanted.select("key", "value", "kind")).first()
-    if off:
+    return staged(trie.trie_nodes(full.unionByName(state.slots.select("owner", "key", "value"))), "nodes")
+
+
+def verify_paths(found: DataFrame, root: bytes) -> None:
+    """A path layout (key, value, kind) by itself: every node is referred to by the one above, and the flat rows are the tries' leaves."""
+    digits = F.lower(F.hex("key"))
+    path = lambda begin: F.regexp_replace(F.substring(digits, begin, 1 << 20), "0(.)", "$1")
+    own = F.col("kind") == "account node"
+    nodes = found.where("kind IN ('account node', 'storage node')").select(F.when(own, _bin(b"")).otherwise(F.substring("key", 2, 32)).alias("owner"), F.when(own, path(3)).otherwise(path(67)).alias("path"), F.col("value").alias("blob"))
+    flat = found.where("kind = 'account'").select(F.substring("key", 2, 32).alias("key"), "value")
+    accounts = staged(flat.select("key", "value", F.lit(0).cast("long")).mapInArrow(_slim, ACCOUNT + ", seq long"), "flat-accounts")
+    top = found.sparkSession.createDataFrame([(bytearray(), bytearray(root))], "owner binary, root binary")
+    leaves, faults = trie.linked_by_path(nodes, accounts.select(F.col("account_hash").alias("owner"), F.col("storage_root").alias("root")).unionByName(top))
+    if bad := faults.first():
+        raise ValueError(f"node at {bytes(bad.owner).hex()}:{bad.path} {'has ' if bad.fault == 'another digest' else 'is '}{bad.fault}")
+    full = flat.select(_bin(b"").alias("owner"), "key", "value").mapInArrow(_full, "owner binary, key binary, value binary")
+    want = full.unionByName(found.where("kind = 'slot'").select(F.substring("key", 2, 32).alias("owner"), F.substring("key", 34, 32).alias("key"), "value"))
+    if bad := merge.inventory_difference(leaves, want).first():
+        raise ValueError(f"flat row {bytes(bad.owner).hex()}:{bytes(bad.key).hex()} differs from the tries' leaves")
+
+
+def verify(spark: SparkSession, target: str, state: State, head: history.Head, scheme: str, *more: dict[bytes, bytes]) -> dict:
+    """What lies in the target is what the state and its metadata make, no more and no less, key by key; then counts by kind.
+
+    The target is also taken by itself: traversed from the root, or linked by path.
+    """
+    expected = metadata(scheme, head, *more)
+    found = spark.read.schema("key binary, value binary").parquet(target)
+    found = found.withColumn("kind", entry_kind(scheme, F.col("key"), F.col("value"), list(expected)))
+    if bad := found.where("kind IS NULL").first():
+        raise ValueError(f"target has a key of no kind: {bytes(bad.key).hex()}")
+    want = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in expected.items()], "key binary, value binary")
+    if bad := merge.expected_once(found, want, "key", "value").where("fault IS NOT NULL").first():
+        raise ValueError(f"metadata {bytes(bad.key).hex()}: {bad.fault}")
+    rest = found.where("kind != 'metadata'")
+    if off := merge.inventory_difference(rest.select("key", "value", "kind"), layout(state, scheme).select("key", "value", "kind")).first():
         raise ValueError(f"target differs ({off.side}): {bytes(off.key).hex()}")
     if scheme == "hash":
-        traverse(found.select("key", "value"), root)
+        traverse(rest.select(F.col("key"), F.col("value")), head.state_root)
+    else:
+        verify_paths(rest, head.state_root)
     rows = counts.inventory(found, F.col("kind"), (F.octet_length("key") + F.octet_length("value")).cast("long")).collect()
     return {r["kind"]: {"keys": r["keys"], "bytes": r["bytes"]} for r in rows}
 
 
+#: What an artifact's folder holds.
+DATABASE, REPORT = "database", "verification.json"
+
+
+def write_artifact(state: State, head: history.Head, target: str, scheme: str, said: dict, confirm: Callable | None = None, *more: dict[bytes, bytes]) -> dict:
+    """Writes layout, metadata and report beside the target, reads and verifies them, and lets the folder appear as a whole; what fails leaves nothing.
+
+    confirm() is called after all checks: it ends it if the source or an input has changed.
+    """
+    spark = state.accounts.sparkSession
+    extra = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in metadata(scheme, head, *more).items()], "key binary, value binary")
+    with appearing(spark, target) as part:
+        layout(state, scheme).select("key", "value").unionByName(extra).write.parquet(f"{part}/{DATABASE}")
+        said = said | {"inventory": verify(spark, f"{part}/{DATABASE}", state, head, scheme, *more)}
+        report.write(spark, f"{part}/{REPORT}", said)
+        if report.read(spark, f"{part}/{REPORT}") != said:
+            raise ValueError("report differs after reading")
+        if confirm:
+            confirm()
+    return said
+
+
+def read_artifact(spark: SparkSession, target: str, kind: str | None = None) -> dict:
+    """The report of an artifact, whose folder has nothing besides it and the database."""
+    if names_in(spark, target) - {f".{REPORT}.crc"} != {DATABASE, REPORT}:
+        raise ValueError(f"{target} is no artifact")
+    found = report.read(spark, f"{target}/{REPORT}")
+    if kind and found["format"] != kind:
+        raise ValueError(f"artifact is {found['format']}, not {kind}")
+    return found
+
+
+def import_bundle(spark: SparkSession, bundle: str, target: str, scheme: str, domain: bytes | None = None) -> dict:
+    """An artifact of a bundle."""
+    state, head, of = read_bundle(spark, bundle, domain)
+    state.nodes = nodes_of(state)
+    return write_artifact(state, head, target, scheme, report.portable(head, scheme, state.counts(), of), lambda: _same(read_head_of_bundle(bundle), of["manifest_sha256"]))
+
+
+def read_head_of_bundle(bundle: str) -> str:
+    return inputs.file_digest(f"{bundle}/manifest.json")
+
+
+def _same(now, before) -> None:
+    if now != before:
+        raise ValueError("the source has changed")
+
+
+def migrate(kv: DataFrame, head: history.Head, target: str, scheme: str, confirm: Callable | None = None) -> dict:
+    """An artifact of the head's state, without a bundle."""
+    state = traverse(kv, head.state_root)
+    return write_artifact(state, head, target, scheme, report.direct(head, scheme, state.counts()), confirm)
+
+
+def verify_bundle(spark: SparkSession, bundle: str, target: str, domain: bytes | None = None) -> dict:
+    """An artifact against the bundle that it was made of."""
+    stored = read_artifact(spark, target, report.PORTABLE)
+    state, head, of = read_bundle(spark, bundle, domain)
+    state.nodes = nodes_of(state)
+    return _verified(spark, target, stored, report.portable(head, stored["scheme"], state.counts(), of), state, head)
+
+
+def verify_direct(kv: DataFrame, head: history.Head, target: str, confirm: Callable | None = None) -> dict:
+    """An artifact against the source that it was made of, which is traversed anew."""
+    stored = read_artifact(kv.sparkSession, target, report.DIRECT)
+    state = traverse(kv, head.state_root)
+    if confirm:
+        confirm()
+    return _verified(kv.sparkSession, target, stored, report.direct(head, stored["scheme"], state.counts()), state, head)
+
+
+def _verified(spark: SparkSession, target: str, stored: dict, expected: dict, state: State, head: history.Head, *more: dict[bytes, bytes]) -> dict:
+    """Report, database and report once more: all must be what is expected, and the report must not have changed meanwhile."""
+    expected = expected | {"inventory": stored["inventory"]}
+    if not report.same(stored, expected):
+        raise ValueError("the artifact's report does not fit the source")
+    if verify(spark, f"{target}/{DATABASE}", state, head, stored["scheme"], *more) != stored["inventory"]:
+        raise ValueError("the artifact's inventory has other counts than its report")
+    if read_artifact(spark, target) != stored:
+        raise ValueError("the report has changed meanwhile")
+    return stored
+
+
 #: Prefixes of a light client's service records, and the key of a snapshot's root.
 SERVICE = ("cumulativeTime:", "_globalCostFactor", "chtIndexV2-", "bltIndex-", "cht-", "blt-", "chtRootV2-", "bltRoot-")
 SNAPSHOT_ROOT = "SnapshotRoot"
 
 
+def is_address(text: Column) -> Column:
+    """Whether a text is an IP address: four numbers, or up to eight groups of hex of which one run of noughts may be left out, the last two as four numbers, with a zone."""
+    quad = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    four = rf"{quad}([.]{quad}){{3}}"
+    groups = F.regexp_replace(F.regexp_replace(text, r"(?s)%.+\z", ""), rf"(?<=:){four}\z", "0:0")
+    one = "[0-9a-fA-F]{1,4}"
+    short = groups.rlike(rf"\A({one}(:{one})*)?::({one}(:{one})*)?\z") & (F.regexp_count(groups, F.lit("[0-9a-fA-F]+")) <= 7)
+    return text.rlike(rf"\A{four}\z") | groups.rlike(rf"\A({one}:){{7}}{one}\z") | short
+
+
 def foreign_key(key: Column, content: Column) -> Column:
     """Whether a key is of a layout or service that pruning does not know: light clients' records, prefixed code, trie nodes by path.
 
@@ -244,23 +392,26 @@ def foreign_key(key: Column, content: Column) -> Column:
         out = out | key.startswith(_bin(prefix.encode()))
     balance = digits.rlike("^000[01]") & (size > 5)
     rest = F.substring(key, 6, 1 << 20).cast("string")
-    quad = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-    address = rest.rlike(rf"^{quad}([.]{quad}){{3}}$") | (rest.rlike("^[0-9a-fA-F:.]*:[0-9a-fA-F:.]*:[0-9a-fA-F:.]*(%.+)?$")) | rest.rlike("^[0-9a-fA-F]{64}$")
+    address = is_address(rest) | rest.rlike("^[0-9a-fA-F]{64}$")
     out = out | (balance & (F.substring(key, 3, 3) == _bin(b"pb:")) & (size == 37)) | (balance & (F.substring(key, 3, 3) == _bin(b"nb:")) & address)
     by_path = digits.rlike("^41(0[0-9A-F]){0,63}$") | digits.rlike("^4F[0-9A-F]{64}(0[0-9A-F]){0,63}$")
     return out | by_path
 
 
-def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: bytes | None = None) -> dict:
+def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: bytes | None = None, confirm: Callable | None = None) -> dict:
     """Marks what the head's state reaches (and the genesis root's node), sweeps other rows that their own digest keys.
 
-    A dry run without a target. With one, what stays is written to a new folder and verified there: the state is
-    traversed again, and the protected rows must be the same. Keys of foreign layouts are refused before anything is written.
+    A dry run without a target. With one, what stays is written to a new folder, verified there (the state is traversed
+    again, and the protected rows must be the same), and only then appears. Keys of foreign layouts are refused before
+    anything is written.
     """
     state = traverse(kv, root)
     keep = state.nodes.select(F.col("hash").alias("key"), F.col("blob").alias("value")).unionByName(state.code.select("code_hash", "code").toDF("key", "value"))
     if genesis_root is not None:
-        keep = keep.unionByName(kv.where(F.col("key") == _bin(genesis_root)))
+        genesis = kv.where(F.col("key") == _bin(genesis_root))
+        if genesis.where(keccak256(F.col("value")) == F.col("key")).isEmpty():
+            raise ValueError("the genesis root's node is missing or has another digest")
+        keep = keep.unionByName(genesis)
     keep = keep.dropDuplicates(["key"])
     rows = staged(merge.ordered_diff(kv.withColumn("content", keccak256(F.col("value"))), keep, "key", "value", F.octet_length("key") == 32, F.col("content") == F.col("key")), "prune-roles")
     if bad := rows.where(~F.col("role").isin("delete", "retain") & foreign_key(F.col("key"), F.col("content"))).first():
@@ -270,18 +421,12 @@ def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: b
         raise ValueError(f"kept key {bytes(faults.key).hex()}: {faults.role}")
     totals = counts.role_totals(rows, (F.octet_length("key") + F.octet_length("value")).cast("long")).first().asDict()
     if target is not None:
-        rows.where("role != 'delete'").select("key", "value").write.mode("errorifexists").parquet(target)
-        after = kv.sparkSession.read.schema("key binary, value binary").parquet(target)
-        traverse(after, root)
-        if not merge.inventory_difference(after, rows.where("role != 'delete'").select("key", "value")).isEmpty():
-            raise ValueError("protected rows have changed")
+        with appearing(kv.sparkSession, target) as part:
+            rows.where("role != 'delete'").select("key", "value").write.parquet(part)
+            after = kv.sparkSession.read.schema("key binary, value binary").parquet(part)
+            traverse(after, root)
+            if not merge.inventory_difference(after, rows.where("role != 'delete'").select("key", "value")).isEmpty():
+                raise ValueError("protected rows have changed")
+            if confirm:
+                confirm()
     return totals
-
-
-def write_report(path: str, report: dict) -> None:
-    """Written beside, synced, and renamed; read again and compared."""
-    part = f"{path}.partial"
-    Path(part).write_text(json.dumps(report, indent=1, sort_keys=True))
-    if json.loads(Path(part).read_text()) != json.loads(json.dumps(report)):
-        raise ValueError("report differs after reading")
-    os.replace(part, path)

@@ -1,12 +1,21 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and folders that appear at once or not at all."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import errno
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables staged within the scopes that are open, the innermost last.
+_SCOPES: list[list[str]] = []
+#: Of Linux's renameat2: the target must not exist; the folder that relative paths start from.
+NOREPLACE, HERE = 1, -100
+
 
 def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,5 +30,100 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again: cuts lineage, and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged within are removed at its end, whatever ended it; DataFrames that rest on them must not leave it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, fs = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; one that exists is not replaced."""
+    at, fs = _hadoop(spark, path)
+    out = fs.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+        out.hsync()
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str, most: int = 1 << 20) -> str:
+    """A file of at most so many bytes."""
+    at, fs = _hadoop(spark, path)
+    if fs.getFileStatus(at).getLen() > most:
+        raise ValueError(f"{path} has over {most} bytes")
+    data = fs.open(at)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()
+
+
+def names_in(spark: SparkSession, path: str) -> set[str]:
+    at, fs = _hadoop(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(at)}
+
+
+def rename_new(source: str, target: str) -> None:
+    """Renames a local folder to one that does not exist; one that appears meanwhile is left alone, even if it is empty."""
+    libc = ctypes.CDLL(None, use_errno=True)
+    call = getattr(libc, "renameat2", None)
+    if call is not None:
+        if call(HERE, os.fsencode(source), HERE, os.fsencode(target), NOREPLACE) == 0:
+            return
+        code = ctypes.get_errno()
+        if code in (errno.EEXIST, errno.ENOTEMPTY):
+            raise FileExistsError(target)
+        if code not in (errno.ENOSYS, errno.EINVAL):
+            raise OSError(code, os.strerror(code), target)
+    os.mkdir(target)  # fails if it is there; from then on it is ours to replace
+    os.rename(source, target)
+
+
+@contextlib.contextmanager
+def appearing(spark: SparkSession, target: str):
+    """Gives a path beside the target to write to; at the end without an error it becomes the target in one rename, which replaces nothing. Otherwise it goes."""
+    if exists(spark, target):
+        raise FileExistsError(target)
+    parent, _, name = target.rstrip("/").rpartition("/")
+    part = f"{parent}/{name}.partial-{uuid.uuid4().hex}"
+    try:
+        yield part
+        at, fs = _hadoop(spark, part)
+        if fs.getScheme() == "file":
+            rename_new(*(_hadoop(spark, p)[0].toUri().getPath() for p in (part, target)))
+        else:
+            jvm = spark.sparkContext._jvm
+            to, _ = _hadoop(spark, target)
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(at, to, none)
+    except BaseException:
+        remove(spark, part)
+        raise

@@ -57,6 +57,28 @@ def strict_json(text: str, fields: set | None = None):
     return data
 
 
+def shaped(data, shape, at: str = "") -> dict:
+    """data, which must have the fields of `shape` and no others, all the way down.
+
+    A shape is a dict by name, a type, or a pattern that a text must match as a whole; names that end in '?' may be left out.
+    """
+    if isinstance(shape, dict):
+        if not isinstance(data, dict):
+            raise ValueError(f"{at or 'document'} is no object")
+        names = {n.removesuffix("?"): n for n in shape}
+        wrong = set(data) - set(names) or {n for n, full in names.items() if n == full and n not in data}
+        if wrong:
+            raise ValueError(f"{at or 'document'}: unknown or missing {sorted(wrong)}")
+        for name, value in data.items():
+            shaped(value, shape[names[name]], f"{at}.{name}" if at else name)
+    elif isinstance(shape, str):
+        if not isinstance(data, str) or not re.fullmatch(shape, data):
+            raise ValueError(f"{at} is malformed: {data!r}")
+    elif type(data) is not shape or (shape is int and not 0 <= data < 1 << 64):
+        raise ValueError(f"{at} is no {shape.__name__}")
+    return data
+
+
 def read_witness(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines to type, address, owner, spender, fault: an address alone, or owner and spender for an allowance.
 
@@ -124,36 +146,59 @@ def read_code(path: str) -> bytes:
     return bytes.fromhex(text[2:])
 
 
+#: An audit's values: hashes, addresses, integers as they would be written. Its fields.
+HASH, ADDRESS, INTEGER = "0x[0-9a-fA-F]{64}", "0x[0-9a-fA-F]{40}", "0|-?[1-9][0-9]*"
+AUDIT_STATE = {"root": HASH, "ovmCodeHash": HASH, "balanceSlots": int, "balancesWei": INTEGER, "supplyWei": INTEGER, "differenceWei": INTEGER}
+AUDIT = {
+    "version": int,
+    "identity": {"version": int, "genesis": HASH, "configHash": HASH, "witnessHash": HASH, "to": int, "toHash": HASH, "deSeqBlock": int, "seqValidHeight": int, "firstSequencer": ADDRESS},
+    "clientVersion": str, "from": int, "verifiedBlocks": int, "genesisState": AUDIT_STATE, "targetState": AUDIT_STATE,
+    "totals": dict.fromkeys(("balanceDeltaWei", "supplyDeltaWei", "discrepancyDeltaWei", "gasShortfallWei", "legacySelfdestructWei", "unexplainedDeltaWei"), INTEGER),
+    "executionVerified": bool, "accountingReconciled": bool, "intervalCausesFullyExplained": bool, "unexplainedEvents": int, "genesisDifferenceExplained": bool,
+    "previousDiagnosisDifferenceWei?": INTEGER, "matchesPreviousDiagnosis?": bool,
+}
+
+
 def read_audit(path: str) -> dict:
-    """A summary of at most 1 MiB whose balances, supply and difference add up, for both states."""
-    data = strict_json(input_bytes(path, SMALL).decode())
-    if data.get("version") != 1:
+    """A summary of at most 1 MiB with all its fields and no others, whose balances, supply and difference add up, for both states and over the interval."""
+    data = shaped(strict_json(input_bytes(path, SMALL).decode()), AUDIT)
+    if data["version"] != 1:
         raise ValueError("audit is of another version")
+    amounts = {}
     for side in ("genesisState", "targetState"):
-        state = data[side]
-        balances, supply, difference = (state[k] for k in ("balancesWei", "supplyWei", "differenceWei"))
-        for text in (balances, supply, difference):
-            if not re.fullmatch("0|-?[1-9][0-9]*", text):
-                raise ValueError(f"{text!r} is no canonical integer")
-        if not 0 <= int(balances) < 1 << 256 or not 0 <= int(supply) < 1 << 256 or int(balances) - int(supply) != int(difference):
+        balances, supply, difference = amounts[side] = [int(data[side][k]) for k in ("balancesWei", "supplyWei", "differenceWei")]
+        if not 0 <= balances < 1 << 256 or not 0 <= supply < 1 << 256 or balances - supply != difference:
             raise ValueError(f"{side} does not add up")
+    for name, k in (("balanceDeltaWei", 0), ("supplyDeltaWei", 1), ("discrepancyDeltaWei", 2)):
+        if amounts["targetState"][k] - amounts["genesisState"][k] != int(data["totals"][name]):
+            raise ValueError(f"{name} is not what the states differ by")
+    who, totals = data["identity"], {k: int(v) for k, v in data["totals"].items()}
+    hashes = [who[k] for k in ("genesis", "configHash", "witnessHash", "toHash")] + [data[s][k] for s in amounts for k in ("root", "ovmCodeHash")]
+    if who["version"] != 1 or not data["clientVersion"] or data["from"] != 1 or not who["to"] or data["verifiedBlocks"] != who["to"] or not all(int(h, 16) for h in hashes):
+        raise ValueError("audit does not cover the chain, or does not say what it is of")
+    settled = [data[k] for k in ("executionVerified", "accountingReconciled", "intervalCausesFullyExplained", "genesisDifferenceExplained")]
+    if not all(settled) or data["unexplainedEvents"] or totals["unexplainedDeltaWei"] or amounts["genesisState"][2]:
+        raise ValueError("audit leaves something unexplained")
+    causes = totals["gasShortfallWei"], totals["legacySelfdestructWei"]
+    if min(causes) < 0 or sum(causes) != totals["discrepancyDeltaWei"]:
+        raise ValueError("causes of the audit do not add up")
     return data
 
 
 def publish(folder: str, write) -> None:
-    """write(temporary folder), then one rename to `folder`, which must not exist; nothing is left behind on failure."""
+    """write(temporary folder), then one rename to `folder`, which must not exist and is never replaced; nothing is left behind on failure."""
     import shutil
     import tempfile
 
+    from ledgerloom.plans.staging import rename_new
+
     target = Path(folder)
     if target.exists():
         raise FileExistsError(folder)
-    part = tempfile.mkdtemp(prefix=f".partial-{target.name}-", dir=target.parent)
+    part = tempfile.mkdtemp(prefix=f"{target.name}.partial-", dir=target.parent)
     try:
         write(part)
-        if target.exists():
-            raise FileExistsError(folder)
-        os.rename(part, folder)
+        rename_new(part, folder)
         fd = os.open(target.parent, os.O_RDONLY)
         os.fsync(fd)
         os.close(fd)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
@@ -15,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ledgerloom.functions.keccak import keccak
+from ledgerloom import __version__
+from ledgerloom.functions.keccak import EMPTY_CODE, keccak
+from ledgerloom.functions.rlp import slim_account
 
 #: Fixed values of the format.
 MAGIC = b"L2STATE1"
@@ -30,6 +33,7 @@ SCHEMA = "seq long, type tinyint, account_hash binary, sub_hash binary, payload
 class Evidence:
     accounts: int = 0
     storage_slots: int = 0
+    code_references: int = 0
     code_records: int = 0
     records: int = 0
     payload_bytes: int = 0
@@ -37,11 +41,22 @@ class Evidence:
     sha256: str = ""
     chain: str = ""
 
+    def count(self, kind: int, payload: bytes) -> None:
+        name = {1: "accounts", 2: "storage_slots", 3: "code_records"}[kind]
+        setattr(self, name, getattr(self, name) + 1)
+        self.code_references += kind == 1 and slim_account(payload).code_hash != EMPTY_CODE
+        self.records += 1
+        self.payload_bytes += len(payload)
+
 
 def first_link(number: int, block_hash: bytes, state_root: bytes, header: bytes, domain: bytes = DOMAIN) -> bytes:
     return keccak(domain + number.to_bytes(8, "big") + block_hash + state_root + keccak(header))
 
 
+def next_link(link: bytes, kind: int, key: bytes, payload: bytes) -> bytes:
+    return keccak(link + bytes([kind]) + key + len(payload).to_bytes(8, "big") + payload)
+
+
 def _check(kind: int, payload: bytes) -> None:
     if kind not in KEYS:
         raise ValueError(f"unknown record type {kind}")
@@ -49,91 +64,136 @@ def _check(kind: int, payload: bytes) -> None:
         raise ValueError(f"record type {kind} has a payload of {len(payload)} bytes")
 
 
-def write_stream(path: str, records, link: bytes, compression: str = "none") -> Evidence:
-    """Writes (type, account_hash, sub_hash or None, payload) in their order, and says what was written."""
+class Digested:
+    """A file whose bytes are counted and digested as they pass, so that none is held or read again."""
+
+    def __init__(self, file=None):
+        self.file, self.size, self.sha256 = file, 0, hashlib.sha256()
+
+    def _seen(self, data: bytes) -> None:
+        self.size += len(data)
+        self.sha256.update(data)
+
+    def write(self, data) -> int:
+        self._seen(bytes(data))
+        if self.file:
+            self.file.write(data)
+        return len(data)
+
+    def read(self, n: int = -1) -> bytes:
+        data = self.file.read(n)
+        self._seen(data)
+        return data
+
+    def flush(self) -> None:
+        if self.file:
+            self.file.flush()
+
+
+def _packer(file):
     import zstandard
 
-    e, raw = Evidence(), open(path, "xb")  # noqa: SIM115
-    out = zstandard.ZstdCompressor(write_checksum=True).stream_writer(raw, closefd=False) if compression == "zstd" else raw
-    with raw:
+    return zstandard.ZstdCompressor(write_checksum=True).stream_writer(file, closefd=False)
+
+
+def write_stream(path: str, records, link: bytes, compression: str = "none") -> Evidence:
+    """Writes (type, account_hash, sub_hash or None, payload) in their order, and says what was written."""
+    e = Evidence()
+    with open(path, "xb") as raw:
+        file = Digested(raw)
+        out = _packer(file) if compression == "zstd" else file
         out.write(MAGIC)
         for kind, key, sub, payload in records:
             _check(kind, payload)
             key = bytes(key) + bytes(sub or b"")
             if len(key) != KEYS[kind]:
                 raise ValueError(f"record type {kind} has a key of {len(key)} bytes")
-            head = bytes([kind]) + key + len(payload).to_bytes(8, "big")
-            out.write(head + payload)
-            link = keccak(link + head + payload)
-            e.records += 1
-            e.payload_bytes += len(payload)
-            name = {1: "accounts", 2: "storage_slots", 3: "code_records"}[kind]
-            setattr(e, name, getattr(e, name) + 1)
+            out.write(bytes([kind]) + key + len(payload).to_bytes(8, "big") + payload)
+            link = next_link(link, kind, key, payload)
+            e.count(kind, payload)
         out.write(b"\x00")
-        if out is not raw:
+        if out is not file:
             out.close()
-    data = Path(path).read_bytes()
-    e.size, e.sha256, e.chain = len(data), hashlib.sha256(data).hexdigest(), link.hex()
+        raw.flush()
+        os.fsync(raw.fileno())
+    e.size, e.sha256, e.chain = file.size, file.sha256.hexdigest(), link.hex()
     return e
 
 
-def scan_stream(path: str, compression: str = "none"):
-    """The records of a stream with their number; refuses what is cut off, out of bounds, or follows the end."""
+def scan_stream(file, compression: str = "none", seen=None):
+    """The records of an open stream with their number; refuses what is cut off, out of bounds, or follows the end. seen: gets all decoded bytes."""
     import zstandard
 
+    source = zstandard.ZstdDecompressor().stream_reader(file, closefd=False) if compression == "zstd" else file
+
+    def take(n: int) -> bytes:
+        parts = []
+        while n:
+            part = source.read(n)
+            if not part:
+                raise ValueError("record stream is cut off")
+            parts.append(part)
+            n -= len(part)
+        data = b"".join(parts)
+        if seen is not None:
+            seen.write(data)
+        return data
+
+    if take(len(MAGIC)) != MAGIC:
+        raise ValueError("not a record stream")
+    seq = 0
+    while kind := take(1)[0]:
+        if kind not in KEYS:
+            raise ValueError(f"unknown record type {kind}")
+        key, size = take(KEYS[kind]), int.from_bytes(take(8), "big")
+        if not 0 < size <= MOST[kind]:
+            raise ValueError(f"record type {kind} has a payload of {size} bytes")
+        yield seq, kind, key[:32], key[32:] or None, take(size)
+        seq += 1
+    if source.read(1) or file.read(1):
+        raise ValueError("something follows the end of the record stream")
+
+
+def verify_stream(path: str, want: Evidence, link: bytes, compression: str = "none", canonical: bool = False) -> None:
+    """Counts, file digest and record chain must be those of the manifest, in one pass that holds a record at a time.
+
+    With `canonical`, a packed stream must also be, byte for byte, what this packer makes of the same records.
+    """
+    e, again = Evidence(), Digested()
+    packer = _packer(again) if canonical and compression == "zstd" else None
     with open(path, "rb") as raw:
-        source = zstandard.ZstdDecompressor().stream_reader(raw) if compression == "zstd" else raw
-
-        def take(n: int) -> bytes:
-            parts = b""
-            while len(parts) < n:
-                part = source.read(n - len(parts))
-                if not part:
-                    raise ValueError("record stream is cut off")
-                parts += part
-            return parts
-
-        if take(len(MAGIC)) != MAGIC:
-            raise ValueError("not a record stream")
-        seq = 0
-        while kind := take(1)[0]:
-            if kind not in KEYS:
-                raise ValueError(f"unknown record type {kind}")
-            key, size = take(KEYS[kind]), int.from_bytes(take(8), "big")
-            if not 0 < size <= MOST[kind]:
-                raise ValueError(f"record type {kind} has a payload of {size} bytes")
-            yield seq, kind, key[:32], key[32:] or None, take(size)
-            seq += 1
-        if source.read(1):
-            raise ValueError("something follows the end of the record stream")
-
-
-def verify_stream(path: str, want: Evidence, link: bytes, compression: str = "none") -> None:
-    """Counts, file digest and record chain must be those of the manifest."""
-    e = Evidence()
-    for _, kind, key, sub, payload in scan_stream(path, compression):
-        link = keccak(link + bytes([kind]) + key + (sub or b"") + len(payload).to_bytes(8, "big") + payload)
-        name = {1: "accounts", 2: "storage_slots", 3: "code_records"}[kind]
-        setattr(e, name, getattr(e, name) + 1)
-        e.records += 1
-        e.payload_bytes += len(payload)
-    data = Path(path).read_bytes()
-    e.size, e.sha256, e.chain = len(data), hashlib.sha256(data).hexdigest(), link.hex()
+        file = Digested(raw)
+        for _, kind, key, sub, payload in scan_stream(file, compression, packer):
+            link = next_link(link, kind, key + (sub or b""), payload)
+            e.count(kind, payload)
+    e.size, e.sha256, e.chain = file.size, file.sha256.hexdigest(), link.hex()
     if e != want:
         raise ValueError(f"record stream differs from its manifest: {e} and {want}")
+    if packer is not None:
+        packer.close()
+        if (again.size, again.sha256.hexdigest()) != (e.size, e.sha256):
+            raise ValueError("record stream is packed in another way")
+
+
+#: What a manifest says of the source, and of the file.
+SOURCE = {"number": int, "block_hash": str, "state_root": str, "header": str, "compression": str, "chain_domain": str}
+FILE = {"accounts": int, "storage_slots": int, "code_references": int, "code_records": int, "records": int, "payload_bytes": int, "size": int, "sha256": str, "chain": str}
 
 
 def write_manifest(path: str, evidence: Evidence, **source) -> None:
-    Path(path).write_text(json.dumps({"version": 1, "source": source, "state_file": asdict(evidence)}, indent=1))
+    Path(path).write_text(json.dumps({"format": "ledgerloom-bundle", "version": 1, "tool_version": __version__, "source": source, "state_file": asdict(evidence)}, indent=1))
 
 
 def read_manifest(path: str) -> tuple[Evidence, dict]:
-    from ledgerloom.sources.inputs import strict_json
+    from ledgerloom.sources.inputs import SMALL, input_bytes, shaped, strict_json
 
-    data = strict_json(Path(path).read_text(), {"version", "source", "state_file"})
-    if data["version"] != 1:
-        raise ValueError("manifest is of another version")
-    return Evidence(**data["state_file"]), data["source"]
+    data = shaped(strict_json(input_bytes(path, SMALL).decode()), {"format": str, "version": int, "tool_version": str, "source": SOURCE, "state_file": FILE})
+    if (data["format"], data["version"]) != ("ledgerloom-bundle", 1):
+        raise ValueError("manifest is of another format or version")
+    e = Evidence(**data["state_file"])
+    if e.records != e.accounts + e.storage_slots + e.code_records or not e.code_records <= e.code_references <= e.accounts:
+        raise ValueError("counts of the manifest do not go together")
+    return e, data["source"]
 
 
 @dataclass
@@ -152,11 +212,12 @@ class RecordReader(DataSourceReader):
     def read(self, partition):
         rows = []
         schema = pa.schema([("seq", pa.int64()), ("type", pa.int8()), ("account_hash", pa.binary()), ("sub_hash", pa.binary()), ("payload", pa.binary())])
-        for row in scan_stream(partition.path, self.compression):
-            rows.append(row)
-            if len(rows) == 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                rows = []
+        with open(partition.path, "rb") as file:
+            for row in scan_stream(file, self.compression):
+                rows.append(row)
+                if len(rows) == 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    rows = []
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

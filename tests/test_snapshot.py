@@ -16,22 +16,31 @@ def base(spark):
     return frame(spark, kv).cache(), kv, root
 
 
+def head_of(kv):
+    return history.read_head(kv.get)
+
+
 def test_bundle_round_trip_and_layouts(spark, base, tmp_path):
     df, kv, root = base
+    head = head_of(kv)
     state = snapshot.traverse(df, root)
     got = state.counts()
     assert (got["accounts"], got["storage_slots"], got["code_references"], got["code_records"]) == (8, 10, 5, 2)
-    plain = snapshot.export(df, root, str(tmp_path / "plain"))
-    packed = snapshot.export(df, root, str(tmp_path / "packed"), compression="zstd")
-    assert plain.chain == packed.chain and plain.records == got["records"]
+    plain = snapshot.export(df, head, str(tmp_path / "plain"))
+    packed = snapshot.export(df, head, str(tmp_path / "packed"), compression="zstd")
+    assert plain.chain == packed.chain and plain.records == got["records"] and plain.code_references == 5
     with pytest.raises(FileExistsError):
-        snapshot.export(df, root, str(tmp_path / "plain"))
-    again, r = snapshot.read_bundle(spark, str(tmp_path / "packed"))
-    assert r == root and again.counts() == got
+        snapshot.export(df, head, str(tmp_path / "plain"))
+    again, h, _ = snapshot.read_bundle(spark, str(tmp_path / "packed"))
+    assert h == head and again.counts() == got
     again.nodes = snapshot.nodes_of(again)
+    everything = lambda s, scheme: sorted(map(tuple, snapshot.layout(s, scheme).collect()))
     for scheme in ("hash", "path"):
-        a = snapshot.import_state(state, root, str(tmp_path / f"a-{scheme}"), scheme)
-        assert a == snapshot.import_state(again, root, str(tmp_path / f"b-{scheme}"), scheme)
+        assert everything(state, scheme) == everything(again, scheme)
+    other = snapshot.export(df, head, str(tmp_path / "other"), domain=b"another chain")
+    assert other.chain != plain.chain and snapshot.read_bundle(spark, str(tmp_path / "other"), b"another chain")[1] == head
+    with pytest.raises(ValueError, match="domain"):
+        snapshot.read_bundle(spark, str(tmp_path / "other"), records.DOMAIN)
     data = bytearray((tmp_path / "plain/state.records").read_bytes())
     data[-3] ^= 1
     (tmp_path / "plain/state.records").write_bytes(data)
@@ -39,6 +48,114 @@ def test_bundle_round_trip_and_layouts(spark, base, tmp_path):
         snapshot.read_bundle(spark, str(tmp_path / "plain"))
 
 
+def test_packed_in_another_way_is_refused(base, tmp_path):
+    import zstandard
+
+    df, kv, _ = base
+    e = snapshot.export(df, head_of(kv), str(tmp_path / "b"), compression="zstd")
+    head = head_of(kv)
+    link = records.first_link(head.number, head.hash, head.state_root, head.header)
+    path = tmp_path / "b/state.records.zst"
+    raw = zstandard.ZstdDecompressor().stream_reader(path.read_bytes()).read()
+    path.write_bytes(zstandard.ZstdCompressor(level=19, write_checksum=True).compress(raw + b""))
+    e.size, e.sha256 = path.stat().st_size, inputs.file_digest(str(path))
+    records.verify_stream(str(path), e, link, "zstd")
+    with pytest.raises(ValueError, match="packed in another way"):
+        records.verify_stream(str(path), e, link, "zstd", canonical=True)
+
+
+def test_nodes_are_those_of_one_task(spark):
+    """Dealt by nibbles or not, the nodes are those that one builder makes."""
+    import random
+
+    draw = random.Random(3)
+    rows, want = [], set()
+    for n in range(6):
+        owner = bytes([n]) * 32
+        keys = {draw.randbytes(32) for _ in range((1, 2, 17, 90, 300, 40)[n])}
+        if n == 5:
+            keys = {b"\x3a" + k[1:] for k in keys}  # all below one branch of the first two levels
+        leaves = {k: draw.randbytes(draw.randint(1, 40)) for k in keys}
+        top, every = trie.build(sorted((trie.nibbles(k), v) for k, v in leaves.items()))
+        want |= {(owner, "".join(f"{x:x}" for x in e.at), e.hash, e.blob) for e in every if len(e.blob) >= 32 or e is top}
+        rows += [(bytearray(owner), bytearray(k), bytearray(v)) for k, v in leaves.items()]
+    df = spark.createDataFrame(rows, "owner binary, key binary, value binary")
+    for split, large in ((2, 1000), (2, 10), (1, 0), (3, 20)):
+        got = [(bytes(r.owner), r.path, bytes(r.hash), bytes(r.blob)) for r in trie.trie_nodes(df, split, large).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def target_rows(spark, path):
+    return {bytes(r.key): bytes(r.value) for r in spark.read.parquet(f"{path}/database").collect()}
+
+
+def rewritten(spark, path, rows):
+    import shutil
+
+    shutil.rmtree(f"{path}/database")
+    frame(spark, rows).coalesce(1).write.parquet(f"{path}/database")
+
+
+@pytest.mark.parametrize("scheme", ["hash", "path"])
+def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme):
+    df, kv, _ = base
+    head, path = head_of(kv), str(tmp_path / "artifact")
+    made = snapshot.migrate(df, head, path, scheme)
+    assert made["inventory"]["metadata"]["keys"] == (5 if scheme == "hash" else 9)
+    assert snapshot.verify_direct(df, head, path) == made
+    good = target_rows(spark, path)
+    assert good[b"LastBlock"] == good[b"LastHeader"] == head.hash
+    key = next(k for k in good if len(k) >= 32 and k[:1] not in b"hH")
+    for change in ({b"LastBlock": bytes(32)}, {b"LastHeader": None}, {b"something else": b"x"}, {key: None}, {key: good[key] + b"x"}):
+        rewritten(spark, path, {k: v for k, v in (good | change).items() if v is not None})
+        with pytest.raises(ValueError):
+            snapshot.verify_direct(df, head, path)
+    rewritten(spark, path, good)
+    text = (tmp_path / "artifact/verification.json").read_text()
+    (tmp_path / "artifact/.verification.json.crc").unlink(missing_ok=True)
+    for old, new in (('"accounts": 8', '"accounts": 9'), ('"scheme"', '"schema"'), (head.hash.hex(), "00" * 32), ('"version": 1', '"version": 2')):
+        (tmp_path / "artifact/verification.json").write_text(text.replace(old, new))
+        with pytest.raises(ValueError):
+            snapshot.verify_direct(df, head, path)
+    (tmp_path / "artifact/verification.json").write_text(text)
+    assert snapshot.verify_direct(df, head, path) == made
+    (tmp_path / "artifact/more").write_text("x")
+    with pytest.raises(ValueError, match="no artifact"):
+        snapshot.verify_direct(df, head, path)
+
+
+def test_path_layouts_stand_by_themselves(spark, base):
+    df, kv, root = base
+    rows = [tuple(r) for r in snapshot.layout(snapshot.traverse(df, root), "path").collect()]
+    check = lambda rows: snapshot.verify_paths(spark.createDataFrame(rows, "key binary, value binary, kind string"), root)
+    check(rows)
+    at = lambda kind: next(k for k, r in enumerate(rows) if r[2] == kind)
+    with pytest.raises(ValueError, match="missing"):
+        check([r for r in rows if r[:1] != (b"A",)])
+    with pytest.raises(ValueError, match="not referred to"):
+        check([*rows, (bytearray(b"A" + b"\x0f" * 9), rows[at("account node")][1], "account node")])
+    with pytest.raises(ValueError):
+        check([(k, v[:-1] + bytes([v[-1] ^ 1]) if n == at("slot") else v, kind) for n, (k, v, kind) in enumerate(rows)])
+
+
+def test_failure_leaves_nothing(spark, base, tmp_path):
+    """A check that fails after writing, or a folder that appears meanwhile: no output, and nothing beside it."""
+    df, kv, root = base
+
+    def fail():
+        raise ValueError("the head has moved")
+
+    for k, make in enumerate((lambda to: snapshot.migrate(df, head_of(kv), to, "hash", fail), lambda to: snapshot.prune(df, root, to, confirm=fail), lambda to: snapshot.export(df, head_of(kv), to, confirm=fail))):
+        (tmp_path / str(k)).mkdir()
+        with pytest.raises(ValueError, match="moved"):
+            make(str(tmp_path / str(k) / "out"))
+        assert list((tmp_path / str(k)).iterdir()) == []
+    (tmp_path / "race").mkdir()
+    with pytest.raises(FileExistsError):
+        snapshot.migrate(df, head_of(kv), str(tmp_path / "race/out"), "hash", (tmp_path / "race/out").mkdir)
+    assert list((tmp_path / "race").iterdir()) == [tmp_path / "race/out"] and not list((tmp_path / "race/out").iterdir())
+
+
 def test_missing_and_false_nodes_are_refused(spark, base):
     _, kv, root = base
     with pytest.raises(ValueError, match="missing"):
@@ -185,20 +302,124 @@ def test_kv_reads(spark, base):
     assert [bytes(r.key) for r in kv_source.scan(df, b"h").collect()] == sorted(k for k in kv if k[:1] == b"h")
 
 
-def test_verbs(spark, base, tmp_path):
+def verb(spark, *args):
     from ledgerloom.__main__ import parser, run
 
-    df, _, _ = base
+    return run(spark, parser().parse_args([str(x) for x in args]))
+
+
+def test_verbs(spark, base, tmp_path):
+    df, _, root = base
     df.write.parquet(str(tmp_path / "kv"))
-    go = lambda *args: run(spark, parser().parse_args([str(x) for x in args]))
+    go = lambda *args: verb(spark, *args)
     assert go("export", "--source", tmp_path / "kv", "--out", tmp_path / "bundle", "--compression", "zstd")["accounts"] == 8
     direct = go("migrate", "--source", tmp_path / "kv", "--out", tmp_path / "direct", "--scheme", "path")
-    assert go("import", "--bundle", tmp_path / "bundle", "--out", tmp_path / "portable", "--scheme", "path") == direct
-    assert go("verify", "--bundle", tmp_path / "bundle", "--target", tmp_path / "direct", "--scheme", "path") == direct
-    assert go("prune", "--source", tmp_path / "kv", "--report", tmp_path / "report.json")["candidates_keys"] == 0
-    assert json.loads((tmp_path / "report.json").read_text())["unknown_keys"] == 0
+    portable = go("import", "--bundle", tmp_path / "bundle", "--out", tmp_path / "portable", "--scheme", "path")
+    assert portable["verification"]["inventory"] == direct["verification"]["inventory"] and target_rows(spark, tmp_path / "portable") == target_rows(spark, tmp_path / "direct")
+    assert go("verify", "--bundle", tmp_path / "bundle", "--target", tmp_path / "portable") == portable
+    assert go("verify", "--source", tmp_path / "kv", "--target", tmp_path / "direct") == direct
+    with pytest.raises(ValueError, match="portable"):
+        go("verify", "--bundle", tmp_path / "bundle", "--target", tmp_path / "direct")
+    found = go("prune", "--source", tmp_path / "kv", "--report", tmp_path / "report.json", "--genesis-root", root.hex())
+    assert found["measures"]["candidates_keys"] == 0 and json.loads((tmp_path / "report.json").read_text()) == found
     with pytest.raises(ValueError):
         go("export", "--source", tmp_path / "kv", "--out", tmp_path / "kv" / "inside")
+    with pytest.raises(SystemExit):
+        go("migrate", "--source", "", "--out", tmp_path / "x")
+
+
+def audit_of(head, code_hash):
+    state = {"root": "0x" + head.state_root.hex(), "ovmCodeHash": "0x" + code_hash.hex(), "balanceSlots": 7, "balancesWei": "308", "supplyWei": "308", "differenceWei": "0"}
+    one = "0x" + "11" * 32
+    totals = dict.fromkeys(("balanceDeltaWei", "supplyDeltaWei", "discrepancyDeltaWei", "gasShortfallWei", "legacySelfdestructWei", "unexplainedDeltaWei"), "0")
+    identity = {"version": 1, "genesis": one, "configHash": one, "witnessHash": one, "to": head.number, "toHash": "0x" + head.hash.hex(), "deSeqBlock": 0, "seqValidHeight": 0, "firstSequencer": "0x" + "00" * 20}
+    return {
+        "version": 1, "identity": identity, "clientVersion": "test", "from": 1, "verifiedBlocks": head.number, "genesisState": dict(state), "targetState": dict(state), "totals": totals,
+        "executionVerified": True, "accountingReconciled": True, "intervalCausesFullyExplained": True, "unexplainedEvents": 0, "genesisDifferenceExplained": True,
+    }
+
+
+def test_conversion_verb_and_its_replay(spark, base, tmp_path):
+    df, kv, _ = base
+    df.write.parquet(str(tmp_path / "kv"))
+    head = head_of(kv)
+    (tmp_path / "witness").write_text("\n".join(json.dumps({"type": "address", "address": "0x" + holder(n).hex()}) for n in range(1, 9)))
+    (tmp_path / "code").write_text("0x" + NEW_CODE.hex())
+    (tmp_path / "alloc").write_text(json.dumps({"0x" + holder(1).hex(): {"nonce": "9"}}))
+    (tmp_path / "audit").write_text(json.dumps(audit_of(head, keccak(b"\x60\x00\x00"))))
+    given = ["--source", tmp_path / "kv", "--token", TOKEN.hex(), "--witness", tmp_path / "witness", "--code", tmp_path / "code", "--alloc", tmp_path / "alloc", "--audit", tmp_path / "audit"]
+    made = verb(spark, "convert", *given, "--out", tmp_path / "out", "--scheme", "path")
+    said = made["verification"]
+    assert said["balances"]["migrated_native"] == "209" and said["audit"] == {"balance_sum": "308", "supply_difference": "0"} and said["checkpoint"]["head_before"]["number"] == 2
+    assert verb(spark, "verify", *given, "--target", tmp_path / "out") == made
+    rows = target_rows(spark, tmp_path / "out")
+    point = bytes.fromhex(said["checkpoint"]["head_before"]["hash"])
+    assert rows[b"LastBlock"] == point and rows[b"b" + (2).to_bytes(8, "big") + point] == b"\xc2\xc0\xc0"
+    with pytest.raises(ValueError, match="inputs are"):
+        verb(spark, "verify", *given[:-2], "--target", tmp_path / "out")
+    (tmp_path / "alloc").write_text(json.dumps({"0x" + holder(1).hex(): {"nonce": "8"}}))
+    with pytest.raises(ValueError, match="does not fit"):
+        verb(spark, "verify", *given, "--target", tmp_path / "out")
+
+
+def test_audits_are_strict(base, tmp_path):
+    _, kv, _ = base
+    good = audit_of(head_of(kv), bytes([1]) * 32)
+    read = lambda data: (tmp_path / "a").write_text(json.dumps(data)) and inputs.read_audit(str(tmp_path / "a"))
+    assert read(good) == good and read(good | {"matchesPreviousDiagnosis": True})
+    nested = lambda name, **x: good | {name: good[name] | x}
+    for bad in (
+        good | {"more": 1}, {k: v for k, v in good.items() if k != "totals"}, nested("identity", more=1), nested("identity", to=True), nested("identity", toHash="0x12"), nested("identity", to=-1),
+        nested("totals", gasShortfallWei="1"), nested("totals", balanceDeltaWei="1"), nested("targetState", balancesWei="0308"), nested("targetState", balancesWei="309"), good | {"from": 2},
+        good | {"executionVerified": False}, good | {"unexplainedEvents": 1}, good | {"clientVersion": ""}, nested("identity", configHash="0x" + "00" * 32), good | {"identity": 5},
+    ):
+        with pytest.raises(ValueError):
+            read(bad)
+
+
+def test_addresses_are_exact(spark):
+    import ipaddress
+    import itertools
+
+    parts = ["", "1", "ffff", "0", "12345", "g", "1.2.3.4", "1.2.3.256", "01.2.3.4"]
+    texts = {":".join(x) for n in range(1, 6) for x in itertools.product(parts, repeat=n) if n < 5 or x.count("") in (1, 2)}
+    texts |= {":".join(["a"] * n) for n in range(1, 10)} | {"::", ":::", "1::2::3", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8::", "::1%eth0", "::1%", "1.2.3.4%x", "fe80::1%a%b", "1:2:3:4:5:6:1.2.3.4", "::ffff:1.2.3.4", "1.2.3", "1.2.3.4.5", " ::1", "::1\n"}
+
+    def valid(text):
+        try:
+            ipaddress.ip_address(text.split("%", 1)[0] if "%" in text and ":" in text and text.split("%", 1)[1] else text)
+        except ValueError:
+            return False
+        return True
+
+    df = spark.createDataFrame([(t, valid(t)) for t in texts], "t string, want boolean")
+    assert df.where(snapshot.is_address(F.col("t")) != F.col("want")).collect() == []
+
+
+def test_phases_are_told(spark, caplog):
+    import logging
+    import time
+
+    from ledgerloom.plans.progress import Progress
+
+    progress = Progress(spark, "test", every=0.05)
+    with caplog.at_level(logging.INFO, "ledgerloom"), progress.phase("one") as say:
+        say["records"] = spark.range(1000).count()
+        time.sleep(0.2)
+    with pytest.raises(ValueError), progress.phase("two"):
+        raise ValueError
+    assert [(p["phase"], p["ok"]) for p in progress.phases] == [("one", True), ("two", False)] and progress.phases[0]["per_second"] > 0
+    assert any("goes on" in r.getMessage() for r in caplog.records)
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    from ledgerloom.plans import staging
+
+    with pytest.raises(ValueError), staging.scratch(spark):
+        path = staging.staged(spark.range(5), "x").inputFiles()[0].rsplit("/", 1)[0]
+        assert staging.exists(spark, path)
+        raise ValueError
+    assert not staging.exists(spark, path)
 
 
 def test_foreign_keys(spark):
