@@ -84,15 +84,14 @@ def traverse(kv: DataFrame, root: bytes) -> State:
 
 def check_roots(state: State, root: bytes) -> None:
     """Builds all roots from the leaves and compares them with those that the accounts and the head name."""
-    built = trie.trie_roots(state.slots).select(F.col("owner").alias("o"), F.col("root").alias("r"))
-    want = state.accounts.where(F.col("storage_root") != _bin(EMPTY_ROOT)).select("account_hash", "storage_root")
+    encoded = state.accounts.select(_bin(b"").alias("owner"), F.col("account_hash").alias("key"), "slim").mapInArrow(_full, "owner binary, key binary, value binary")
+    built = trie.trie_roots(state.slots.select("owner", "key", "value").unionByName(encoded)).select(F.col("owner").alias("o"), F.col("root").alias("r"))
+    top = state.accounts.sparkSession.createDataFrame([(bytearray(), bytearray(root))], "account_hash binary, storage_root binary")
+    want = state.accounts.select("account_hash", "storage_root").unionByName(top).where(F.col("storage_root") != _bin(EMPTY_ROOT))
     off = want.join(built, F.col("account_hash") == F.col("o"), "full_outer").where("account_hash IS NULL OR o IS NULL OR r != storage_root").first()
     if off:
-        raise ValueError(f"storage root of {off} differs from its slots")
-    encoded = state.accounts.select(_bin(b"").alias("owner"), F.col("account_hash").alias("key"), "slim").mapInArrow(_full, "owner binary, key binary, value binary")
-    got = trie.trie_roots(encoded).first()
-    if (bytes(got.root) if got else EMPTY_ROOT) != root:
-        raise ValueError("state root differs from its accounts")
+        owner = bytes(off.account_hash if off.account_hash is not None else off.o)
+        raise ValueError(f"storage root of {owner.hex()} differs from its slots" if owner else "state root differs from its accounts")
 
 
 def _full(batches):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import rlp
 from ledgerloom.functions.keccak import keccak
-from ledgerloom.plans import convert, history, snapshot, trie
+from ledgerloom.plans import convert, history, report, snapshot, trie
 from ledgerloom.sources import freezer, inputs, kv as kv_source, records
 from tests.fixtures import NEW_CODE, TOKEN, database, frame, holder, trie_rows
 
@@ -106,19 +106,19 @@ def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme):
     good = target_rows(spark, path)
     assert good[b"LastBlock"] == good[b"LastHeader"] == head.hash
     key = next(k for k in good if len(k) >= 32 and k[:1] not in b"hH")
+    state = snapshot.traverse(df, head.state_root)
     for change in ({b"LastBlock": bytes(32)}, {b"LastHeader": None}, {b"something else": b"x"}, {key: None}, {key: good[key] + b"x"}):
         rewritten(spark, path, {k: v for k, v in (good | change).items() if v is not None})
         with pytest.raises(ValueError):
-            snapshot.verify_direct(df, head, path)
+            snapshot.verify(spark, f"{path}/database", state, head, scheme)
     rewritten(spark, path, good)
     text = (tmp_path / "artifact/verification.json").read_text()
     (tmp_path / "artifact/.verification.json.crc").unlink(missing_ok=True)
     for old, new in (('"accounts": 8', '"accounts": 9'), ('"scheme"', '"schema"'), (head.hash.hex(), "00" * 32), ('"version": 1', '"version": 2')):
         (tmp_path / "artifact/verification.json").write_text(text.replace(old, new))
         with pytest.raises(ValueError):
-            snapshot.verify_direct(df, head, path)
+            snapshot._verified(spark, path, snapshot.read_artifact(spark, path), report.direct(head, scheme, state.counts()), state, head)
     (tmp_path / "artifact/verification.json").write_text(text)
-    assert snapshot.verify_direct(df, head, path) == made
     (tmp_path / "artifact/more").write_text("x")
     with pytest.raises(ValueError, match="no artifact"):
         snapshot.verify_direct(df, head, path)
