@@ -20,6 +20,16 @@ def limb_sums(value: Column, when: Column | None = None) -> list[Column]:
     return [F.coalesce(F.sum((limb(value, k) if when is None else F.when(when, limb(value, k))).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(f"limb{k}") for k in range(LIMBS)]
 
 
+def carried(limbs: list[Column]) -> Column:
+    """Sums of limbs to the 32 bytes of the number that they make; an error if it does not fit."""
+    over, parts = F.lit(0).cast("decimal(38,0)"), []
+    for limb_ in reversed(limbs):
+        now = limb_ + over
+        over = F.floor(now / F.lit(1 << 32)).cast("decimal(38,0)")
+        parts.append(F.lpad(F.hex((now - over * (1 << 32)).cast("long")), 8, "0"))
+    return F.when(over > 0, F.raise_error(F.lit("sum does not fit 256 bits")).cast("binary")).otherwise(F.unhex(F.concat(*reversed(parts))))
+
+
 def total(rows: DataFrame, value: Column, when: Column | None = None) -> int:
     """The exact sum; an error if it does not fit 256 bits."""
     row = rows.agg(*limb_sums(value, when)).first()

@@ -120,6 +120,35 @@ def write_stream(path: str, records, link: bytes, compression: str = "none") ->
     return e
 
 
+STREAMS = "stream int, path string, accounts long, storage_slots long, code_references long, code_records long, records long, payload_bytes long, size long, sha256 string, chain string"
+
+
+def write_streams(rows: DataFrame, folder: str, link: bytes, compression: str = "none") -> DataFrame:
+    """Rows (type, account_hash, sub_hash, payload) as several streams, one a range of accounts, to what was written of each (STREAMS).
+
+    For states that one stream, which one task writes, is too long for. Ranges are written at once, by the executors, to
+    a folder that all of them see; each has a record chain of its own, from the link with the range's number. A task
+    that is repeated writes its file anew.
+    """
+    import pyarrow as pa
+
+    order = ["account_hash", "type", "sub_hash"]
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId()
+        path, part = f"{folder}/state-{number:05d}.records", f"{folder}/.state-{number:05d}-{TaskContext.get().taskAttemptId()}"
+        stream = (row for b in batches for row in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
+        e = write_stream(part, stream, keccak(link + number.to_bytes(8, "big")), compression)
+        os.replace(part, path)
+        yield pa.RecordBatch.from_pylist([{"stream": number, "path": path} | asdict(e)], schema=pa.schema([("stream", pa.int32()), ("path", pa.string()), *[(k, pa.string() if isinstance(v, str) else pa.int64()) for k, v in asdict(e).items()]]))
+
+    ranged = rows.select("type", "account_hash", "sub_hash", "payload").repartitionByRange("account_hash").sortWithinPartitions(*order)
+    return ranged.mapInArrow(write, STREAMS)
+
+
 def scan_stream(file, compression: str = "none", seen=None):
     """The records of an open stream with their number; refuses what is cut off, out of bounds, or follows the end. seen: gets all decoded bytes."""
     import zstandard
