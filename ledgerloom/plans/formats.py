@@ -1,6 +1,6 @@
 """Queries that go through the byte formats: records, accounts, tries, artifacts, operators' files. Their SQL says the same from the tables.
 
-suppliers stand for accounts, their lines by part for storage, nations for code.
+suppliers stand for accounts, their lines by number for storage, nations for code.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ def encoded(n):
 
 
 def state_of(spark, sf_dir) -> snapshot.State:
-    lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
-    slots = staged(lines.select(keccak256(codec.u64_be(F.col("l_suppkey"))).alias("owner"), keccak256(codec.u64_be(F.col("l_partkey"))).alias("key"), encoded(F.col("amount")).alias("value")), "format-slots")
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
+    slots = staged(lines.select(keccak256(codec.u64_be(F.col("l_suppkey"))).alias("owner"), keccak256(codec.u64_be(F.col("l_linenumber"))).alias("key"), encoded(F.col("amount")).alias("value")), "format-slots")
     code = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").cast("binary").alias("code")).withColumn("code_hash", keccak256(F.col("code")))
     s = read(spark, sf_dir, "supplier").select(keccak256(codec.u64_be(F.col("s_suppkey"))).alias("account_hash"), F.col("s_suppkey").cast("decimal(20,0)").alias("nonce"), codec.pad32(codec.u64_be(F.abs(cents(F.col("s_acctbal"))))).alias("balance"), "s_nationkey")
     roots = trie.trie_roots(slots).select(F.col("owner").alias("account_hash"), F.col("root").alias("storage_root"))
@@ -59,7 +59,7 @@ def source_of(spark, sf_dir) -> tuple[snapshot.State, DataFrame, history.Head]:
     return state, staged(snapshot.layout(state, "hash").select("key", "value").unionByName(marks), "format-kv"), head
 
 
-COUNTS = """SELECT (SELECT count(*) FROM supplier) AS accounts, (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)) AS storage_slots,
+COUNTS = """SELECT (SELECT count(*) FROM supplier) AS accounts, (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_linenumber FROM lineitem)) AS storage_slots,
   (SELECT count(*) FROM supplier) AS code_references, (SELECT count(DISTINCT s_nationkey) FROM supplier) AS code_records"""
 
 
@@ -171,7 +171,7 @@ def storage_values(spark, sf_dir):
 
 
 @query(f"""SELECT s_suppkey, 1 AS type, {sql.rlp_list(sql.rlp_text(sql.digits_of("s_suppkey")), sql.rlp_text(sql.digits_of("abs(CAST(round(s_acctbal * 100) AS BIGINT))")), "'80'", "'80'")} AS payload FROM supplier
-UNION ALL SELECT l_suppkey, 2, {sql.rlp_text(sql.digits_of("amount"))} FROM (SELECT l_suppkey, l_partkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY ALL)""")
+UNION ALL SELECT l_suppkey, 2, {sql.rlp_text(sql.digits_of("amount"))} FROM (SELECT l_suppkey, l_linenumber, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY ALL)""")
 def record_streams(spark, sf_dir):
     """Accounts and slots written as framed streams, packed, several at once; read again with all checks."""
     number = F.col("s_suppkey")
@@ -183,8 +183,8 @@ def record_streams(spark, sf_dir):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["account_hash", "payload"])
 
     a = read(spark, sf_dir, "supplier").select(key.alias("account_hash"), number, F.abs(cents(F.col("s_acctbal"))).alias("m")).mapInArrow(slim, "account_hash binary, payload binary")
-    s = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey"), "l_partkey").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
-    s = s.select(F.lit(2).alias("type"), key.alias("account_hash"), F.unhex(F.sha2(F.col("l_partkey").cast("string").cast("binary"), 256)).alias("sub_hash"), encoded(F.col("amount")).alias("payload"))
+    s = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey"), "l_linenumber").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
+    s = s.select(F.lit(2).alias("type"), key.alias("account_hash"), F.unhex(F.sha2(F.col("l_linenumber").cast("string").cast("binary"), 256)).alias("sub_hash"), encoded(F.col("amount")).alias("payload"))
     rows = a.select(F.lit(1).alias("type"), "account_hash", F.lit(None).cast("binary").alias("sub_hash"), "payload").unionByName(s)
     link = records.first_link(1, bytes(32), bytes(32), b"")
     made = records.write_streams(rows, own_folder(spark, "streams"), link, "zstd").collect()  # one row a stream

@@ -67,6 +67,52 @@ def test_trie_known_root_and_split(spark):
         assert got == {o: (want[o], n) for o, n in owners.items()}
 
 
+def test_keccak_one_by_one_and_together():
+    draw = random.Random(2)
+    messages = [draw.randbytes(n) for n in (0, 1, 31, 32, 134, 135, 136, 137, 271, 272, 273, 1000)]
+    assert keccak_many(messages) == [keccak(m) for m in messages]
+
+
+def slow_root(leaves, depth=0):
+    """The reference of a trie's top, as the definition says it: nibble by nibble, nothing shared with the builder."""
+    def path(digits, leaf):
+        head = [2 * leaf + len(digits) % 2] + ([0] if len(digits) % 2 == 0 else []) + list(digits)
+        return bytes(16 * a + b for a, b in zip(head[::2], head[1::2], strict=True))
+
+    def item(rows):
+        if len(rows) == 1:
+            (k, v), = rows
+            return [path(k, True), v]
+        same = 0
+        while len({k[same] for k, _ in rows}) == 1:
+            same += 1
+        if same:
+            return [path(rows[0][0][:same], False), ref(item([(k[same:], v) for k, v in rows]))]
+        return [ref(item(part)) if (part := [(k[1:], v) for k, v in rows if k[0] == n]) else b"" for n in range(16)] + [b""]
+
+    def ref(node):
+        blob = rlp.encode(node)
+        return node if len(blob) < 32 else keccak(blob)
+
+    return keccak(rlp.encode(item([([d for b in k for d in (b >> 4, b & 15)], v) for k, v in leaves.items()])))
+
+
+def test_storage_roots_by_value(spark):
+    """The query's roots against the slow trie, for every supplier."""
+    import hashlib
+
+    from ledgerloom.plans import queries
+    from tests.oracle import DATA, tables
+
+    rows = tables().execute("SELECT l_suppkey, l_orderkey, l_linenumber, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) FROM lineitem GROUP BY ALL").fetchall()
+    leaves: dict = {}
+    digests = keccak_many([hashlib.sha256(f"{r[1]}:{r[2]}".encode()).digest() for r in rows])
+    for r, key in zip(rows, digests, strict=True):
+        leaves.setdefault(r[0], {})[key] = b"\x88" + r[3].to_bytes(8, "big")
+    got = {r.l_suppkey: (r.root, r.slots) for r in queries.storage_trie_roots(spark, DATA).collect()}
+    assert got == {k: (slow_root(v).hex(), len(v)) for k, v in leaves.items()}
+
+
 def test_codecs(spark):
     assert codec.successor(b"ab") == b"ac" and codec.successor(b"a\xff\xff") == b"b" and codec.successor(b"\xff") is None
     df = spark.createDataFrame([("0x" + "aB" * 20,), ("0X" + "ab" * 20,), ("0xabc",), (None,)], "t string")

@@ -16,11 +16,23 @@ def base(spark):
     return frame(spark, kv).cache(), kv, root
 
 
+@pytest.fixture(scope="module")
+def known(base):
+    df, _, root = base
+    return snapshot.traverse(df, root)
+
+
+@pytest.fixture
+def traversed(known, monkeypatch):
+    """For tests of what comes after a traversal: the source is not gone through each time."""
+    monkeypatch.setattr(snapshot, "traverse", lambda kv, root: known)
+
+
 def head_of(kv):
     return history.read_head(kv.get)
 
 
-def test_bundle_round_trip_and_layouts(spark, base, tmp_path):
+def test_bundle_round_trip_and_layouts(spark, base, tmp_path, traversed):
     df, kv, root = base
     head = head_of(kv)
     state = snapshot.traverse(df, root)
@@ -48,7 +60,7 @@ def test_bundle_round_trip_and_layouts(spark, base, tmp_path):
         snapshot.read_bundle(spark, str(tmp_path / "plain"))
 
 
-def test_packed_in_another_way_is_refused(base, tmp_path):
+def test_packed_in_another_way_is_refused(base, tmp_path, traversed):
     import zstandard
 
     df, kv, _ = base
@@ -97,7 +109,7 @@ def rewritten(spark, path, rows):
 
 
 @pytest.mark.parametrize("scheme", ["hash", "path"])
-def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme):
+def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme, known):
     df, kv, _ = base
     head, path = head_of(kv), str(tmp_path / "artifact")
     made = snapshot.migrate(df, head, path, scheme)
@@ -106,7 +118,7 @@ def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme):
     good = target_rows(spark, path)
     assert good[b"LastBlock"] == good[b"LastHeader"] == head.hash
     key = next(k for k in good if len(k) >= 32 and k[:1] not in b"hH")
-    state = snapshot.traverse(df, head.state_root)
+    state = known
     for change in ({b"LastBlock": bytes(32)}, {b"LastHeader": None}, {b"something else": b"x"}, {key: None}, {key: good[key] + b"x"}):
         rewritten(spark, path, {k: v for k, v in (good | change).items() if v is not None})
         with pytest.raises(ValueError):
@@ -124,9 +136,9 @@ def test_tampered_artifacts_are_refused(spark, base, tmp_path, scheme):
         snapshot.verify_direct(df, head, path)
 
 
-def test_path_layouts_stand_by_themselves(spark, base):
+def test_path_layouts_stand_by_themselves(spark, base, known):
     df, kv, root = base
-    rows = [tuple(r) for r in snapshot.layout(snapshot.traverse(df, root), "path").collect()]
+    rows = [tuple(r) for r in snapshot.layout(known, "path").collect()]
     check = lambda rows: snapshot.verify_paths(spark.createDataFrame(rows, "key binary, value binary, kind string"), root)
     check(rows)
     at = lambda kind: next(k for k, r in enumerate(rows) if r[2] == kind)
@@ -138,7 +150,7 @@ def test_path_layouts_stand_by_themselves(spark, base):
         check([(k, v[:-1] + bytes([v[-1] ^ 1]) if n == at("slot") else v, kind) for n, (k, v, kind) in enumerate(rows)])
 
 
-def test_failure_leaves_nothing(spark, base, tmp_path):
+def test_failure_leaves_nothing(spark, base, tmp_path, traversed):
     """A check that fails after writing, or a folder that appears meanwhile: no output, and nothing beside it."""
     df, kv, root = base
 
