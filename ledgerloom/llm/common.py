@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
@@ -99,6 +99,21 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def summed_before(df: DataFrame, order: list, **sums: Column) -> DataFrame:
+    """df with the sums, by name, over all rows that come before in an order of unique rows.
+
+    Rows are sorted into ranges, a task each; what lies before a range is summed over the ranges' totals, one row each.
+    """
+    part = fresh(df, "range")
+    rows = staged(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
+    totals = rows.groupBy(part).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col(part).alias("__of"), *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"__{n}") for n in sums])
+    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumns({n: F.coalesce(F.sum(c).over(within), F.lit(0)) for n, c in sums.items()}).join(F.broadcast(totals), F.col(part) == F.col("__of"))
+    return out.withColumns({n: F.col(n) + F.col(f"__{n}") for n in sums}).select(*df.columns, *sums)
+
+
 #: A key is heavy when it holds over one row in so many; there are fewer heavy keys than that, whatever the input.
 HEAVY_SHARE = 4096
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged, table, word_count
+from ledgerloom.llm.common import staged, summed_before, table, word_count
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (5, 2, 1)
@@ -33,21 +33,18 @@ def hash_of(doc_id: Column, text: Column) -> Column:
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """(skey, source_size) to (skey, source_size, target): shares by weight, none above `most` times its size.
 
-    Sorted by size over weight, the sources that stop come first. If those before one have stopped, the others share
+    Sources may be as many as documents: they are ranked, and summed up, by ranges. Sorted by size over weight, those
+    that stop come first. If those before one have stopped, the others share
     the rest at rate_k; rate_k rises while sources stop and falls after, so that the largest is the one that holds.
     """
-    every = Window.partitionBy()
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy("skey")))
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
-    before = Window.orderBy(F.col("source_size") / F.col("w"), "skey").rowsBetween(Window.unboundedPreceding, -1)
-    stopped = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most
-    gone = F.coalesce(F.sum("w").over(before), F.lit(0))
-    rate = (F.sum("source_size").over(every) - stopped).cast("double") / (F.sum("w").over(every) - gone)
-    return (
-        ranked.withColumn("w", w.cast("long")).withColumn("rate", rate)
-        .withColumn("target", F.least((F.col("source_size") * most).cast("double"), F.max("rate").over(every) * F.col("w")))
-        .select("skey", "source_size", "target")
-    )
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int")).cast("long")
+    ranked = summed_before(sizes.select("skey", "source_size"), [F.col("skey")], rank=F.lit(1)).withColumn("w", w)
+    order = [F.col("source_size") / F.col("w"), F.col("skey")]
+    rows = staged(summed_before(ranked.select("skey", "source_size", "w"), order, stopped=F.col("source_size"), gone=F.col("w")), "mix-sources")
+    size, weight = rows.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    rate = (F.lit(size) - F.col("stopped") * most).cast("double") / (F.lit(weight) - F.col("gone"))
+    top = rows.agg(F.max(rate)).first()[0]
+    return rows.select("skey", "source_size", F.least((F.col("source_size") * most).cast("double"), F.lit(top).cast("double") * F.col("w")).alias("target"))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -118,5 +115,3 @@ FROM c
 def stage(spark, docs, sf_dir):
     """The last stage of the pipeline: one row a document that is left, with how many of its words the mix takes."""
     return mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
-
-
