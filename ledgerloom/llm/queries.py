@@ -20,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op1_token_counts": token_rollup.ORACLE,
     "op3_secret_scan": secret_scan.ORACLE,
+    "op5_simhash_dedup": simhash_dedup.ORACLE,
     "op6_preference_format": preference_format.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op10_url_filter": url_filter.ORACLE,

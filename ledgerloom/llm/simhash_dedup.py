@@ -150,6 +150,51 @@ def op5_simhash_dedup(spark, sf_dir):
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _oracle() -> str:
+    """XXH64 lane by lane, bits by sums, and links among all fingerprints."""
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261  # fixed values of the hash
+    whole = 1 << 64
+    times = lambda a, b: f"CAST((CAST({a} AS UHUGEINT) * CAST({b} AS UHUGEINT)) % CAST('{whole}' AS UHUGEINT) AS UBIGINT)"
+    plus = lambda a, b: f"CAST((CAST({a} AS UHUGEINT) + CAST({b} AS UHUGEINT)) % CAST('{whole}' AS UHUGEINT) AS UBIGINT)"
+    let = lambda value, name, use: f"list_transform([{value}], lambda {name}: {use})[1]"
+    turn = lambda x, n: let(x, "r", f"((r & {(whole - 1) >> n}::UBIGINT) << {n}::UBIGINT) | (r >> {64 - n}::UBIGINT)")
+    step = lambda acc, lane: times(turn(plus(acc, times(lane, p2)), 31), p1)
+    lane = lambda at, size: "('0x' || " + " || ".join(f"substr(x, {at} + {k}, 2)" for k in range(2 * size - 1, 0, -2)) + ")::UBIGINT"
+    stripes = f"list_transform(range(0, n // 32), lambda i: [{', '.join(lane(f'64 * i + {16 * k}', 8) for k in range(4))}])"
+    first = [(SEED + p1 + p2) % whole, (SEED + p2) % whole, SEED, (SEED - p1) % whole]
+    lanes = f"list_reduce(list_prepend([{', '.join(f'{v}::UBIGINT' for v in first)}], {stripes}), lambda v, t: [{', '.join(step(f'v[{k}]', f't[{k}]') for k in (1, 2, 3, 4))}])"
+    joined = plus(plus(plus(turn("v[1]", 1), turn("v[2]", 7)), turn("v[3]", 12)), turn("v[4]", 18))
+    for k in (1, 2, 3, 4):
+        joined = plus(times(f"xor({joined}, {step('0', f'v[{k}]')})", p1), p4)
+    eights = f"list_transform(range(0, (n % 32) // 8), lambda i: {lane('64 * (n // 32) + 16 * i', 8)})"
+    fours = f"list_transform(range(0, (n % 8) // 4), lambda i: {lane('16 * (n // 8)', 4)})"
+    ones = f"list_transform(range(0, n % 4), lambda i: {lane('8 * (n // 4) + 2 * i', 1)})"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {SHINGLE} THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - {SHINGLE - 2}), lambda i: array_to_string(words[i:i + {SHINGLE - 1}], ' ')) END) AS shingle FROM w),
+b AS (SELECT shingle, lower(hex(encode(shingle))) AS x FROM (SELECT DISTINCT shingle FROM s)),
+c AS (SELECT shingle, x, length(x) // 2 AS n FROM b),
+d AS (SELECT *, CASE WHEN n >= 32 THEN {let(lanes, "v", joined)} ELSE {(SEED + p5) % whole}::UBIGINT END AS h FROM c),
+e AS (SELECT shingle, x, n, list_reduce(list_prepend({plus('h', 'n')}, {eights}), lambda a, k: {plus(times(turn(f"xor(a, {step('0', 'k')})", 27), p1), p4)}) AS h FROM d),
+f AS (SELECT shingle, x, n, list_reduce(list_prepend(h, {fours}), lambda a, k: {plus(times(turn(f"xor(a, {times('k', p1)})", 23), p2), p3)}) AS h FROM e),
+g AS (SELECT shingle, list_reduce(list_prepend(h, {ones}), lambda a, k: {times(turn(f"xor(a, {times('k', p5)})", 11), p1)}) AS h FROM f),
+i AS (SELECT shingle, {times("xor(h, h >> 33)", p2)} AS h FROM g),
+j AS (SELECT shingle, {times("xor(h, h >> 29)", p3)} AS h FROM i),
+k AS (SELECT shingle, xor(h, h >> 32) AS h FROM j),
+m AS (SELECT doc_id, {" + ".join(f"CASE WHEN 2 * sum(CAST((h >> {z}) & 1 AS BIGINT)) > count(*) THEN {1 << z}::UBIGINT ELSE 0 END" for z in range(64))} AS fp FROM s JOIN k USING (shingle) GROUP BY doc_id),
+o AS (SELECT doc_id, CAST(coalesce(fp, 0) AS UBIGINT) AS fp FROM documents LEFT JOIN m USING (doc_id)),
+q AS (SELECT fp, min(doc_id) AS least FROM o GROUP BY fp),
+l AS (SELECT a.fp AS u, z.fp AS v FROM q a JOIN q z ON bit_count(xor(a.fp, z.fp)) <= {RADIUS} AND a.fp <> z.fp),
+r(fp, met) AS (SELECT fp, fp FROM q UNION SELECT r.fp, l.v FROM r JOIN l ON r.met = l.u),
+t AS (SELECT r.fp, min(q.least) AS component_id FROM r JOIN q ON q.fp = r.met GROUP BY r.fp)
+SELECT doc_id, printf('%016x', fp) AS fingerprint, component_id FROM o JOIN t USING (fp)
+"""
+
+
+ORACLE = _oracle()
+
+
 def stage(spark, docs, sf_dir):
     """One document of each component stays: that of the smallest id, null if it has no other, and of its rows the one whose text sorts first.
 

@@ -606,3 +606,47 @@ def test_pipeline_stages(spark):
     first = {i for i in good if group[i] == i}
     assert {r.doc_id for r in rows} == {i for i in first if not any(b in (good[i].text or "") for b in bench)}
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "benchmark decontamination", "secret scans", "mixing sources to target weights"]
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls in all columns, shared ids, repeated rows, extra columns; and empty tables."""
+    import corpus_pipeline
+
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    item = bench.first()["text"]
+    clean = [(None, words(70, 91), "en", "a"), (None, words(70, 92), None, None), (1, words(70, 93), "en", "a"), (1, words(70, 94), "en", "b"), (1, words(70, 94), "en", "b")]
+    rows = [*clean, (2, f"before {item} after", "en", "a"), (None, f"{item} after", "en", "a"), (3, None, None, None), (None, None, None, None), (4, "", "en", "c"), (5, words(70, 95) + " password=hunter2hunter2", "en", "c")]
+    docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), "d", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, digest string, score int")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").where("quality = 1")  # all are good
+    for name, table in (("documents", docs), ("benchmark", bench), ("labels", labels)):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = sorted(((r.doc_id, r["size"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr)
+    empty = [(3, 0)]  # texts of nothing are one group; of its rows that of the smallest id stays
+    assert got == sorted([(None, 70), (None, 70), (1, 70), (1, 70), (5, 71), *empty], key=repr)
+    for name, table in (("documents", docs), ("benchmark", bench), ("labels", labels)):
+        table.limit(0).write.parquet(str(tmp_path / "none" / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_targets_of_many_sources(spark):
+    """As many sources as documents, over many ranges, against the rounds."""
+    draw = random.Random(4)
+    sizes = {f"0{n:05d}": draw.choice([0, 1, 5, 50, 1000, 100_000]) for n in range(400)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 13)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        got = {r.skey: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "skey string, source_size long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(sizes))}
+    want, left, open_ = {}, float(sum(sizes.values())), set(sizes)
+    while open_:
+        rate = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if rate * weight[s] > 3 * sizes[s]}
+        for s in full or open_:
+            want[s] = 3.0 * sizes[s] if full else rate * weight[s]
+            left -= want[s] if full else 0
+        open_ = open_ - full if full else set()
+    assert got == pytest.approx(want)
