@@ -399,3 +399,55 @@ def freezer_items(spark, sf_dir):
     cold = freezer.read_freezer(spark, at, {"hashes": False, "headers": True})
     text = lambda t, c: cold[t].select("number", F.col("value").cast("string").alias(c))
     return text("hashes", "name").join(text("headers", "packed"), "number")
+
+
+@query("""WITH h AS (SELECT s_suppkey, greatest(abs(CAST(round(s_acctbal * 100) AS BIGINT)), 1) AS amount, s_nationkey % 3 = 0 AS contract, s_suppkey IN (SELECT n_nationkey FROM nation WHERE n_nationkey > 0) AS sent FROM supplier)
+SELECT CAST(sum(amount) AS BIGINT) AS original_supply, CAST(coalesce(sum(amount) FILTER (NOT (contract AND sent)), 0) AS BIGINT) AS migrated_native, CAST(coalesce(sum(amount) FILTER (contract AND sent), 0) AS BIGINT) AS remaining_supply,
+  count(*) FILTER (NOT contract) AS eoa_holders, count(*) FILTER (contract AND NOT sent) AS converted_contract_holders, count(*) FILTER (contract AND sent) AS retained_contract_holders, (SELECT count(*) FROM nation WHERE n_nationkey > 0) AS transfers, 2 AS checkpoint FROM h""")
+def conversion_replay(spark, sf_dir):
+    """A token's balances converted into native ones, from state, history and witnesses to a published artifact, and verified by doing it again.
+
+    Suppliers hold the token, those of every third nation as contracts; a supplier of a nation's number has sent some.
+    """
+    from ledgerloom.plans import conversion
+
+    token, code, new_code = b"\xde\xad" * 10, b"\x60\x00", b"\x60\x80\x60\x40"
+    word = lambda n: codec.pad32(codec.u64_be(n))
+    held = read(spark, sf_dir, "supplier").select("s_suppkey", F.greatest(F.abs(cents(F.col("s_acctbal"))), F.lit(1)).alias("amount"), (F.col("s_nationkey") % 3 == 0).alias("contract"))
+    supply = held.agg(F.sum("amount")).first()[0]
+    bits = lambda b: F.lit(bytearray(b))
+    short = lambda n: F.when(n < 128, F.substring(codec.u64_be(n), 8, 1)).otherwise(encoded(n))
+    fixed = spark.createDataFrame([(bytearray(keccak((2).to_bytes(32, "big"))), bytearray(rlp.encode(supply))), (bytearray(keccak((3).to_bytes(32, "big"))), bytearray(rlp.encode(b"Token".ljust(31, b"\0") + bytes([10]))))], "key binary, value binary")
+    slots = held.select(keccak256(keccak256(F.concat(word(F.col("s_suppkey")), bits(bytes(32))))).alias("key"), short(F.col("amount")).alias("value")).unionByName(fixed)
+    slots = staged(slots.select(bits(keccak(token)).alias("owner"), "key", "value"), "token-slots")
+    root = trie.trie_roots(slots).first().root
+    own = spark.createDataFrame([(bytearray(keccak(token)), bytearray(rlp.Account(1, 0, bytes(root), keccak(code)).full()))], "key binary, value binary")
+    plain, with_code = (bits(rlp.Account(7, 0, EMPTY_ROOT, h).full()) for h in (EMPTY_CODE, keccak(code)))
+    address = F.lpad(codec.u64_be(F.col("s_suppkey")), 20, b"\x00")
+    accounts = held.select(keccak256(address).alias("key"), F.when(F.col("contract"), with_code).otherwise(plain).alias("value")).unionByName(own)
+    nodes = staged(trie.trie_nodes(accounts.select(bits(b"").alias("owner"), "key", "value").unionByName(slots)), "token-nodes")
+    state_root = bytes(nodes.where((F.octet_length("owner") == 0) & (F.col("path") == "")).first().hash)
+    # two blocks: nothing, and a receipt with a transfer from every nation's number
+    of = lambda n: n.to_bytes(32, "big")
+    logs = [[token, [history.TRANSFER, of(r.n_nationkey), of(1)], of(5)] for r in read(spark, sf_dir, "nation").where("n_nationkey > 0").orderBy("n_nationkey").collect()]
+    receipt = rlp.receipt([b"\x01", (21000).to_bytes(2, "big"), logs, b"", b"", b"", b""])
+    make = lambda parent, number, txs, receipts, bloom, gas: rlp.encode([parent, EMPTY_LIST, bytes(20), state_root, txs, receipts, bloom, 1, number, 1 << 24, gas, number + 1, b"", bytes(32), bytes(8)])
+    genesis = make(bytes(32), 0, EMPTY_ROOT, EMPTY_ROOT, bytes(256), 0)
+    last = make(keccak(genesis), 1, keccak(b"transactions"), trie.list_root([receipt.consensus()]), receipt.bloom, 21000)
+    marks = {b"LastBlock": keccak(last), keccak(code): code}
+    for n, blob, stored in ((0, genesis, b"\xc0"), (1, last, rlp.encode([[b"\x01", 21000, logs, b"", b"", b"", b""]]))):
+        number, hash_ = n.to_bytes(8, "big"), keccak(blob)
+        marks |= {b"h" + number + b"n": hash_, b"h" + number + hash_: blob, b"r" + number + hash_: stored, b"H" + hash_: number}
+    rows = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in marks.items()], "key binary, value binary")
+    kv = staged(nodes.select(F.col("hash").alias("key"), F.col("blob").alias("value")).dropDuplicates(["key"]).unionByName(rows), "token-kv")
+    at = own_folder(spark, "conversion")
+    with open(f"{at}/witness", "w") as f:  # an operator's file
+        f.writelines(json.dumps({"type": "address", "address": f"0x{r.s_suppkey:040x}"}) + "\n" for r in held.select("s_suppkey").toLocalIterator())
+    with open(f"{at}/code", "w") as f:
+        f.write("0x" + new_code.hex())
+    head, options = history.Head(1, keccak(last), state_root, last), conversion.Options(token, f"{at}/witness", f"{at}/code")
+    made = conversion.migrate(kv, head, options, f"{at}/out", "hash")
+    again = conversion.verify(kv, head, options, f"{at}/out")
+    names = ("original_supply", "migrated_native", "remaining_supply", "eoa_holders", "converted_contract_holders", "retained_contract_holders")
+    out = [int(made["balances"][k]) for k in names] + [made["history"]["transfers"], made["checkpoint"]["head_before"]["number"]]
+    return spark.createDataFrame([tuple(out)], ", ".join(f"{k} long" for k in (*names, "transfers", "checkpoint"))).where(F.lit(made == again))
