@@ -138,32 +138,37 @@ def describe(images: np.ndarray, tests: np.ndarray) -> list:
     return found
 
 
-def _descriptors(batches):
-    """(image_id, width, height, pixels) to (image_id, digest, xs, ys, bits): images whose size is not that of their pixels have no points."""
+def _descriptors(tests: np.ndarray):
+    """A function of (image_id, width, height, pixels) to (image_id, digest, xs, ys, bits): images whose size is not that of their pixels have no points."""
     from hashlib import blake2b
 
-    tests = _tests()
-    for batch in batches:
-        ids, widths, heights = (batch.column(k).to_pylist() for k in range(3))
-        pixels = [p.as_py() or b"" for p in batch.column(3)]
-        sizes: dict = {}
-        for i, p in enumerate(pixels):
-            if widths[i] and heights[i] and widths[i] * heights[i] == len(p):
-                sizes.setdefault((heights[i], widths[i]), []).append(i)
-        out = {}
-        for (h, w), of in sizes.items():
-            step = max(1, IMAGES * 9216 // (h * w))
-            for k in range(0, len(of), step):
-                part = of[k : k + step]
-                stack = np.stack([np.frombuffer(pixels[i], dtype=np.uint8).reshape(h, w) for i in part])
-                out.update(zip(part, describe(stack, tests), strict=True))
-        none = ([], [])
-        rows = [out.get(i, none) for i in range(len(ids))]
-        digests = [blake2b(p + f"{w}x{h}".encode(), digest_size=16).digest() for p, w, h in zip(pixels, widths, heights, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array([[float(z.real) for z in r[0]] for r in rows], pa.list_(pa.float32())), pa.array([[float(z.imag) for z in r[0]] for r in rows], pa.list_(pa.float32())), pa.array([b"".join(d.tobytes() for d in r[1]) for r in rows], pa.binary())],
-            names=["image_id", "digest", "xs", "ys", "bits"],
-        )
+    small = tests.astype(np.int8)  # goes to every task
+
+    def run(batches):
+        tests = small.astype(np.int64)
+        for batch in batches:
+            ids, widths, heights = (batch.column(k).to_pylist() for k in range(3))
+            pixels = [p.as_py() or b"" for p in batch.column(3)]
+            sizes: dict = {}
+            for i, p in enumerate(pixels):
+                if widths[i] and heights[i] and widths[i] * heights[i] == len(p):
+                    sizes.setdefault((heights[i], widths[i]), []).append(i)
+            out = {}
+            for (h, w), of in sizes.items():
+                step = max(1, IMAGES * 9216 // (h * w))
+                for k in range(0, len(of), step):
+                    part = of[k : k + step]
+                    stack = np.stack([np.frombuffer(pixels[i], dtype=np.uint8).reshape(h, w) for i in part])
+                    out.update(zip(part, describe(stack, tests), strict=True))
+            none = ([], [])
+            rows = [out.get(i, none) for i in range(len(ids))]
+            digests = [blake2b(p + f"{w}x{h}".encode(), digest_size=16).digest() for p, w, h in zip(pixels, widths, heights, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array([[float(z.real) for z in r[0]] for r in rows], pa.list_(pa.float32())), pa.array([[float(z.imag) for z in r[0]] for r in rows], pa.list_(pa.float32())), pa.array([b"".join(d.tobytes() for d in r[1]) for r in rows], pa.binary())],
+                names=["image_id", "digest", "xs", "ys", "bits"],
+            )
+
+    return run
 
 
 def _keys(batches):
@@ -302,7 +307,7 @@ def copies(images: DataFrame) -> DataFrame:
     fit them, have no points: only equal ones link.
     """
     small_batches(images.sparkSession, 4 * IMAGES)
-    rows = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors, "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
+    rows = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors(_tests()), "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
     any_of = [F.any_value(c).alias(c) for c in ("xs", "ys", "bits")]  # equal pixels have equal points
     classes = staged(rows.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n"), *any_of).withColumn("node", F.xxhash64("digest")), "media-classes")
     points = classes.select(F.col("node").alias("image_id"), "xs", "ys", "bits")
