@@ -23,5 +23,6 @@ ORACLES = {
     "op5_simhash_dedup": simhash_dedup.ORACLE,
     "op6_preference_format": preference_format.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op8_suffix_dedup": suffix_dedup.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }

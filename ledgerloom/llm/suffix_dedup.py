@@ -237,4 +237,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 
 def op8_suffix_dedup(spark, sf_dir):
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    """Where the passages are; with which of several others a passage was met (other_id) is the operator's to say."""
+    return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start_word", "n_words")
+
+
+#: All passages of LEAST words, those that two documents have, and the runs of their starts.
+ORACLE = f"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+p AS (SELECT doc, doc_id, unnest(list_transform(range(1, len(words) - {LEAST - 2}), lambda k: {{'k': k, 'h': md5(array_to_string(words[k:k + {LEAST - 1}], ' '))}})) AS x FROM w),
+s AS (SELECT x.h AS h FROM p GROUP BY x.h HAVING count(DISTINCT doc) > 1),
+q AS (SELECT doc, doc_id, x.k AS k, x.k - row_number() OVER (PARTITION BY doc ORDER BY x.k) AS run FROM p SEMI JOIN s ON p.x.h = s.h)
+SELECT doc_id, CAST(min(k) - 1 AS INTEGER) AS start_word, CAST(max(k) - min(k) + {LEAST} AS INTEGER) AS n_words FROM q GROUP BY doc, doc_id, run
+"""
