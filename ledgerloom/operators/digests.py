@@ -29,12 +29,21 @@ def chain_digest(rows: DataFrame, by: list[str], order: list[str], value: Column
     return rows.groupBy(*by).agg(chain.alias("digest"), F.count("*").alias("n"))
 
 
-def tree_digest(rows: DataFrame, key: Column, value: Column, depth: int = 2) -> DataFrame:
-    """digest, n: a 16-ary SHA-256 tree of fixed depth. Leaves hash (key, value); a node hashes its children in order of key.
+def tree_depth(count: int, group: int = 1024) -> int:
+    """How deep a tree must be for its lowest nodes to have about `group` rows; 2 at least."""
+    depth = 2
+    while count > group * 16**depth:
+        depth += 1
+    return depth
 
-    The leaves under one node of the lowest level come together in a task, 16 ** depth of them: deep trees have small
-    groups, so that a digest of any number of rows has no large task.
+
+def tree_digest(rows: DataFrame, key: Column, value: Column, depth: int | None = None) -> DataFrame:
+    """digest, n: a 16-ary SHA-256 tree. Leaves hash (key, value); a node hashes its children in order of key.
+
+    The leaves under one node of the lowest level come together in a task. The depth follows from the number of rows, so
+    that they stay few however many rows there are; give it where two tables of different sizes are to be compared.
     """
+    depth = tree_depth(rows.count()) if depth is None else depth
     level = rows.select(key.alias("k"), F.sha2(F.concat(key.cast("binary"), F.lit(":").cast("binary"), value.cast("binary")), 256).alias("h"), F.lit(1).cast("long").alias("n"))
     level = level.withColumn("path", F.substring(F.sha2(F.col("k").cast("binary"), 256), 1, depth))
     for d in range(depth, -1, -1):
