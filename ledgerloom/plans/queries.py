@@ -478,7 +478,12 @@ def keccak_digests(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", F.lower(F.hex(keccak256(F.col("p_name").cast("binary")))).alias("digest"))
 
 
-@query(None)
+_LINE_KEY = sql.keccak("sha256(l_orderkey || ':' || l_linenumber)")
+
+
+@query(f"""WITH RECURSIVE lines AS (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY ALL),
+leaves AS (SELECT l_suppkey AS owner, {_LINE_KEY} AS key, '88' || lpad(lower(to_base(amount, 16)), 16, '0') AS value FROM lines),{sql.trie_roots("leaves")}
+SELECT owner AS l_suppkey, root, n AS slots FROM roots""")
 def storage_trie_roots(spark, sf_dir):
     """A Merkle Patricia root for each supplier: keys are digests of its lines, values their encoded amounts."""
     from ledgerloom.functions.keccak import keccak256

@@ -1,4 +1,4 @@
-"""Pieces of SQL for the queries' SQL: Keccak-256 and recursive length prefixes, as expressions that DuckDB can work out."""
+"""Pieces of SQL for the queries' SQL: Keccak-256, recursive length prefixes and tries' roots, as DuckDB can work them out."""
 
 from __future__ import annotations
 
@@ -88,6 +88,39 @@ def rlp_text(digits: str) -> str:
 
 
 def rlp_list(*items: str) -> str:
-    """Encodes a list of encoded items, up to 255 bytes."""
-    head = "CASE WHEN length(q) < 112 THEN lower(to_base(192 + length(q) // 2, 16, 2)) ELSE 'f8' || lower(to_base(length(q) // 2, 16, 2)) END"
+    """Encodes a list of encoded items, up to 65,535 bytes."""
+    head = "CASE WHEN length(q) < 112 THEN lower(to_base(192 + length(q) // 2, 16, 2)) WHEN length(q) < 512 THEN 'f8' || lower(to_base(length(q) // 2, 16, 2)) ELSE 'f9' || lower(to_base(length(q) // 2, 16, 4)) END"
     return let(" || ".join(items), "q", f"{head} || q")
+
+
+def trie_roots(leaves: str, deepest: int = 12) -> str:
+    """(owner, root, n) from a relation of (owner, key: 64 digits, value: digits): tables to go on with, the last is named roots.
+
+    A branch is where two neighbours in the order of keys part; its parent is the next one above where any two part. From
+    the deepest level up, references of one branch come together, and go on to the branch above. Values are of so many
+    bytes that no node is less than 32.
+    """
+    apart = "coalesce(list_min(list_filter(range(1, 65), lambda i: substr(key, i, 1) <> substr(beside, i, 1))) - 1, -1)"
+    packed = lambda digits, odd, even: f"CASE WHEN length({digits}) % 2 = 1 THEN '{odd}' || {digits} ELSE '{even}' || {digits} END"
+    reference = lambda blob: f"'a0' || {keccak(blob)}"
+    leaf = reference(rlp_list(rlp_text(packed("rest", "3", "20")), rlp_text("value")))
+    items = "array_to_string(list_transform(range(0, 16), lambda d: coalesce(refs[lower(to_base(d, 16))], '80')), '') || '80'"
+    branch, extension = reference(rlp_list(items)), reference(rlp_list(rlp_text(packed("path", "1", "00")), "ref"))
+    return f"""
+sorted AS (SELECT owner, key, value, lag(key) OVER w AS before, lead(key) OVER w AS after FROM {leaves} WINDOW w AS (PARTITION BY owner ORDER BY key)),
+parted AS (SELECT owner, key, value, (SELECT {apart} FROM (SELECT before AS beside)) AS low, (SELECT {apart} FROM (SELECT after AS beside)) AS high FROM sorted),
+lengths AS (SELECT DISTINCT owner, substr(key, 1, high) AS branch, high AS depth FROM parted WHERE high >= 0),
+below AS (SELECT l.owner, l.branch, l.depth, p.low, p.high FROM parted p JOIN (SELECT DISTINCT owner, depth FROM lengths) d ON p.owner = d.owner JOIN lengths l ON l.owner = d.owner AND l.depth = d.depth AND l.branch = substr(p.key, 1, d.depth)),
+parents AS (SELECT owner, branch, depth, greatest(coalesce(max(low) FILTER (low < depth), -1), coalesce(max(high) FILTER (high < depth), -1)) AS up FROM below GROUP BY ALL),
+ends AS (SELECT owner, key, value, greatest(low, high) AS up, substr(key, greatest(low, high) + 2) AS rest FROM parted),
+rising(level, owner, branch, up, nibble, ref) AS (
+  SELECT {deepest}, owner, substr(key, 1, greatest(up, 0)), up, CASE WHEN up < 0 THEN '' ELSE substr(key, up + 1, 1) END, {leaf} FROM ends
+  UNION ALL
+  SELECT level - 1, owner, CASE WHEN now THEN substr(branch, 1, greatest(above, 0)) ELSE branch END, CASE WHEN now THEN above ELSE up END,
+    CASE WHEN NOT now THEN nibble WHEN above < 0 THEN '' ELSE substr(branch, above + 1, 1) END,
+    CASE WHEN NOT now THEN ref WHEN path = '' THEN ref ELSE {extension} END
+  FROM (SELECT level, owner, branch, up, nibble, now, above, CASE WHEN now THEN substr(branch, above + 2) ELSE '' END AS path, CASE WHEN now THEN {branch} ELSE lone END AS ref
+    FROM (SELECT g.*, p.up AS above FROM (
+      SELECT level, owner, branch, up, up = level AS now, CASE WHEN up = level THEN '' ELSE nibble END AS nibble, map_from_entries(list((nibble, ref))) AS refs, any_value(ref) AS lone
+      FROM rising WHERE level >= 0 GROUP BY level, owner, branch, up, CASE WHEN up = level THEN '' ELSE nibble END) g LEFT JOIN parents p ON now AND p.owner = g.owner AND p.branch = g.branch AND p.depth = g.up))),
+roots AS (SELECT r.owner, substr(r.ref, 3) AS root, n.n FROM rising r JOIN (SELECT owner, count(*) AS n FROM {leaves} GROUP BY owner) n ON n.owner = r.owner WHERE r.level = -1)"""
