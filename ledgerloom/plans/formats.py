@@ -22,8 +22,11 @@ from ledgerloom.plans.staging import shared_dir, staged
 from ledgerloom.sources import freezer, inputs, records
 
 def own_folder(spark, name: str) -> str:
-    """A new local path in the shared folder, for the formats that are read as plain files."""
-    at = f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, for the formats that are read as plain files: the folder must be a mount."""
+    base = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    if "://" in base:
+        raise ValueError(f"bundles, history and operators' files are plain files, which {base} has not")
+    at = f"{base}/{name}-{uuid.uuid4().hex}"
     os.makedirs(at)
     return at
 
