@@ -11,8 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Paths of the tables staged within the scopes that are open, the innermost last.
+#: Paths of the tables staged within the scopes that are open, the innermost last; and names of those in the catalogue, by path.
 _SCOPES: list[list[str]] = []
+_NAMED: dict[str, str] = {}
 #: Of Linux's renameat2: the target must not exist; the folder that relative paths start from.
 NOREPLACE, HERE = 1, -100
 
@@ -29,13 +30,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again: cuts lineage, and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    path = _new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The same as a table that is bucketed and sorted by a key: joins on the key shuffle their other side only."""
+    spark = df.sparkSession
+    path = _new_path(spark, name)
+    buckets, table = int(spark.conf.get("spark.sql.shuffle.partitions")), path.rpartition("/")[2].replace("-", "_")
+    _NAMED[path] = table
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
     """Tables staged within are removed at its end, whatever ended it; DataFrames that rest on them must not leave it."""
@@ -44,6 +60,8 @@ def scratch(spark: SparkSession):
         yield
     finally:
         for path in _SCOPES.pop():
+            if table := _NAMED.pop(path, None):
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
             remove(spark, path)
 
 

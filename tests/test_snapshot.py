@@ -428,10 +428,12 @@ def test_scratch_is_removed(spark, tmp_path):
     from ledgerloom.plans import staging
 
     with pytest.raises(ValueError), staging.scratch(spark):
-        path = staging.staged(spark.range(5), "x").inputFiles()[0].rsplit("/", 1)[0]
-        assert staging.exists(spark, path)
+        paths = [df.inputFiles()[0].rsplit("/", 1)[0] for df in (staging.staged(spark.range(5), "x"), staging.staged_by(spark.range(5), "y", "id"))]
+        assert all(staging.exists(spark, p) for p in paths) and staging._NAMED
+        name = staging._NAMED[paths[1]] if paths[1] in staging._NAMED else list(staging._NAMED.values())[-1]
+        assert spark.catalog.tableExists(name)
         raise ValueError
-    assert not staging.exists(spark, path)
+    assert not any(staging.exists(spark, p) for p in paths) and not spark.catalog.tableExists(name)
 
 
 def test_foreign_keys(spark):
