@@ -255,7 +255,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, bl
 
 
 def op9_decontaminate(spark, sf_dir):
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Which items occur in which documents, and with how many edits; at which word (start_word) is the operator's to say."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "edits")
+
+
+def _oracle() -> str:
+    """The edit distance of each item to any part of each text, column by column, for pairs that share as many runs of words as an occurrence must."""
+    marks = MARKS.decode().replace("'", "''")
+    words = f"list_transform(regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+'), lambda w: CASE WHEN trim(w, '{marks}') = '' THEN w ELSE trim(w, '{marks}') END)"
+    runs = lambda of: f"list_transform(range(1, len({of}) - g + 2), lambda z: array_to_string({of}[z:z + g - 1], ' '))"
+    # s: the least distance so far, then the distances of the item's beginnings to a part that ends before the word t
+    column = "list_reduce(list_prepend([0], list_transform(range(1, m + 1), lambda i: [i])), lambda a, x: list_append(a, least(a[-1] + 1, s[x[1] + 2] + 1, s[x[1] + 1] + CASE WHEN item[x[1]] = text[t[1]] THEN 0 ELSE 1 END)))"
+    step = f"list_transform([{column}], lambda n: list_prepend(least(s[1], n[-1]), n))[1]"
+    edits = f"list_reduce(list_prepend(list_prepend(m, range(0, m + 1)), list_transform(range(1, len(text) + 1), lambda j: [j])), lambda s, t: {step})[1]"
+    return f"""
+WITH i AS (SELECT item_id, {words} AS item FROM benchmark),
+j AS (SELECT item_id, item, len(item) AS m, CAST(floor(len(item) * {EDITS} + 1e-9) AS BIGINT) AS tau FROM i WHERE len(item) > 0),
+h AS (SELECT *, least({RUN}, CAST(ceil((m - tau) / (tau + 1.0)) AS BIGINT)) AS g FROM j),
+k AS (SELECT *, CASE WHEN len(list_distinct({runs("item")})) = m - g + 1 THEN greatest(m - g + 1 - g * tau, 1) ELSE 1 END AS least_runs FROM h),
+d AS (SELECT doc_id, {words} AS text FROM documents),
+a AS (SELECT item_id, g, unnest({runs("item")}) AS run FROM k),
+b AS (SELECT doc_id, g, unnest({runs("text")}) AS run FROM d, (SELECT DISTINCT g FROM k)),
+c AS (SELECT b.doc_id, a.item_id, count(DISTINCT a.run) AS n FROM b JOIN a USING (g, run) GROUP BY ALL),
+e AS (SELECT c.doc_id, c.item_id, tau, {edits} AS edits FROM c JOIN k USING (item_id) JOIN d USING (doc_id) WHERE c.n >= least_runs)
+SELECT doc_id, item_id, CAST(edits AS INTEGER) AS edits FROM e WHERE edits <= tau
+"""
+
+
+ORACLE = _oracle()
 
 
 def stage(spark, docs, sf_dir):

@@ -24,5 +24,6 @@ ORACLES = {
     "op6_preference_format": preference_format.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_suffix_dedup": suffix_dedup.ORACLE,
+    "op9_decontaminate": decontaminate.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }
