@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, media_copies, mixing, periodic_runs, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
+from ledgerloom.llm import collocations, decontaminate, media_copies, mixing, periodic_runs, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
 
 QUERIES = {
     "op1_token_counts": token_rollup.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_collocations": collocations.op11_collocations,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
@@ -27,5 +28,6 @@ ORACLES = {
     "op8_suffix_dedup": suffix_dedup.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_periodic_runs": periodic_runs.ORACLE,
 }
