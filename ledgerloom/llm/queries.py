@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import collocations, decontaminate, media_copies, mixing, periodic_runs, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
+from ledgerloom.llm import collocations, decontaminate, line_rules, media_copies, mixing, periodic_runs, preference_format, quality_fm, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
 
 QUERIES = {
     "op1_token_counts": token_rollup.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_collocations": collocations.op11_collocations,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_line_rules": line_rules.op13_line_rules,
 }
 
 ORACLES = {
@@ -30,4 +31,5 @@ ORACLES = {
     "op10_url_filter": url_filter.ORACLE,
     "op11_collocations": collocations.ORACLE,
     "op12_periodic_runs": periodic_runs.ORACLE,
+    "op13_line_rules": line_rules.ORACLE,
 }
