@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import rlp
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256
-from ledgerloom.operators import counts, merge, order
+from ledgerloom.operators import counts, merge, order, stream
 from ledgerloom.plans import history, report, trie
 from ledgerloom.plans.staging import appearing, names_in, staged
 from ledgerloom.sources import inputs, records
@@ -156,25 +156,33 @@ def read_bundle(spark: SparkSession, folder: str, domain: bytes | None = None) -
     link = records.first_link(head.number, head.hash, root, head.header, named)
     records.verify_stream(f"{folder}/{name}", evidence, link, source["compression"], canonical=True)
     rows = staged(records.read_records(spark, [f"{folder}/{name}"], source["compression"]), "records")
+    accounts, slots, code = read_state(rows)
+    state = State(accounts.drop("seq"), slots.drop("seq"), code.drop("seq"), spark.createDataFrame([], "owner binary, path string, hash binary, blob binary"))
+    check_roots(state, root)
+    return state, head, {"evidence": evidence, "manifest_sha256": inputs.file_digest(f"{folder}/manifest.json")}
+
+
+def read_state(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Accounts, slots and code, each with its seq, of records (seq, type, account_hash, sub_hash, payload); an error where one stands that may not.
+
+    What follows what is checked by ranges of the stream. Code has its digest, and comes where it is named first: behind
+    the slots of the first account that names it, and there only.
+    """
     a = rows.where("type = 1").select(F.col("account_hash").alias("key"), F.col("payload"), "seq")
     accounts = staged(a.mapInArrow(_slim, ACCOUNT + ", seq long"), "accounts")
     slots = rows.where("type = 2").select(F.col("account_hash").alias("owner"), F.col("sub_hash").alias("key"), F.col("payload").alias("value"), "seq")
     code = rows.where("type = 3").select(F.col("account_hash").alias("code_hash"), F.col("payload").alias("code"), "seq")
-    faults = {
-        "slot before its account": slots.join(accounts.select(F.col("account_hash").alias("owner"), F.col("seq").alias("from")), "owner", "left").where("from IS NULL OR seq <= from"),
-        "code has another digest": code.where(keccak256(F.col("code")) != F.col("code_hash")),
-        "code that no account names": code.join(accounts, "code_hash", "left_anti"),
-        "code is missing": accounts.where(F.col("code_hash") != _bin(EMPTY_CODE)).join(code, "code_hash", "left_anti"),
-        "accounts out of order": order.not_increasing(accounts, "seq", "account_hash"),
-        # a slot's key behind its owner's: in order for all owners at once, as accounts are
-        "slots out of order": order.not_increasing(slots.withColumn("both", F.concat("owner", "key")), "seq", "both"),
-    }
-    for what, df in faults.items():
-        if not df.isEmpty():
-            raise ValueError(what)
-    state = State(accounts.drop("seq"), slots.drop("seq"), code.drop("seq"), spark.createDataFrame([], "owner binary, path string, hash binary, blob binary"))
-    check_roots(state, root)
-    return state, head, {"evidence": evidence, "manifest_sha256": inputs.file_digest(f"{folder}/manifest.json")}
+    own = accounts.select("seq", F.lit(1).alias("type"), "account_hash", F.lit(None).cast("binary").alias("sub_hash"), F.col("code_hash").alias("code"))
+    rest = rows.where("type != 1").select("seq", "type", "account_hash", "sub_hash", F.lit(None).cast("binary").alias("code"))
+    first = accounts.where(F.col("code_hash") != _bin(EMPTY_CODE)).groupBy("code_hash").agg(F.min(F.struct("seq", "account_hash")).alias("by"))
+    sizes = slots.groupBy(F.col("owner").alias("account_hash")).agg(F.count("*").alias("n"))
+    due = first.select("code_hash", "by.*").join(sizes, "account_hash", "left").select("code_hash", (F.col("seq") + F.coalesce("n", F.lit(0)) + 1).alias("due"))
+    there = code.select("code_hash", F.col("seq").alias("at"), (keccak256(F.col("code")) != F.col("code_hash")).alias("false"))
+    place = F.when(F.col("false"), "code has another digest").when(F.col("due").isNull(), "code that no account names").when(F.col("at").isNull(), "code is missing").when(F.col("at") != F.col("due"), "code is not where it is named first")
+    faults = stream.first_fault(own.unionByName(rest)).select("fault").unionByName(due.join(there, "code_hash", "full_outer").select(place.alias("fault")).where("fault IS NOT NULL"))
+    if bad := faults.first():
+        raise ValueError(bad.fault)
+    return accounts, slots, code
 
 
 def _slim(batches):

@@ -60,6 +60,67 @@ def test_bundle_round_trip_and_layouts(spark, base, tmp_path, traversed):
         snapshot.read_bundle(spark, str(tmp_path / "plain"))
 
 
+def rewritten_stream(folder, head, change):
+    """The plain bundle in the folder with its records changed, and with counts, digests and chain that fit."""
+    path, manifest = folder / "state.records", folder / "manifest.json"
+    with open(path, "rb") as file:
+        rows = [r[1:] for r in records.scan_stream(file)]
+    path.unlink()
+    e = records.write_stream(str(path), change(rows), records.first_link(head.number, head.hash, head.state_root, head.header))
+    _, source = records.read_manifest(str(manifest))
+    records.write_manifest(str(manifest), e, **source)
+
+
+MISORDERED = {
+    "slot (of another account|after its account's code)": lambda rows: moved(rows, slot_of(rows), slot_of(rows) - 1),
+    "(code of another account|a second code|first account)": lambda rows: moved(rows, code_of(rows), code_of(rows) - 1),
+    "(code of another account|a second code|named first)": lambda rows: moved(rows, code_of(rows), code_of(rows) + 1),
+    "slots out of order": lambda rows: moved(rows, slot_of(rows) + 1, slot_of(rows)),
+    "accounts out of order": lambda rows: moved(rows, len(rows) - 1, len(rows) - 2) if rows[-1][0] == rows[-2][0] == 1 else rows[:1] + rows,
+    "code is missing": lambda rows: rows[: code_of(rows)] + rows[code_of(rows) + 1 :],
+    "a second code of an account": lambda rows: rows[: code_of(rows)] + rows[code_of(rows) :][:1] + rows[code_of(rows) :],
+    "a record before the first account": lambda rows: [rows[slot_of(rows)]] + rows,
+}
+
+
+def slot_of(rows):
+    return next(k for k, r in enumerate(rows) if r[0] == 2)
+
+
+def code_of(rows):
+    return next(k for k, r in enumerate(rows) if r[0] == 3)
+
+
+def moved(rows, k, to):
+    rest = rows[:k] + rows[k + 1 :]
+    return rest[:to] + [rows[k]] + rest[to:]
+
+
+@pytest.mark.parametrize("fault", MISORDERED)
+def test_misordered_bundles_are_refused(spark, base, tmp_path, traversed, fault):
+    df, kv, _ = base
+    snapshot.export(df, head_of(kv), str(tmp_path / "b"))
+    snapshot.read_bundle(spark, str(tmp_path / "b"))
+    rewritten_stream(tmp_path / "b", head_of(kv), MISORDERED[fault])
+    with pytest.raises(ValueError, match=fault):
+        snapshot.read_bundle(spark, str(tmp_path / "b"))
+
+
+def test_code_comes_where_it_is_named_first(spark, base, tmp_path, traversed):
+    """The code that three accounts name, behind the second of them."""
+    df, kv, _ = base
+    snapshot.export(df, head_of(kv), str(tmp_path / "b"))
+
+    def later(rows):
+        k = next(k for k, r in enumerate(rows) if r[0] == 3 and sum(rlp.slim_account(x[3]).code_hash == r[1] for x in rows if x[0] == 1) == 3)
+        second = [j for j, x in enumerate(rows) if x[0] == 1 and rlp.slim_account(x[3]).code_hash == rows[k][1]][1]
+        return rows[:k] + rows[k + 1 : second + 1] + [rows[k]] + rows[second + 1 :]
+
+    rewritten_stream(tmp_path / "b", head_of(kv), later)
+    with pytest.raises(ValueError, match="named first"):
+        snapshot.read_bundle(spark, str(tmp_path / "b"))
+
+
 def test_packed_in_another_way_is_refused(base, tmp_path, traversed):
     import zstandard
 
