@@ -78,11 +78,11 @@ def conversations_of(turns: DataFrame) -> DataFrame:
 def preference_pairs(turns: DataFrame) -> DataFrame:
     """Each conversation as chosen, and as rejected the same with its last assistant turn answered by the next conversation's.
 
-    The next is that of conv_id + 1; where it has no assistant turn, or is missing, the answer is empty, as it is for
-    conversations without an id. A conversation without an assistant turn is rejected as it is.
+    The next is that of conv_id + 1 (the largest number has none, and the smallest is no one's); where it has no assistant
+    turn, or is missing, the answer is empty, as it is for conversations without an id. A conversation without an assistant turn is rejected as it is.
     """
     every = conversations_of(turns)
-    answers = every.select((F.col("conv_id") - 1).alias("conv_id"), F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(F.filter("turns", lambda t: t["role"] == TRAINED), lambda t: t["text"])), -1).alias("answer"))
+    answers = every.select(F.try_subtract(F.col("conv_id").cast("long"), F.lit(1).cast("long")).alias("conv_id"), F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(F.filter("turns", lambda t: t["role"] == TRAINED), lambda t: t["text"])), -1).alias("answer"))
     last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))), True).cast("int")
     has = F.exists("turns", lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))
     swapped = F.transform("turns", lambda t, i: F.struct(t["role"].alias("role"), F.when(has & (i == last), F.coalesce("answer", F.lit(""))).otherwise(t["text"]).alias("text")))
@@ -100,7 +100,7 @@ e AS (SELECT row_number() OVER () AS row, conv_id, turns FROM g),
 l AS (SELECT row, conv_id, turns, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: CASE WHEN turns[i].role = 'assistant' THEN i ELSE 0 END)), 0) AS at FROM e),
 s AS (SELECT l.row, l.conv_id, l.turns AS chosen,
         list_transform(l.turns, lambda t, i: CASE WHEN i = l.at THEN {'role': t.role, 'text': coalesce(n.turns[nullif(n.at, 0)].text, '')} ELSE t END) AS rejected
-      FROM l LEFT JOIN l n ON n.conv_id = l.conv_id + 1),
+      FROM l LEFT JOIN l n ON n.conv_id = l.conv_id::HUGEINT + 1),
 p AS (SELECT *, coalesce(list_min(list_filter(range(1, len(chosen) + 1), lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1, len(chosen)) AS k FROM s),
 c AS (SELECT row, conv_id, k, unnest([0, 1, 2]) AS part, unnest([chosen[1:k], chosen[k + 1:], rejected[k + 1:]]) AS turns FROM p),
 r AS (SELECT row, conv_id, k, part, turns, list_transform(turns, lambda t: '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10)) AS shown FROM c),

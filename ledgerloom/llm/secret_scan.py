@@ -28,9 +28,10 @@ WINDOW = 20
 CLASSES = (("entropy_hex", r"^([0-9a-f]+|[0-9A-F]+)$", 2.9), ("entropy_base64", r"", 3.8))
 #: What looks like a path, lower-cased, and its pieces that are candidates.
 PATH, PIECE = r"/[a-z_-]+/[a-z_-]+/", r"[A-Za-z0-9+_-]{20,}"
-#: Candidates that are no secrets, lower-cased: placeholders, UUIDs, and the digests of the empty string.
+#: Placeholders, lower-cased: they are no part of a secret, and what is left and right of one is judged by itself.
+PLACEHOLDERS = ("example", "sample", "placeholder", "dummy", "changeme", "your_", "your-", "xxxx", "0000000000", "1234567890")
+#: Candidates that are no secrets, lower-cased: UUIDs, and the digests of the empty string.
 ALLOWED = (
-    r"example|sample|placeholder|dummy|changeme|your[_-]|xxxx|0000000000|1234567890",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^(d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855)$",
 )
@@ -118,14 +119,26 @@ def allowed(word: Column) -> Column:
     return out
 
 
+def blanked(low: Column) -> Column:
+    """Placeholders replaced by as many blanks."""
+    for word in PLACEHOLDERS:
+        low = F.replace(low, F.lit(word), F.lit(" " * len(word)))
+    return low
+
+
 def candidates(text: Column) -> Column:
-    """The runs of CANDIDATE; of one that looks like a path, its pieces between slashes that are as long: a path hides no secret in it."""
+    """The runs of CANDIDATE; of one that looks like a path, its pieces between slashes that are as long: a path hides no secret in it. Nor does a placeholder: what it leaves is cut out in the same way."""
+
+    def within(x: Column, shown: Column, pattern: str) -> Column:
+        return F.transform(located(shown, pattern), lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), F.substring(x["m"], y["s"] + 1, y["e"] - y["s"]).alias("m")))
 
     def pieces(x: Column) -> Column:
-        inner = F.transform(located(x["m"], PIECE), lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m")))
-        return F.when(F.lower(x["m"]).rlike(PATH), inner).otherwise(F.array(x))
+        return F.when(F.lower(x["m"]).rlike(PATH), within(x, x["m"], PIECE)).otherwise(F.array(x))
+
+    def parts(x: Column) -> Column:
+        return F.when(F.lower(x["m"]).rlike("|".join(PLACEHOLDERS)), within(x, blanked(F.lower(x["m"])), CANDIDATE)).otherwise(F.array(x))
 
-    return F.flatten(F.transform(located(text, CANDIDATE), pieces))
+    return F.flatten(F.transform(F.flatten(F.transform(located(text, CANDIDATE), pieces)), parts))
 
 
 def entropy_spans(text: Column) -> Column:
@@ -133,7 +146,9 @@ def entropy_spans(text: Column) -> Column:
     hexa = CLASSES[0][1]
     rank = F.lit(KINDS.index("entropy_hex")), F.lit(KINDS.index("entropy_base64"))
     least = [F.lit(round(bits * WINDOW * 1e6)).cast("long") for *_, bits in CLASSES]
-    high = F.filter(words, lambda x: window_entropy(x["m"]) >= F.when(x["m"].rlike(hexa), least[0]).otherwise(least[1]))
+    kinds = [math.ceil(2**bits) for *_, bits in CLASSES]  # of characters: fewer cannot reach that entropy
+    many = F.filter(words, lambda x: F.size(F.array_distinct(F.split(x["m"], ""))) >= F.when(x["m"].rlike(hexa), kinds[0]).otherwise(kinds[1]))
+    high = F.filter(many, lambda x: window_entropy(x["m"]) >= F.when(x["m"].rlike(hexa), least[0]).otherwise(least[1]))
     return F.transform(high, lambda x: F.struct(x["s"].alias("s"), F.when(x["m"].rlike(hexa), rank[0]).otherwise(rank[1]).alias("rank"), x["e"].alias("e"), F.when(x["m"].rlike(hexa), F.lit("entropy_hex")).otherwise(F.lit("entropy_base64")).alias("kind")))
 
 
@@ -221,6 +236,9 @@ def _oracle() -> str:
     allow = " OR ".join(f"regexp_matches(lower(m), '{p}')" for p in ALLOWED)
     is_hex = f"regexp_matches(m, '{CLASSES[0][1]}')"
     least = [round(bits * WINDOW * 1e6) for *_, bits in CLASSES]
+    blank = "lower(m)"
+    for x in PLACEHOLDERS:
+        blank = f"replace({blank}, '{x}', '{' ' * len(x)}')"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 f AS ({" UNION ALL ".join(parts)}),
@@ -233,7 +251,12 @@ w AS (SELECT doc_id, m, s FROM u WHERE rank = 9 AND NOT regexp_matches(lower(m),
         SELECT doc_id, s AS base_at, unnest(regexp_extract_all(m, '{PIECE}')) AS m, unnest(list_transform(range(1, len(regexp_extract_all(m, '{PIECE}')) + 1), lambda i:
           CAST(list_sum(list_transform(string_split_regex(m, '{PIECE}')[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all(m, '{PIECE}')[1:i - 1], lambda x: length(x))), 0) AS BIGINT))) AS piece_at
         FROM u WHERE rank = 9 AND regexp_matches(lower(m), '{PATH}'))),
-c AS (SELECT * FROM w WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT ({allow})),
+v AS (SELECT doc_id, m, s FROM w WHERE NOT regexp_matches(lower(m), '{"|".join(PLACEHOLDERS)}')
+      UNION ALL SELECT doc_id, substr(m, piece_at + 1, length(piece)), s + piece_at FROM (
+        SELECT doc_id, m, s, unnest(regexp_extract_all(b, '{CANDIDATE}')) AS piece, unnest(list_transform(range(1, len(regexp_extract_all(b, '{CANDIDATE}')) + 1), lambda i:
+          CAST(list_sum(list_transform(string_split_regex(b, '{CANDIDATE}')[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all(b, '{CANDIDATE}')[1:i - 1], lambda x: length(x))), 0) AS BIGINT))) AS piece_at
+        FROM (SELECT *, {blank} AS b FROM w WHERE regexp_matches(lower(m), '{"|".join(PLACEHOLDERS)}')))),
+c AS (SELECT * FROM v WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT ({allow})),
 h AS (SELECT doc_id, s, m, max({micro(WINDOW)} - bits) AS best FROM (
         SELECT doc_id, s, m, i, sum(({f})[n + 1]) AS bits FROM (
           SELECT doc_id, s, m, i, ch, count(*) AS n FROM (

@@ -196,15 +196,17 @@ ORACLE = _oracle()
 
 
 def stage(spark, docs, sf_dir):
-    """One document of each component stays: that of the smallest id, null if it has no other, and of its rows the one whose text sorts first.
+    """One document of each component stays: that of the smallest id, null if it has no other, and of its rows the one whose text sorts first, then the one whose columns' digest does.
 
+    A row that comes first is found before rows are shuffled, so that a component of any number of rows is no hot group.
     Components are told apart by their fingerprints and rows by id and text, so that unlinked texts without an id, or of one id, all stay.
     """
     rows = staged(fingerprints(docs, digest=True), "simhash-rows")
     labelled = join_weighted(rows, _labels(rows), "fp", "n").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    digest, group, place = fresh(docs, "digest"), fresh(docs, "component"), fresh(docs, "place")
+    digest, group = fresh(docs, "digest"), fresh(docs, "component")
     keep = labelled.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"), F.col("root").alias(group)).distinct()
     found = docs.withColumn(digest, text_digest(docs))
     kept = found.join(keep, found["doc_id"].eqNullSafe(keep["kept_id"]) & (found[digest] == keep["kept_digest"])).select(*[found[c] for c in docs.columns], keep[group])
-    rank = Window.partitionBy(group).orderBy(F.col("text").asc_nulls_first(), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return kept.withColumn(place, F.row_number().over(rank)).where(F.col(place) == 1).drop(place, group)
+    others = F.sha2(F.to_json(F.struct(*docs.columns)).cast("binary"), 256)  # columns of any type, those that have no order too
+    place = F.struct(F.col("text").isNotNull(), F.coalesce("text", F.lit("")), others)
+    return kept.groupBy(group).agg(F.min_by(F.struct(*docs.columns), place).alias(digest)).select(f"`{digest}`.*")

@@ -137,6 +137,16 @@ def test_secrets_in_paths_are_found(spark):
     assert secret_scan.redact(df).where("doc_id = 0").first().text == path + "<SECRET>"
 
 
+def test_placeholders_hide_no_secret_beside_them(spark, tmp_path):
+    token = "Q9f8Zk2LmX7pR4tW1vB6"
+    texts = [f"example/{token}", f"{token}/sample", f"{token}xxxxK3", f"EXAMPLE-{token}-YOUR_{token[::-1]}", "example-example-sample-placeholder-12", "your_api_key_1234567890", f"com/v1/files/download/{token}example", "g1" * 40, "abcdefghij1abcdefghij", token[:10] + "dummy" + token[10:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.s, s.e) for s in r.spans] for r in secret_scan.scan(df).collect()}
+    assert got == {0: [(7, 28)], 1: [(0, 21)], 2: [(0, 20)], 3: [(7, 29), (34, 54)], 4: [], 5: [], 6: [(22, 42)], 7: [], 8: [], 9: []}
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    same(spark, secret_scan.op3_secret_scan, secret_scan.ORACLE, str(tmp_path))
+
+
 def test_secrets_are_masked_as_by_hand(spark):
     """Overlapping and touching spans, pages, and code points of four bytes."""
     draw = random.Random(8)
@@ -296,6 +306,17 @@ def test_simhash_stage_goes_by_component(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(None, a), (None, b), (1, c), (2, d), (2, e), (3, f), (None, None)], key=repr)
 
 
+def test_simhash_stage_takes_columns_without_order(spark):
+    """Maps, and many rows of one text without an id: one of them stays."""
+    a, b = words(80, 1), words(80, 2)
+    rows = [(None, a, {"k": n % 3}, bytearray([n % 5])) for n in range(500)] + [(1, b, None, None), (1, b, {"z": 1}, None), (2, b, {}, bytearray())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, raw binary").repartition(5)
+    kept = simhash_dedup.stage(spark, docs, DATA)
+    first, again = kept.collect(), simhash_dedup.stage(spark, docs.repartition(2), DATA).collect()
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted((repr(r.doc_id), r.text) for r in first) == [("1", b), ("None", a)] and sorted(map(repr, first)) == sorted(map(repr, again))
+
+
 def test_components(spark):
     draw = random.Random(5)
     links = [(n, n + 1) for n in range(0, 60)] + [(100, n) for n in range(101, 160)] + [(draw.randint(200, 400), draw.randint(200, 400)) for _ in range(150)]
@@ -304,6 +325,16 @@ def test_components(spark):
     assert got == classes(ids, links)
 
 
+def test_preferences_at_the_ends_of_numbers(spark, tmp_path):
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows = [(least, 0, "user", "a"), (least, 1, "assistant", "b"), (least + 1, 0, "assistant", "c"), (most, 0, "assistant", "d"), (most - 1, 0, "assistant", "e")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: r.rejected for r in preference_format.format_preferences(preference_format.preference_pairs(df)).collect()}
+    assert {k: v.split("\n")[1].split("<")[0] for k, v in got.items()} == {least: "c", least + 1: "", most: "", most - 1: "d"}
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    same(spark, preference_format.op6_preference_format, preference_format.ORACLE, str(tmp_path))
+
+
 def test_preference_cases(spark):
     t = lambda *x: [(r, s) for r, s in x]
     pairs = [(1, t(("user", "a"), ("assistant", "b")), t(("user", "a"), ("assistant", "c"))), (2, None, t(("user", None))), (3, t((None, "x")), t((None, "x"))), (4, [], []), (4, [], []), (5, t(("user", "")), t(("user", None)))]
