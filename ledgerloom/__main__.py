@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     source, scheme = ("--source", need), ("--scheme", {"choices": snapshot.SCHEMES, "default": "hash"})
     domain = ("--domain", {"type": lambda x: x.encode(), "help": "domain of the record chain"})
     token = [("--token", {"type": _hex(20)}), ("--witness", may), ("--code", may), ("--retain", may), ("--alloc", may), ("--audit", may), ("--cold", may), ("--extra", {"type": lambda x: x.encode(), "default": b""})]
-    add("export", source, ("--out", need), ("--compression", {"choices": ["none", "zstd"], "default": "none"}), domain)
+    add("export", source, ("--out", need), ("--compression", {"choices": ["none", "zstd"], "default": "none"}), ("--streams", {"type": int, "default": 0, "help": "write so many streams at once instead of one"}), domain)
     add("import", ("--bundle", need), ("--out", need), scheme, domain)
     add("migrate", source, ("--out", need), scheme)
     add("convert", source, ("--out", need), scheme, *token)
@@ -90,7 +90,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> dict:
         if a.out:
             inputs.outside(a.out, a.source, *(options_of(a).inputs().values() if a.verb == "convert" else ()))
         if a.verb == "export":
-            return vars(snapshot.export(source, head, a.out, a.compression, a.domain or records.DOMAIN, confirm))
+            return vars(snapshot.export(source, head, a.out, a.compression, a.domain or records.DOMAIN, confirm, a.streams))
         if a.verb == "migrate":
             return {"artifact": a.out, "verification": snapshot.migrate(source, head, a.out, a.scheme, confirm)}
         if a.verb == "convert":

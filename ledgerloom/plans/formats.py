@@ -78,6 +78,30 @@ def bundle_counts(spark, sf_dir):
     return spark.createDataFrame([tuple(found[k] for k in names)], ", ".join(f"{k} long" for k in names)).where(F.lit(again == head))
 
 
+_OWNER, _SLOT = (sql.keccak(f"lpad(lower(to_base({x}, 16)), 16, '0')") for x in ("l_suppkey", "l_linenumber"))
+_HOLDER, _CODE = sql.keccak("lpad(lower(to_base(s_suppkey, 16)), 16, '0')"), sql.keccak("lower(hex(encode(n_name)))")
+
+
+@query(f"""WITH RECURSIVE lines AS (SELECT l_suppkey, l_linenumber, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY ALL),
+leaves AS (SELECT {_OWNER} AS owner, {_SLOT} AS key, {sql.rlp_text(sql.digits_of("amount"))} AS value FROM lines),{sql.trie_roots("leaves")},
+code AS (SELECT n_nationkey, lower(hex(encode(n_name))) AS payload, {_CODE} AS hash FROM nation),
+holders AS (SELECT {_HOLDER} AS owner, s_suppkey, abs(CAST(round(s_acctbal * 100) AS BIGINT)) AS balance, hash FROM supplier JOIN code ON n_nationkey = s_nationkey)
+SELECT 1 AS type, owner AS key, '' AS sub, {sql.rlp_list(sql.rlp_text(sql.digits_of("s_suppkey")), sql.rlp_text(sql.digits_of("balance")), sql.rlp_text("coalesce(root, '')"), sql.rlp_text("hash"))} AS payload FROM holders LEFT JOIN roots USING (owner)
+UNION ALL SELECT 2, owner, key, value FROM leaves
+UNION ALL SELECT 3, hash, '', payload FROM code WHERE hash IN (SELECT hash FROM holders)""")
+def bundle_records(spark, sf_dir):
+    """The state exported as a packed bundle of eight streams, verified and read again: every record by its value."""
+    _, kv, head = source_of(spark, sf_dir)
+    at = own_folder(spark, "bundle")
+    snapshot.export(kv, head, f"{at}/bundle", "zstd", streams=8)
+    state, _, _ = snapshot.read_bundle(spark, f"{at}/bundle")
+    rows = state.accounts.select(F.lit(1).alias("type"), F.col("account_hash").alias("key"), F.lit(None).cast("binary").alias("sub"), F.col("slim").alias("payload"))
+    rows = rows.unionByName(state.slots.select(F.lit(2).alias("type"), F.col("owner").alias("key"), F.col("key").alias("sub"), F.col("value").alias("payload")))
+    rows = rows.unionByName(state.code.select(F.lit(3).alias("type"), F.col("code_hash").alias("key"), F.lit(None).cast("binary").alias("sub"), F.col("code").alias("payload")))
+    text = lambda c: F.coalesce(F.lower(F.hex(c)), F.lit("")).alias(c)
+    return rows.select("type", text("key"), text("sub"), text("payload"))
+
+
 @query(f"WITH c AS ({COUNTS}) SELECT 'code' AS kind, code_records AS keys FROM c UNION ALL SELECT 'metadata', 5")
 def artifact_inventory(spark, sf_dir):
     """An artifact in the hash layout, written, verified and published, then verified against its source once more; nodes, which SQL does not count, left out."""
@@ -120,7 +144,8 @@ def trie_scan(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
     leaves = staged(lines.select(codec.u64_be(F.col("l_suppkey")).alias("owner"), keccak256(codec.u64_be(F.col("l_partkey"))).alias("key"), encoded(F.col("amount")).alias("value")), "trie-scan")
     nodes = trie.trie_nodes(leaves, large=256)
-    kv = trie.by_key(nodes.select(F.col("hash").alias("key"), F.col("blob").alias("value")).dropDuplicates(["key"]))
+    nodes = staged(nodes, "trie-scan-nodes")
+    kv = nodes.select(F.col("hash").alias("key"), F.col("blob").alias("value")).dropDuplicates(["key"])
     found, _ = trie.scan(kv, nodes.where("path = ''").select("owner", F.col("hash").alias("root")))
     value = codec.u64_from_be(F.substring("value", 2, 32)).cast("long")
     return found.groupBy(codec.u64_from_be(F.col("owner")).cast("long").alias("l_suppkey")).agg(F.count("*").alias("slots"), F.sum(value).alias("amount"))
@@ -189,11 +214,10 @@ def record_streams(spark, sf_dir):
     s = s.select(F.lit(2).alias("type"), key.alias("account_hash"), F.unhex(F.sha2(F.col("l_linenumber").cast("string").cast("binary"), 256)).alias("sub_hash"), encoded(F.col("amount")).alias("payload"))
     rows = a.select(F.lit(1).alias("type"), "account_hash", F.lit(None).cast("binary").alias("sub_hash"), "payload").unionByName(s)
     link = records.first_link(1, bytes(32), bytes(32), b"")
-    made = records.write_streams(rows, own_folder(spark, "streams"), link, "zstd").collect()  # one row a stream
-    for r in made:
-        e = records.Evidence(**{k: v for k, v in r.asDict().items() if k not in ("stream", "path")})
-        records.verify_stream(r.path, e, keccak(link + r.stream.to_bytes(8, "big")), "zstd", canonical=True)
-    found = records.read_records(spark, [r.path for r in made], "zstd")
+    at = own_folder(spark, "streams")
+    made = records.write_streams(rows, at, link, "zstd")
+    records.verify_streams(spark, at, made, link, "zstd", canonical=True)
+    found = records.read_records(spark, [f"{at}/{records.STREAM_NAME.format(number)}" for number, _ in made], "zstd")
     names = read(spark, sf_dir, "supplier").select("s_suppkey", key.alias("account_hash"))
     return found.join(names, "account_hash").select("s_suppkey", F.col("type").cast("int").alias("type"), F.lower(F.hex("payload")).alias("payload"))
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import rlp
-from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256
+from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256, keccak_many
 from ledgerloom.operators import counts, merge, order, stream
 from ledgerloom.plans import history, report, trie
 from ledgerloom.plans.staging import appearing, names_in, staged
@@ -54,30 +56,58 @@ class State:
     nodes: DataFrame
 
     def counts(self) -> dict:
-        a = self.accounts.agg(F.count("*").alias("n"), F.count_if(F.col("code_hash") != _bin(EMPTY_CODE)).alias("refs"), F.coalesce(F.sum("full_bytes"), F.lit(0)).alias("b")).first()
-        s = self.slots.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("b")).first()
-        c = self.code.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("code")), F.lit(0)).alias("b")).first()
-        return {"accounts": a.n, "storage_slots": s.n, "code_references": a.refs, "code_records": c.n, "records": a.n + s.n + c.n, "payload_bytes": a.b + s.b + c.b}
+        none = F.lit(0).cast("long")
+        rows = self.accounts.select(F.lit("accounts").alias("of"), F.col("full_bytes").alias("b"), (F.col("code_hash") != _bin(EMPTY_CODE)).cast("long").alias("refs"))
+        rows = rows.unionByName(self.slots.select(F.lit("storage_slots").alias("of"), F.octet_length("value").cast("long").alias("b"), none.alias("refs")))
+        rows = rows.unionByName(self.code.select(F.lit("code_records").alias("of"), F.octet_length("code").cast("long").alias("b"), none.alias("refs")))
+        got = {r.of: r for r in rows.groupBy("of").agg(F.count("*").alias("n"), F.sum("b").alias("b"), F.sum("refs").alias("refs")).collect()}
+        n = {k: got[k].n if k in got else 0 for k in ("accounts", "storage_slots", "code_records")}
+        refs, size = sum(r.refs for r in got.values()), sum(r.b for r in got.values())
+        return n | {"code_references": refs, "records": sum(n.values()), "payload_bytes": size}
+
+
+def _wanted(batches):
+    """(owner, path, hash, kind, value) to its parts: a node's as trie.EXPANDED says, slots checked; code as it is, 'false' if its digest is another."""
+    for batch in batches:
+        nodes = batch.filter(pc.equal(batch.column(3), "node")).select([0, 1, 2, 4])
+        for part in trie._expanded([nodes]):
+            for owner, value, kind in zip(part.column(0).to_pylist(), part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
+                if kind == "leaf" and owner:
+                    rlp.storage_word(value)
+            yield part
+        code = batch.filter(pc.not_equal(batch.column(3), "node"))
+        values = code.column(4).to_pylist()
+        kinds = ["code" if d == h else "false" for d, h in zip(keccak_many(values), code.column(2).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*code.columns[:3], code.column(4), pa.array(kinds, pa.string())], names=["owner", "path", "hash", "value", "kind"])
 
 
 def traverse(kv: DataFrame, root: bytes) -> State:
     """Accounts, slots, code and nodes below a state root, all checked: digests, encodings, and roots built anew.
 
-    Code is looked up behind its prefix first, then bare. Every fault is an error before anything is returned.
+    Code is looked up behind its prefix first, then bare. Every fault is an error before anything is returned. The
+    inventory is read twice: for the links between nodes, by which accounts, their tries and their code are reached, and
+    for the values of what was reached.
     """
-    spark, kv = kv.sparkSession, trie.by_key(kv)
-    top = spark.createDataFrame([(bytearray(), bytearray(root))], "owner binary, root binary")
-    leaves, nodes = trie.scan(kv, top)
-    accounts = staged(leaves.select("key", "value").mapInArrow(_accounts, ACCOUNT), "accounts")
-    owners = accounts.select(F.col("account_hash").alias("owner"), F.col("storage_root").alias("root"))
-    slots, more = trie.scan(kv, owners)
-    slots = staged(slots.select("owner", "key", "value").mapInArrow(_slots_checked, "owner binary, key binary, value binary"), "slots")
-    wanted = accounts.where(F.col("code_hash") != _bin(EMPTY_CODE)).select("code_hash").distinct().withColumn("prefixed", F.concat(_bin(CODE), "code_hash"))
-    by_prefix = merge.lookup(wanted, "prefixed", (kv, "key", "value"), name="a")
-    code = staged(merge.lookup(by_prefix, "code_hash", (kv, "key", "value"), name="b").select("code_hash", F.coalesce("a", "b").alias("code")).withColumn("ok", F.coalesce(keccak256(F.col("code")) == F.col("code_hash"), F.lit(False))), "code")
-    if bad := code.where("NOT ok").first():
+    spark, table = kv.sparkSession, trie.links(kv)
+    own = trie.reach(table, spark.createDataFrame([(bytearray(), "", bytearray(root))] if root != EMPTY_ROOT else [], "owner binary, path string, hash binary"))
+    holders = staged(own.select("path", F.explode("accounts").alias("a")).select(F.unhex(F.concat("path", "a.below")).alias("owner"), "a.root", "a.code"), "holders")
+    tries = trie.reach(table, trie.top_of(holders))
+    reached = own.unionByName(tries).select("owner", "path", "hash", "sound")
+    trie.refuse_missing(reached)
+    code = holders.where(F.col("code") != _bin(EMPTY_CODE)).select("code").distinct()
+    names = F.array(F.struct(F.lit("prefixed").alias("path"), F.concat(_bin(CODE), "code").alias("at")), F.struct(F.lit("bare").alias("path"), F.col("code").alias("at")))
+    codes = code.select(F.col("code").alias("hash"), F.explode(names).alias("x")).select(_bin(b"").alias("owner"), "x.path", "hash", F.lit("code").alias("kind"), "x.at")
+    wanted = reached.select("owner", "path", "hash", F.lit("node").alias("kind"), F.col("hash").alias("at")).unionByName(codes)
+    found = wanted.join(kv.select("key", "value"), F.col("at") == F.col("key")).select("owner", "path", "hash", "kind", "value")
+    every = staged(found.mapInArrow(_wanted, trie.EXPANDED), "trie-values")
+    accounts = staged(every.where("kind = 'leaf' AND octet_length(owner) = 0").select(F.unhex("path").alias("key"), "value").mapInArrow(_accounts, ACCOUNT), "accounts")
+    slots = every.where("kind = 'leaf' AND octet_length(owner) > 0").select("owner", F.unhex("path").alias("key"), "value")
+    nodes = every.where("kind = 'node'").select("owner", "path", "hash", F.col("value").alias("blob"))
+    kinds = every.where("path IN ('prefixed', 'bare')").groupBy("hash").agg(F.max_by(F.struct("value", "kind"), "path").alias("x")).select("hash", "x.*")
+    have = staged(code.join(kinds, F.col("code") == F.col("hash"), "left").select(F.col("code").alias("code_hash"), F.col("value").alias("code"), F.coalesce(F.col("kind") == "code", F.lit(False)).alias("ok")), "code")
+    if bad := have.where("NOT ok").first():
         raise ValueError(f"code {bytes(bad.code_hash).hex()} is missing or has another digest")
-    state = State(accounts, slots, code.drop("ok"), nodes.unionByName(more))
+    state = State(accounts, slots, have.drop("ok"), nodes)
     check_roots(state, root)
     return state
 
@@ -110,28 +140,39 @@ def record_stream(state: State) -> DataFrame:
     return a.unionByName(s).unionByName(c)
 
 
-def export(kv: DataFrame, head: history.Head, folder: str, compression: str = "none", domain: bytes = records.DOMAIN, confirm: Callable | None = None) -> records.Evidence:
+def export(kv: DataFrame, head: history.Head, folder: str, compression: str = "none", domain: bytes = records.DOMAIN, confirm: Callable | None = None, streams: int = 0) -> records.Evidence:
     """Writes a bundle (manifest.json and the record stream), reads it again and checks it, then publishes the folder.
 
     A stream is one file with a chained digest, so that the driver writes it, a partition of the sorted records at a
-    time. confirm() is called last of all, and ends it if the source has changed.
+    time. streams: as many streams instead, each a range of accounts, which executors write and verify at once; the
+    folder must be a mount of all. confirm() is called last of all, and ends it if the source has changed.
     """
     history.check_head(head)
     state = traverse(kv, head.state_root)
-    rows = record_stream(state).orderBy("account_hash", "kind", "sub_hash")
-    name = "state.records" + (".zst" if compression == "zstd" else "")
+    rows = record_stream(state)
     link = records.first_link(head.number, head.hash, head.state_root, head.header, domain)
+    source = {"number": head.number, "block_hash": head.hash.hex(), "state_root": head.state_root.hex(), "header": head.header.hex(), "compression": compression, "chain_domain": domain.hex()}
     found = []
 
     def write(part: str) -> None:
-        stream = ((r.kind, bytes(r.code_hash if r.kind == 3 else r.account_hash), bytes(r.sub_hash) if r.kind == 2 else None, bytes(r.payload)) for r in rows.toLocalIterator(prefetchPartitions=True))
-        found.append(records.write_stream(f"{part}/{name}", stream, link, compression))
+        if streams:
+            made = records.write_streams(rows.withColumnRenamed("kind", "type"), part, link, compression, streams)
+            os.unlink(f"{part}/{records.STREAMS}")  # the manifest says it
+            found.append(records.together(made))
+        else:
+            ordered = rows.orderBy("account_hash", "kind", "sub_hash").toLocalIterator(prefetchPartitions=True)
+            stream = ((r.kind, bytes(r.code_hash if r.kind == 3 else r.account_hash), bytes(r.sub_hash) if r.kind == 2 else None, bytes(r.payload)) for r in ordered)
+            made = records.write_stream(f"{part}/{_stream_name(compression)}", stream, link, compression)
+            found.append(made)
         want = state.counts()
         if any(want[k] != getattr(found[0], k) for k in ("accounts", "storage_slots", "code_references", "code_records", "records")):
             raise ValueError("the stream has other counts than the state")
-        source = {"number": head.number, "block_hash": head.hash.hex(), "state_root": head.state_root.hex(), "header": head.header.hex(), "compression": compression, "chain_domain": domain.hex()}
-        records.write_manifest(f"{part}/manifest.json", found[0], **source)
-        records.verify_stream(f"{part}/{name}", records.read_manifest(f"{part}/manifest.json")[0], link, compression, canonical=True)
+        records.write_manifest(f"{part}/manifest.json", made, **source)
+        evidence, _, several = records.read_manifests(f"{part}/manifest.json")
+        if streams:
+            records.verify_streams(kv.sparkSession, part, several, link, compression, canonical=True)
+        else:
+            records.verify_stream(f"{part}/{_stream_name(compression)}", evidence, link, compression, canonical=True)
         if confirm:
             confirm()
 
@@ -139,23 +180,32 @@ def export(kv: DataFrame, head: history.Head, folder: str, compression: str = "n
     return found[0]
 
 
+def _stream_name(compression: str) -> str:
+    return "state.records" + (".zst" if compression == "zstd" else "")
+
+
 def read_bundle(spark: SparkSession, folder: str, domain: bytes | None = None) -> tuple[State, history.Head, dict]:
     """A bundle's state, head and manifest; its order, references, roots and header checked. Nodes are not part of a bundle.
 
-    domain: that of the record chain, where the manifest's is not to be believed.
+    domain: that of the record chain, where the manifest's is not to be believed. Several streams are verified and read
+    by as many tasks, and are in order as if they were one.
     """
-    evidence, source = records.read_manifest(f"{folder}/manifest.json")
-    packed = source["compression"] == "zstd"
-    name = "state.records" + (".zst" if packed else "")
-    inputs.exact_layout(folder, {"manifest.json": "file", name: "file"})
+    evidence, source, several = records.read_manifests(f"{folder}/manifest.json")
+    names = [records.STREAM_NAME.format(number) for number, _ in several] if several is not None else [_stream_name(source["compression"])]
+    inputs.exact_layout(folder, {"manifest.json": "file"} | dict.fromkeys(names, "file"))
     head = history.Head(source["number"], *(bytes.fromhex(source[k]) for k in ("block_hash", "state_root", "header")))
     history.check_head(head)
     root, named = head.state_root, bytes.fromhex(source["chain_domain"])
     if domain is not None and named != domain:
         raise ValueError("the record chain is of another domain")
     link = records.first_link(head.number, head.hash, root, head.header, named)
-    records.verify_stream(f"{folder}/{name}", evidence, link, source["compression"], canonical=True)
-    rows = staged(records.read_records(spark, [f"{folder}/{name}"], source["compression"]), "records")
+    if several is not None:
+        records.verify_streams(spark, folder, several, link, source["compression"], canonical=True)
+        before = [sum(e.records for _, e in several[:k]) for k in range(len(several))]
+    else:
+        records.verify_stream(f"{folder}/{names[0]}", evidence, link, source["compression"], canonical=True)
+        before = [0]
+    rows = staged(records.read_records(spark, [f"{folder}/{name}" for name in names], source["compression"], before), "records")
     accounts, slots, code = read_state(rows)
     state = State(accounts.drop("seq"), slots.drop("seq"), code.drop("seq"), spark.createDataFrame([], "owner binary, path string, hash binary, blob binary"))
     check_roots(state, root)
@@ -269,27 +319,30 @@ def verify_paths(found: DataFrame, root: bytes) -> None:
 def verify(spark: SparkSession, target: str, state: State, head: history.Head, scheme: str, *more: dict[bytes, bytes]) -> dict:
     """What lies in the target is what the state and its metadata make, no more and no less, key by key; then counts by kind.
 
-    The target is also taken by itself: traversed from the root, or linked by path.
+    The state being verified, a target that is equal to it needs no traversal of its own; verify_alone takes one without a state.
     """
     expected = metadata(scheme, head, *more)
     found = spark.read.schema("key binary, value binary").parquet(target)
     found = found.withColumn("kind", entry_kind(scheme, F.col("key"), F.col("value"), list(expected)))
-    if bad := found.where("kind IS NULL").first():
-        raise ValueError(f"target has a key of no kind: {bytes(bad.key).hex()}")
     want = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in expected.items()], "key binary, value binary")
-    if bad := merge.expected_once(found, want, "key", "value").where("fault IS NOT NULL").first():
-        raise ValueError(f"metadata {bytes(bad.key).hex()}: {bad.fault}")
     rest = found.where("kind != 'metadata'")
-    if off := merge.inventory_difference(rest.select("key", "value", "kind"), layout(state, scheme).select("key", "value", "kind")).first():
-        raise ValueError(f"target differs ({off.side}): {bytes(off.key).hex()}")
-    if scheme == "hash":
-        traverse(rest.select(F.col("key"), F.col("value")), head.state_root)
-    else:
-        verify_paths(rest, head.state_root)
+    strange = found.where("kind IS NULL").select(F.lit("is of no kind").alias("fault"), "key")
+    marks = merge.expected_once(found, want, "key", "value").where("fault IS NOT NULL").select("fault", "key")
+    off = merge.inventory_difference(rest.select("key", "value", "kind"), layout(state, scheme).select("key", "value", "kind")).select(F.concat(F.lit("differs: "), F.col("side").cast("string")).alias("fault"), "key")
+    if bad := strange.unionByName(marks).unionByName(off).first():
+        raise ValueError(f"target's key {bytes(bad.key).hex()} {bad.fault}")
     rows = counts.inventory(found, F.col("kind"), (F.octet_length("key") + F.octet_length("value")).cast("long")).collect()
     return {r["kind"]: {"keys": r["keys"], "bytes": r["bytes"]} for r in rows}
 
 
+def verify_alone(rows: DataFrame, root: bytes, scheme: str) -> None:
+    """A target's rows (key, value, kind), metadata left out, by themselves: traversed from the root, or linked by path."""
+    if scheme == "hash":
+        traverse(rows.select("key", "value"), root)
+    else:
+        verify_paths(rows, root)
+
+
 #: What an artifact's folder holds.
 DATABASE, REPORT = "database", "verification.json"
 
@@ -368,6 +421,10 @@ def _verified(spark: SparkSession, target: str, stored: dict, expected: dict, st
         raise ValueError("the artifact's report does not fit the source")
     if verify(spark, f"{target}/{DATABASE}", state, head, stored["scheme"], *more) != stored["inventory"]:
         raise ValueError("the artifact's inventory has other counts than its report")
+    rows = spark.read.schema("key binary, value binary").parquet(f"{target}/{DATABASE}")
+    known = list(metadata(stored["scheme"], head, *more))
+    rows = rows.withColumn("kind", entry_kind(stored["scheme"], F.col("key"), F.col("value"), known)).where("kind != 'metadata'")
+    verify_alone(rows, head.state_root, stored["scheme"])
     if read_artifact(spark, target) != stored:
         raise ValueError("the report has changed meanwhile")
     return stored
