@@ -88,8 +88,7 @@ def replay(kv: DataFrame, head: history.Head, options: Options, progress: Progre
         with progress.phase("overlay"):
             out, root = convert.overlay_alloc(out, inputs.read_alloc(spark, options.alloc))
     with progress.phase("nodes") as say:
-        out.nodes = snapshot.nodes_of(out)
-        snapshot.check_roots(out, root)
+        snapshot.check_roots(out, root)  # built anew from the leaves, where the nodes were patched
         say["root"] = root.hex()
     header = convert.checkpoint(head.header, root, options.extra)
     audit.confirm(before)

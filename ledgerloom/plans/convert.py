@@ -12,7 +12,7 @@ from ledgerloom.functions import rlp, u256
 from ledgerloom.functions.codec import pad32
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak, keccak256
 from ledgerloom.operators import counts, merge
-from ledgerloom.plans import history, trie
+from ledgerloom.plans import history, patching, trie
 from ledgerloom.plans.snapshot import ACCOUNT, State, _accounts, _bin
 from ledgerloom.plans.staging import staged
 
@@ -90,6 +90,21 @@ def accounts_patched(state: State, patches: DataFrame) -> State:
     return State(staged(full.mapInArrow(_accounts, ACCOUNT), "accounts"), state.slots, state.code, state.nodes)
 
 
+def patched_slots(state: State, slots: DataFrame) -> DataFrame:
+    """The changes of the state's storage tries under slots (owner, key, value; null deletes)."""
+    return staged(patching.changes(state.nodes, slots), "storage-changes")
+
+
+def follow_nodes(state: State, out: State, storage: DataFrame, touched: DataFrame) -> bytes:
+    """Gives `out` the nodes of `state` after the changes of storage tries and those of the accounts touched (account_hash), and says its root."""
+    accounts = out.accounts.join(touched.select("account_hash"), "account_hash", "left_semi").select("account_hash", "nonce", "balance", "storage_root", "code_hash")
+    full = accounts.mapInArrow(_patched, "key binary, value binary").select(_bin(b"").alias("owner"), "key", "value")
+    changed = storage.unionByName(staged(patching.changes(state.nodes, full), "account-changes"))
+    out.nodes = staged(patching.patched_nodes(state.nodes, changed), "patched-state")
+    row = out.nodes.where("octet_length(owner) = 0 AND path = ''").first()
+    return bytes(row.hash) if row else EMPTY_ROOT
+
+
 def state_root(state: State) -> bytes:
     full = state.accounts.select("account_hash", "nonce", "balance", "storage_root", "code_hash").mapInArrow(_patched, "key binary, value binary")
     row = trie.trie_roots(full.withColumn("owner", _bin(b""))).first()
@@ -148,14 +163,16 @@ def convert(state: State, token: bytes, addresses: DataFrame, allowances: DataFr
     gone = cls.where(F.col("class").isin("eoa", "converted")).select("key", "account_hash", "word")
     rest = state.slots.where(F.col("owner") == _bin(own)).join(gone.select("key"), "key", "left_anti").select("owner", "key", "value")
     other = state.slots.where(F.col("owner") != _bin(own)).select("owner", "key", "value")
-    root = trie.trie_roots(rest).first()
+    changed = patched_slots(state, gone.select(_bin(own).alias("owner"), "key", F.lit(None).cast("binary").alias("value")).unionByName(spark.createDataFrame([], "owner binary, key binary, value binary")))
+    root = bytes(account.storage_root) if gone.isEmpty() else bytes(patching.patched_roots(changed, gone.select(_bin(own).alias("owner"))).first().root)
     none = F.lit(None)
     patch = gone.select("account_hash", none.cast("decimal(20,0)").alias("nonce"), F.col("word").alias("balance"), none.cast("binary").alias("storage_root"), none.cast("binary").alias("code_hash"))
-    mine = spark.createDataFrame([(bytearray(own), None, bytearray(got.remaining_supply.to_bytes(32, "big")), bytearray(root.root) if root else bytearray(EMPTY_ROOT), bytearray(keccak(new_code)))], patch.schema)
+    mine = spark.createDataFrame([(bytearray(own), None, bytearray(got.remaining_supply.to_bytes(32, "big")), bytearray(root), bytearray(keccak(new_code)))], patch.schema)
     code = state.code.select("code_hash", "code").unionByName(spark.createDataFrame([(bytearray(keccak(new_code)), bytearray(new_code))], "code_hash binary, code binary")).dropDuplicates(["code_hash"])
-    out = accounts_patched(State(state.accounts, other.unionByName(rest), code, state.nodes), patch.unionByName(mine))
+    fields = staged(patch.unionByName(mine), "converted-accounts")
+    out = accounts_patched(State(state.accounts, other.unionByName(rest), code, state.nodes), fields)
     out.code = code.join(out.accounts, "code_hash", "left_semi")
-    return out, state_root(out), got
+    return out, follow_nodes(state, out, changed, fields), got
 
 
 def checkpoint(header: bytes, root: bytes, extra: bytes = b"") -> bytes:
@@ -179,14 +196,13 @@ def overlay_alloc(state: State, alloc: DataFrame) -> tuple[State, bytes]:
     both = F.concat("owner", "key")
     slots = merge.overlay(state.slots.withColumn("id", both), patch.withColumn("id", both), "id", "value", F.col("gone"))
     slots = staged(slots.select(F.substring("id", 1, 32).alias("owner"), F.substring("id", 33, 32).alias("key"), "value"), "slots")
-    touched = words.select("owner").distinct()
-    roots = trie.trie_roots(slots.join(touched, "owner", "left_semi")).select("owner", "root")
-    roots = touched.join(roots, "owner", "left").select(F.col("owner").alias("account_hash"), F.coalesce("root", _bin(EMPTY_ROOT)).alias("storage_root"))
+    changed = patched_slots(state, patch.select("owner", "key", F.when(~F.col("gone"), F.col("value")).alias("value")))
+    roots = patching.patched_roots(changed, words).select(F.col("owner").alias("account_hash"), F.col("root").alias("storage_root"))
     fields = a.join(roots, "account_hash", "left").select("account_hash", "nonce", "balance", "storage_root", "code_hash")
     code = state.code.select("code_hash", "code").unionByName(a.where(F.octet_length("code") > 0).select("code_hash", "code")).dropDuplicates(["code_hash"])
     out = accounts_patched(State(state.accounts, slots, code, state.nodes), fields)
     out.code = code.join(out.accounts, "code_hash", "left_semi")
-    return out, state_root(out)
+    return out, follow_nodes(state, out, changed, fields)
 
 
 def _encoded(batches):
