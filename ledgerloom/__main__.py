@@ -46,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
     add("migrate", source, ("--out", need), scheme)
     add("convert", source, ("--out", need), scheme, *token)
     add("verify", ("--target", need), ("--bundle", may), ("--source", may), domain, *token)
-    add("prune", source, ("--out", may), ("--genesis-root", {"type": _hex(32)}), ("--report", may))
+    add("prune", source, ("--out", may), ("--genesis-root", {"type": _hex(32)}), ("--report", may), ("--compact", {"action": "store_true", "help": "write what stays sorted by key"}))
     add("version")
     return out
 
@@ -95,9 +95,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> dict:
             return {"artifact": a.out, "verification": snapshot.migrate(source, head, a.out, a.scheme, confirm)}
         if a.verb == "convert":
             return {"artifact": a.out, "verification": conversion.migrate(source, head, options_of(a), a.out, a.scheme, confirm)}
-        measures = snapshot.prune(source, head.state_root, a.out, a.genesis_root, confirm)
+        if a.compact and not a.out:
+            raise ValueError("--compact wants --out")
+        measures = snapshot.prune(source, head.state_root, a.out, a.genesis_root, confirm, a.compact)
         confirm()
-        found = report.prune(head, measures)
+        found = report.prune(head, measures, a.genesis_root, not a.out, a.compact)
         if a.report:
             report.write(spark, a.report, found)
             if report.read(spark, a.report) != found:

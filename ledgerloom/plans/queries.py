@@ -478,6 +478,19 @@ def keccak_digests(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", F.lower(F.hex(keccak256(F.col("p_name").cast("binary")))).alias("digest"))
 
 
+_FRAME = " || ".join(f"lpad(lower(to_base(strlen({c}), 16)), 16, '0') || lower(hex(encode({c})))" for c in ("CAST(o_custkey % 7 AS VARCHAR)", "o_orderpriority"))
+
+
+@query(f"""WITH d AS (SELECT sha256(unhex({_FRAME})) AS d FROM orders),
+e AS (SELECT c, sha256(unhex(d || lpad(to_base(c, 16), 8, '0'))) AS h FROM (SELECT d, unnest(range(0, 4)) AS c FROM d)),
+l AS (SELECT CAST(16 * c + k AS INTEGER) AS lane, CAST('0x' || substr(h, 4 * k + 1, 4) AS BIGINT) AS v FROM (SELECT c, h, unnest(range(0, 16)) AS k FROM e))
+SELECT lane, CAST(sum(v) % 65536 AS BIGINT) AS value FROM l GROUP BY lane""")
+def multiset_lanes(spark, sf_dir):
+    """The digest of a table as a multiset, in 64 lanes: rows come in any order, and some of them several times."""
+    rows = read(spark, sf_dir, "orders")
+    return digests.multiset_lanes(rows, (F.col("o_custkey") % 7).cast("string").cast("binary"), F.col("o_orderpriority").cast("binary"), lanes=64)
+
+
 _LINE_KEY = sql.keccak("sha256(l_orderkey || ':' || l_linenumber)")
 
 

@@ -31,7 +31,7 @@ SHAPES = {
     PORTABLE: COMMON | STATE | {"manifest_sha256": DIGEST, "file_sha256": DIGEST, "record_chain": DIGEST},
     DIRECT: COMMON | STATE,
     CONVERSION: COMMON | STATE | {"original_counts": COUNTS, "checkpoint": SOURCE, "token": "[0-9a-f]{40}", "inputs": INPUTS, "balances": BALANCES, "history": HISTORY, "audit?": {"balance_sum": SUM, "supply_difference": "0|-?[1-9][0-9]*", "earlier_head?": HEAD}},
-    PRUNE: COMMON | {"source": SOURCE, "measures": {f"{role}_{x}": int for role in ("keep", "protected", "candidates", "unknown") for x in ("keys", "bytes")}},
+    PRUNE: COMMON | {"source": SOURCE, "genesis_root?": DIGEST, "dry_run": bool, "compacted": bool, "state_counts": COUNTS, "protected_digest": DIGEST, "measures": {f"{role}_{x}": int for role in ("keep", "protected", "candidates", "unknown") for x in ("keys", "bytes")}},
 }
 
 
@@ -60,8 +60,11 @@ def conversion(head: history.Head, checkpoint: history.Head, scheme: str, origin
     return out | {"token": token.hex(), "inputs": digests, "balances": amounts, "history": asdict(found)} | ({"audit": audit} if audit else {})
 
 
-def prune(head: history.Head, measures: dict) -> dict:
-    return _common(PRUNE) | {"source": evidence(head), "measures": measures}
+def prune(head: history.Head, found: dict, genesis_root: bytes | None = None, dry_run: bool = True, compacted: bool = False) -> dict:
+    """found: what snapshot.prune said."""
+    measures = {k: v for k, v in found.items() if k not in ("state_counts", "protected_digest")}
+    out = _common(PRUNE) | {"source": evidence(head), "dry_run": dry_run, "compacted": compacted, "measures": measures}
+    return out | {k: found[k] for k in ("state_counts", "protected_digest")} | ({"genesis_root": genesis_root.hex()} if genesis_root else {})
 
 
 def checked(report: dict) -> dict:
@@ -72,6 +75,8 @@ def checked(report: dict) -> dict:
     shaped(report, SHAPES[kind])
     if report["source"]["head_before"] != report["source"]["head_after"]:
         raise ValueError("the head moved while the report was made")
+    if kind == PRUNE and report["dry_run"] and report["compacted"]:
+        raise ValueError("a dry run compacts nothing")
     if kind != PRUNE:
         c, of = report["counts"], report["checkpoint" if kind == CONVERSION else "source"]["head_before"]
         if c["records"] != c["accounts"] + c["storage_slots"] + c["code_records"] or not c["code_records"] <= c["code_references"] <= c["accounts"] or report["recomputed_root"] != of["state_root"]:

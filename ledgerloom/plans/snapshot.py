@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import rlp
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256, keccak_many
-from ledgerloom.operators import counts, merge, order, stream
+from ledgerloom.operators import counts, digests, merge, order, stream
 from ledgerloom.plans import history, report, trie
 from ledgerloom.plans.staging import appearing, names_in, staged
 from ledgerloom.sources import inputs, records
@@ -462,12 +462,13 @@ def foreign_key(key: Column, content: Column) -> Column:
     return out | by_path
 
 
-def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: bytes | None = None, confirm: Callable | None = None) -> dict:
+def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: bytes | None = None, confirm: Callable | None = None, compact: bool = False) -> dict:
     """Marks what the head's state reaches (and the genesis root's node), sweeps other rows that their own digest keys.
 
     A dry run without a target. With one, what stays is written to a new folder, verified there (the state is traversed
-    again, and the protected rows must be the same), and only then appears. Keys of foreign layouts are refused before
-    anything is written.
+    again, and the protected rows have the same multiset digest), and only then appears; compact: sorted by key, in
+    files of ranges that reads by prefix can skip. Keys of foreign layouts are refused before anything is written. Says
+    keys and bytes by role, the state's counts, and the digest of what stays.
     """
     state = traverse(kv, root)
     keep = state.nodes.select(F.col("hash").alias("key"), F.col("blob").alias("value")).unionByName(state.code.select("code_hash", "code").toDF("key", "value"))
@@ -478,19 +479,19 @@ def prune(kv: DataFrame, root: bytes, target: str | None = None, genesis_root: b
         keep = keep.unionByName(genesis)
     keep = keep.dropDuplicates(["key"])
     rows = staged(merge.ordered_diff(kv.withColumn("content", keccak256(F.col("value"))), keep, "key", "value", F.octet_length("key") == 32, F.col("content") == F.col("key")), "prune-roles")
-    if bad := rows.where(~F.col("role").isin("delete", "retain") & foreign_key(F.col("key"), F.col("content"))).first():
-        raise ValueError(f"key {bytes(bad.key).hex()} is of another layout")
-    faults = rows.where(F.col("role").isin("missing", "conflict")).first()
-    if faults:
-        raise ValueError(f"kept key {bytes(faults.key).hex()}: {faults.role}")
+    foreign = rows.where(~F.col("role").isin("delete", "retain") & foreign_key(F.col("key"), F.col("content"))).select("key", F.lit("is of another layout").alias("fault"))
+    if bad := foreign.unionByName(rows.where(F.col("role").isin("missing", "conflict")).select("key", F.concat(F.lit("is to be kept: "), F.col("role")).alias("fault"))).first():
+        raise ValueError(f"key {bytes(bad.key).hex()} {bad.fault}")
     totals = counts.role_totals(rows, (F.octet_length("key") + F.octet_length("value")).cast("long")).first().asDict()
+    left = rows.where("role != 'delete'").select("key", "value")
+    digest = digests.multiset_digest(left, F.col("key"), F.col("value"))
     if target is not None:
         with appearing(kv.sparkSession, target) as part:
-            rows.where("role != 'delete'").select("key", "value").write.parquet(part)
+            (left.repartitionByRange("key").sortWithinPartitions("key") if compact else left).write.parquet(part)
             after = kv.sparkSession.read.schema("key binary, value binary").parquet(part)
             traverse(after, root)
-            if not merge.inventory_difference(after, rows.where("role != 'delete'").select("key", "value")).isEmpty():
+            if digests.multiset_digest(after, F.col("key"), F.col("value")) != digest:
                 raise ValueError("protected rows have changed")
             if confirm:
                 confirm()
-    return totals
+    return totals | {"state_counts": state.counts(), "protected_digest": digest.hex()}

@@ -248,10 +248,26 @@ def test_prune_keeps_what_is_reached(spark, base, tmp_path):
     assert snapshot.prune(df, root, str(tmp_path / "pruned")) == dry
     left = {bytes(r.key): bytes(r.value) for r in spark.read.parquet(str(tmp_path / "pruned")).collect()}
     assert left == kv | unknown
+    assert snapshot.prune(df, root, str(tmp_path / "compact"), compact=True) == dry and dry["state_counts"]["accounts"] == 8
+    keys = [bytes(r.key) for f in sorted((tmp_path / "compact").glob("*.parquet")) for r in spark.read.parquet(str(f)).collect()]
+    assert keys == sorted(left)  # files hold ranges of keys, in order
     with pytest.raises(ValueError, match="another layout"):
         snapshot.prune(frame(spark, kv | {b"c" + keccak(b"x"): b"x"}), root)
 
 
+def test_multiset_digests_add_up(spark):
+    from ledgerloom.operators import digests
+
+    rows = [(bytearray([k % 7]), bytearray([k % 3])) for k in range(50)]
+    df = spark.createDataFrame(rows, "key binary, value binary")
+    of = lambda d: {r.lane: r.value for r in digests.multiset_lanes(d, F.col("key"), F.col("value")).collect()}
+    whole, a, b = of(df.repartition(5)), of(df.limit(20)), of(spark.createDataFrame(rows[20:], df.schema))
+    assert len(whole) == digests.LANES and whole == {k: (a[k] + b[k]) % 65536 for k in a}
+    assert of(df.dropDuplicates()) != whole and set(of(df.limit(0)).values()) <= {0}
+    swapped = spark.createDataFrame([(bytearray([1, 2]), bytearray([3]))], df.schema), spark.createDataFrame([(bytearray([1]), bytearray([2, 3]))], df.schema)
+    assert digests.multiset_digest(swapped[0], F.col("key"), F.col("value")) != digests.multiset_digest(swapped[1], F.col("key"), F.col("value"))
+
+
 def test_history_and_conversion(spark, base):
     df, kv, root = base
     head = history.read_head(kv.get)
@@ -394,6 +410,7 @@ def test_verbs(spark, base, tmp_path):
     with pytest.raises(ValueError, match="portable"):
         go("verify", "--bundle", tmp_path / "bundle", "--target", tmp_path / "direct")
     found = go("prune", "--source", tmp_path / "kv", "--report", tmp_path / "report.json", "--genesis-root", root.hex())
+    assert found["dry_run"] and not found["compacted"] and found["genesis_root"] == root.hex() and len(found["protected_digest"]) == 64
     assert found["measures"]["candidates_keys"] == 0 and json.loads((tmp_path / "report.json").read_text()) == found
     with pytest.raises(ValueError):
         go("export", "--source", tmp_path / "kv", "--out", tmp_path / "kv" / "inside")
