@@ -34,15 +34,28 @@ def _escaped(lang: str) -> bytes:
     return lang.replace("\\", "\\\\").replace("\t", "\\t").encode()
 
 
-def _chunks(batches, longest: int):
-    """(lang, text) to chunks: languages, words (the first of either is for none), and of each suffix the numbers of its language and of its words, 0 where it has no more."""
+class _Numbers(dict):
+    """Words to numbers, as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        return self[word]
+
+
+def _chunks(batches, longest: int, ordered: bool = True):
+    """(lang, text) to chunks: languages, words (the first of either is for none), and of each suffix the numbers of its language and of its words, 0 where it has no more. Numbers go by the words' order if asked for."""
     tokens, owners, sizes, size = [], [], [], 0
 
     def chunk():
         names = [b"", *sorted(set(owners))]
-        words = sorted({*tokens} - {b"."})
-        number = dict(zip(words, range(1, len(words) + 1), strict=True)) | {b".": 0}
+        number = _Numbers({b".": 0})
         codes = np.fromiter(map(number.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        words = list(number)[1:]
+        if ordered:
+            place = sorted(range(len(words)), key=words.__getitem__)
+            rank = np.zeros(len(number), dtype=np.int64)
+            rank[np.array(place, dtype=np.int64) + 1] = np.arange(1, len(number))
+            codes, words = rank[codes], [words[k] for k in place]
         lang = np.repeat(np.array([names.index(o) for o in owners] if len(names) < 50 else list(map({o: k for k, o in enumerate(names)}.get, owners))), [whole for _, whole in sizes])
         own = np.repeat(np.tile([True, False], len(sizes)), [k for n, whole in sizes for k in (n, whole - n)])
         columns = [codes]
@@ -79,21 +92,35 @@ def _packed(first: np.ndarray, bound: int, columns: list[np.ndarray], base: int)
     return key
 
 
+def _distinct(first: np.ndarray, bound: int, columns: list[np.ndarray], base: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in the order of their columns, and how often each occurs."""
+    key = _packed(first, bound, columns, base)
+    if bound * base ** len(columns) < 1 << 63:  # then a number says what it was packed from
+        key, n = np.unique(key, return_counts=True)
+        out = []
+        for _ in columns:
+            key, c = np.divmod(key, base)
+            out.append(c)
+        return [key, *out[::-1]], n
+    _, at, n = np.unique(key, return_index=True, return_counts=True)
+    return [first[at], *(c[at] for c in columns)], n
+
+
 def _frequent(longest: int):
     """(lang, text) to (phrase, words, n): of each chunk the words of each language (words: 0), and of its words and pairs those that may be heavy."""
 
     def run(batches):
-        for names, words, lang, columns in _chunks(batches, longest):
+        for names, words, lang, columns in _chunks(batches, longest, ordered=False):
             out = [(names[k], 0, n) for k, n in enumerate(np.bincount(lang).tolist()) if n]
-            rows = np.arange(len(lang))
             for depth in range(1, min(3, longest)):
-                key = _packed(lang[rows], len(names), [c[rows] for c in columns[:depth]], len(words))
-                _, first, of, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+                if depth == 1:  # what is rare in all languages is rare in each
+                    often = (np.bincount(columns[0], minlength=len(words)) * 2 * HEAVY > len(lang))[columns[0]]
+                else:
+                    often = np.isin(_packed(lang, len(names), columns[:1], len(words)), _packed(found[0], len(names), found[1:2], len(words))) & (columns[1] > 0)
+                found, n = _distinct(lang[often], len(names), [c[often] for c in columns[:depth]], len(words))
                 heavy = n * 2 * HEAVY > len(lang)
-                for i, k in zip(rows[first[heavy]].tolist(), n[heavy].tolist(), strict=True):
-                    out.append((b"\t".join([names[lang[i]], *[words[c[i]] for c in columns[:depth]]]), depth, k))
-                rows = rows[heavy[of]]
-                rows = rows[columns[depth][rows] > 0]
+                found, n = [c[heavy] for c in found], n[heavy]
+                out += [(b"\t".join([names[k], *[words[c] for c in of]]), depth, i) for k, *of, i in zip(*(c.tolist() for c in found), n.tolist(), strict=True)]
             phrase, depth, n = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(phrase, pa.binary()), pa.array(depth, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "words", "n"])
 
@@ -105,9 +132,8 @@ def _suffixes(longest: int, heavy: set[bytes]):
 
     def run(batches):
         for names, words, lang, columns in _chunks(batches, longest):
-            _, first, n = np.unique(_packed(lang, len(names), columns, len(words)), return_index=True, return_counts=True)
-            first, n = first[::-1], n[::-1]
-            lang, columns = lang[first], [c[first] for c in columns]
+            (lang, *columns), n = _distinct(lang, len(names), columns, len(words))
+            lang, columns, n = lang[::-1], [c[::-1] for c in columns], n[::-1]
             number = {w: k for k, w in enumerate(words)}
             known = [[names.index(parts[0]), *[number[w] for w in parts[1:]]] for h in heavy if (parts := h.split(b"\t"))[0] in names and all(w in number for w in parts[1:])]
             depth = np.ones(len(lang), dtype=np.int64)
