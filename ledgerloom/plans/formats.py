@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import codec, rlp, u256
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_LIST, EMPTY_ROOT, keccak, keccak256
 from ledgerloom.operators import merge, order
-from ledgerloom.plans import convert, history, snapshot, sql, trie
+from ledgerloom.plans import convert, history, patching, snapshot, sql, trie
 from ledgerloom.plans.queries import cents, query, read
 from ledgerloom.plans.staging import shared_dir, staged
 from ledgerloom.sources import freezer, inputs, records
@@ -151,6 +151,31 @@ def trie_scan(spark, sf_dir):
     return found.groupBy(codec.u64_from_be(F.col("owner")).cast("long").alias("l_suppkey")).agg(F.count("*").alias("slots"), F.sum(value).alias("amount"))
 
 
+_PATCH_KEY = sql.keccak("sha256(l_orderkey || ':' || l_linenumber)")
+_FRESH_KEY = sql.keccak("sha256('new:' || s_suppkey)")
+_NINE = lambda n: f"'88' || lpad(lower(to_base({n}, 16)), 16, '0')"
+
+
+@query(f"""WITH RECURSIVE lines AS (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY ALL),
+leaves AS (SELECT l_suppkey AS owner, {_PATCH_KEY} AS key, {_NINE("CASE WHEN l_orderkey % 10 = 1 THEN amount + 1 ELSE amount END")} AS value FROM lines WHERE l_orderkey % 10 <> 0 AND l_suppkey % 4 <> 3
+  UNION ALL SELECT s_suppkey, {_FRESH_KEY}, {_NINE("s_suppkey + 1")} FROM supplier),{sql.trie_roots("leaves")}
+SELECT owner AS l_suppkey, root FROM roots""")
+def patched_trie_roots(spark, sf_dir):
+    """Suppliers' storage tries, built once and then patched: lines of some orders deleted, of others changed, of some suppliers all deleted, and a slot more for each. Only nodes on the paths are read."""
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_linenumber").agg(F.sum(cents(F.col("l_extendedprice"))).alias("amount"))
+    key = lambda text: keccak256(F.unhex(F.sha2(text.cast("binary"), 256)))
+    nine = lambda n: F.concat(F.unhex(F.lit("88")), codec.u64_be(n))
+    own = key(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    base = staged(lines.select(codec.u64_be(F.col("l_suppkey")).alias("owner"), own.alias("key"), "l_suppkey", "l_orderkey", "amount"), "patch-base")
+    nodes = staged(trie.trie_nodes(base.select("owner", "key", nine(F.col("amount")).alias("value")), large=4096), "patch-nodes")
+    gone = (F.col("l_orderkey") % 10 == 0) | (F.col("l_suppkey") % 4 == 3)
+    patch = base.where(gone | (F.col("l_orderkey") % 10 == 1)).select("owner", "key", F.when(~gone, nine(F.col("amount") + 1)).alias("value"))
+    fresh = read(spark, sf_dir, "supplier").select(codec.u64_be(F.col("s_suppkey")).alias("owner"), key(F.concat(F.lit("new:"), F.col("s_suppkey").cast("string"))).alias("key"), nine(F.col("s_suppkey") + 1).alias("value"))
+    patch = staged(patch.unionByName(fresh), "patch-rows")
+    roots = patching.patched_roots(patching.changes(nodes, patch), patch)
+    return roots.select(codec.u64_from_be(F.col("owner")).cast("long").alias("l_suppkey"), F.lower(F.hex("root")).alias("root"))
+
+
 ACCOUNT_SQL = f"""WITH a AS (SELECT c_custkey, abs(CAST(round(c_acctbal * 100) AS BIGINT)) AS balance,
   CASE WHEN c_custkey % 3 = 0 THEN sha256(CAST(c_custkey AS VARCHAR)) ELSE '' END AS root, CASE WHEN c_custkey % 4 = 1 THEN sha256(c_name) ELSE '' END AS code FROM customer),
 b AS (SELECT c_custkey, balance, root, code, {sql.rlp_text(sql.digits_of("c_custkey"))} AS n, {sql.rlp_text(sql.digits_of("balance"))} AS m FROM a)
