@@ -1,4 +1,4 @@
-"""python -m ledgerloom export | import | migrate | convert | verify | prune | version: the verbs on an inventory in Parquet (key, value)."""
+"""python -m ledgerloom export | import | migrate | convert | verify | prune | version: the verbs on an inventory: Parquet (key, value), or a store's folder."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from ledgerloom import __version__
 from ledgerloom.plans import conversion, history, report, snapshot
 from ledgerloom.plans.progress import Progress
-from ledgerloom.plans.staging import scratch
+from ledgerloom.plans.staging import scratch, staged
 from ledgerloom.sources import inputs, kv, records
 
 
@@ -51,8 +51,8 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
-def head_of(df) -> history.Head:
-    return history.read_head(lambda key: kv.get(df, key))
+def head_of(spark: SparkSession, path: str) -> history.Head:
+    return history.read_head(kv.point_reader(spark, path))
 
 
 def options_of(a: argparse.Namespace) -> conversion.Options:
@@ -74,11 +74,12 @@ def run(spark: SparkSession, a: argparse.Namespace) -> dict:
             return {"artifact": a.target, "verification": snapshot.verify_bundle(spark, a.bundle, a.target, a.domain)}
         if not a.source:
             raise ValueError("--source or --bundle is wanted")
-        source = kv.read_kv(spark, a.source)
-        head = head_of(source)
+        source, head = kv.read_kv(spark, a.source), head_of(spark, a.source)
+        if kv.is_store(a.source):
+            source = staged(source, "store")  # its newest entries are sorted out once
 
         def confirm() -> None:
-            if head_of(kv.read_kv(spark, a.source)) != head:
+            if head_of(spark, a.source) != head:
                 raise ValueError("the head has moved")
 
         if a.verb == "verify":

@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.codec import with_prefix
+from ledgerloom.sources import lsm
 
 SCHEMA = "key binary, value binary"
 
 
+def is_store(path: str) -> bool:
+    """Whether a folder is that of a store of log-structured tables."""
+    return os.path.lexists(f"{path}/CURRENT")
+
+
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet of (key, value). Reading never changes it."""
-    return spark.read.schema(SCHEMA).parquet(path)
+    """Parquet of (key, value), or a store of log-structured tables. Reading never changes it."""
+    return lsm.read_lsm(spark, path) if is_store(path) else spark.read.schema(SCHEMA).parquet(path)
+
+
+def point_reader(spark: SparkSession, path: str):
+    """A function of a key to its value; of a store only the tables and blocks that may have it are read."""
+    if is_store(path):
+        return lambda key: get(lsm.read_lsm(spark, path, key, key + b"\0"), key)
+    return lambda key: get(read_kv(spark, path), key)
 
 
 def read_logical(spark: SparkSession, path: str) -> DataFrame:
