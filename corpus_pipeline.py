@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontaminate, mixing, quality_fm, secret_scan, simhash_dedup
-from ledgerloom.llm.common import shared_dir, table
+from ledgerloom.llm.common import remove, scratch, shared_dir, table
 
 #: Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
 STAGES = [
@@ -23,10 +23,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents: doc_id, source, size, source_size, target, taken of what is left."""
+    """The stages applied to documents: doc_id, source, size, source_size, target, taken of what is left.
+
+    What a stage has staged, and what the one before it has written, is removed when it has written its own.
+    """
     docs, at = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{at}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}")
+        docs = spark.read.parquet(f"{at}/{k}")
+        if k:
+            remove(spark, f"{at}/{k - 1}")
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -30,14 +31,36 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Paths of the tables staged within the scopes that are open, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged within are removed at its end, whatever ended it: what rests on them must have been written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, so that extra columns of any name do no harm."""
     have = {c.lower() for c in df.columns}

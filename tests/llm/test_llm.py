@@ -1,5 +1,6 @@
 """Each operator against SQL or brute force, and on nulls, empty and long texts, ties, empty tables and clashing columns."""
 
+import os
 import random
 import re
 
@@ -9,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, media_copies, mixing, preference_format, quality_fm, queries, secret_scan, simhash_dedup, suffix_dedup, token_rollup, url_filter
+from ledgerloom.llm.common import shared_dir
 from ledgerloom.llm.components import connected
 from tests.oracle import DATA, same
 
@@ -626,7 +628,11 @@ def test_pipeline_stages(spark):
     more = docs.unionByName(leaked, allowMissingColumns=True)
     clean = decontaminate.stage(spark, more, DATA)
     assert clean.columns == docs.columns and sorted(map(repr, clean.collect())) == sorted(map(repr, docs.collect()))
+    shared = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(shared))
     out = corpus_pipeline.run(spark, DATA)
+    (left,) = set(os.listdir(shared)) - before  # all that was staged on the way has gone
+    assert [n for n in os.listdir(f"{shared}/{left}") if not n.startswith(".")] == ["4"]
     rows = out.collect()
     every = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     model = quality_fm.fit(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"))
