@@ -13,6 +13,9 @@ from ledgerloom.functions import codec
 from ledgerloom.operators import counts, digests, merge, order
 from ledgerloom.plans import sql
 
+#: Rows that a task of a check of references sorts, about.
+SORTED = 1 << 20
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -127,6 +130,8 @@ def parent_child_rollup(spark, sf_dir):
 UNION ALL SELECT 'account without slots', o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def orphan_check(spark, sf_dir):
     o, s = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key")), read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), s.count() // SORTED + 1)  # a task sorts as many rows, whatever the tables
+    o, s = o.repartition(n, "key"), s.repartition(n, "key")
     return s.join(o, "key", "left_anti").select(F.lit("slot without account").alias("fault"), "key").unionByName(o.join(s, "key", "left_anti").select(F.lit("account without slots").alias("fault"), "key"))
 
 
