@@ -1,6 +1,8 @@
 """What keeps tasks as large as they are when tables grow."""
 
-from ledgerloom.plans import queries
+import random
+
+from ledgerloom.plans import queries, trie
 from tests.oracle import DATA
 
 
@@ -9,3 +11,30 @@ def test_orphan_check_deals_by_rows(spark, monkeypatch):
     rows = queries.read(spark, DATA, "lineitem").count()
     plan = queries.orphan_check(spark, DATA)._jdf.queryExecution().toString()
     assert f"{rows // 1000 + 1}" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_many_subtrees_at_once():
+    """Equal to the builder of one; hashes are those of the blobs."""
+    draw = random.Random(3)
+    groups, values, want = [], [], []
+    for size in (1, 2, 3, 17, 200, 1):
+        pool = [bytes(32), *(draw.randbytes(32) for _ in range(3))]
+        keys = sorted({(draw.choice(pool)[: draw.randrange(32)] + draw.randbytes(32))[:32] for _ in range(size)} | {bytes(31) + b"\x01", bytes(31) + b"\x02"})
+        own = [draw.randbytes(draw.choice((1, 9, 70))) for _ in keys]
+        top, every = trie.build([(trie.nibbles(k), v) for k, v in zip(keys, own, strict=True)])
+        want.append((top.hash, top.blob, sorted(("".join(f"{d:x}" for d in x.at), x.hash, x.blob) for x in every if x is not top and len(x.blob) >= 32)))
+        groups.append((0, keys))
+        values += own
+    assert [(h, blob, sorted(below)) for h, blob, below in trie.subtrees(groups, values)] == want
+
+
+def test_plain_nodes_are_read_as_any(monkeypatch):
+    draw = random.Random(5)
+    keys = sorted(draw.randbytes(32) for _ in range(60))
+    (_, blob, below), = trie.subtrees([(0, keys)], [draw.randbytes(draw.choice((1, 9, 70))) for _ in keys])
+    blobs = [blob, *(b for *_, b in below)]
+    got = [trie.parts_of(b) for b in blobs]
+    assert any(trie._plain_branch(b) for b in blobs) and any(trie._plain_leaf(b) for b in blobs)
+    monkeypatch.setattr(trie, "_plain_branch", lambda b: None)
+    monkeypatch.setattr(trie, "_plain_leaf", lambda b: None)
+    assert got == [trie.parts_of(b) for b in blobs]
