@@ -2,7 +2,7 @@
 
 import random
 
-from ledgerloom.plans import queries, trie
+from ledgerloom.plans import formats, queries, trie
 from tests.oracle import DATA
 
 
@@ -38,3 +38,8 @@ def test_plain_nodes_are_read_as_any(monkeypatch):
     monkeypatch.setattr(trie, "_plain_branch", lambda b: None)
     monkeypatch.setattr(trie, "_plain_leaf", lambda b: None)
     assert got == [trie.parts_of(b) for b in blobs]
+
+
+def test_streams_follow_the_state(spark, monkeypatch):
+    monkeypatch.setattr(formats, "STREAMED", 10)
+    assert formats.streams_of(spark, spark.range(1000)) == 101 and formats.streams_of(spark, spark.range(5)) == 4
