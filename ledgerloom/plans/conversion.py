@@ -59,7 +59,7 @@ def replay(kv: DataFrame, head: history.Head, options: Options, progress: Progre
     code, summary = inputs.read_code(options.code), inputs.read_audit(options.audit) if options.audit else None
     if summary:
         audit.match_head(summary, head.number, "0x" + head.hash.hex(), "0x" + head.state_root.hex())
-    witness = _good(inputs.read_witness(spark, options.witness), "witness")
+    witness = _good(staged(inputs.read_witness(spark, options.witness), "witness"), "witness")
     retained = _good(inputs.read_retention(spark, options.retain, "0x" + options.token.hex()), "retention list") if options.retain else None
     with progress.phase("original state") as say:
         state = snapshot.traverse(kv, head.state_root)

@@ -15,7 +15,7 @@ from ledgerloom.functions import rlp
 from ledgerloom.functions.keccak import EMPTY_CODE, EMPTY_ROOT, keccak256, keccak_many
 from ledgerloom.operators import counts, digests, merge, order, stream
 from ledgerloom.plans import history, report, trie
-from ledgerloom.plans.staging import appearing, names_in, staged
+from ledgerloom.plans.staging import appearing, names_in, staged, tasks_for
 from ledgerloom.sources import inputs, records
 
 #: Prefixes of the path layout: nodes of the accounts' trie, of storage tries, flat accounts, flat slots; and of code in both layouts.
@@ -98,7 +98,8 @@ def traverse(kv: DataFrame, root: bytes) -> State:
     names = F.array(F.struct(F.lit("prefixed").alias("path"), F.concat(_bin(CODE), "code").alias("at")), F.struct(F.lit("bare").alias("path"), F.col("code").alias("at")))
     codes = code.select(F.col("code").alias("hash"), F.explode(names).alias("x")).select(_bin(b"").alias("owner"), "x.path", "hash", F.lit("code").alias("kind"), "x.at")
     wanted = reached.select("owner", "path", "hash", F.lit("node").alias("kind"), F.col("hash").alias("at")).unionByName(codes)
-    found = wanted.join(kv.select("key", "value"), F.col("at") == F.col("key")).select("owner", "path", "hash", "kind", "value")
+    tasks = tasks_for(spark, reached.count())
+    found = wanted.join(kv.select("key", "value"), F.col("at") == F.col("key")).select("owner", "path", "hash", "kind", "value").repartition(tasks, "hash")
     every = staged(found.mapInArrow(_wanted, trie.EXPANDED), "trie-values")
     accounts = staged(every.where("kind = 'leaf' AND octet_length(owner) = 0").select(F.unhex("path").alias("key"), "value").mapInArrow(_accounts, ACCOUNT), "accounts")
     slots = every.where("kind = 'leaf' AND octet_length(owner) > 0").select("owner", F.unhex("path").alias("key"), "value")

@@ -95,7 +95,8 @@ def read_witness(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.octet_length(line) > LINE, "line is too long").when(names.isNull(), "no JSON object").when(F.size(F.array_distinct(names)) != F.size(names), "a field occurs twice")
         .when(want.isNull(), "unknown type").when(F.array_sort(names) != want, "fields of another type").when(~good, "malformed address")
     )
-    return spark.read.text(path).select(kind.alias("type"), *[c.alias(n) for n, c in of.items()], fault.alias("fault"))
+    lines = spark.read.text(path).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # short lines: their work is more than their bytes say
+    return lines.select(kind.alias("type"), *[c.alias(n) for n, c in of.items()], fault.alias("fault"))
 
 
 def read_retention(spark: SparkSession, path: str, forbidden: str) -> DataFrame:

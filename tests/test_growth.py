@@ -2,7 +2,8 @@
 
 import random
 
-from ledgerloom.plans import formats, queries, trie
+from ledgerloom.plans import formats, patching, queries, trie
+from ledgerloom.plans.staging import ROWS
 from tests.oracle import DATA
 
 
@@ -13,6 +14,24 @@ def test_orphan_check_deals_by_rows(spark, monkeypatch):
     assert f"{rows // 1000 + 1}" in plan and "REPARTITION_BY_NUM" in plan
 
 
+def test_one_large_owner_is_no_task(spark, monkeypatch):
+    """A trie that is most of the leaves, and patches that are most of a trie, go to several tasks, and come out as from one."""
+    draw = random.Random(7)
+    leaves = {draw.randbytes(32): draw.randbytes(9) for _ in range(ROWS * 3)}
+    df = spark.createDataFrame([(bytearray(b"o"), bytearray(k), bytearray(v)) for k, v in leaves.items()], "owner binary, key binary, value binary").cache()
+    splits, risen = [], trie.risen
+    for module in (trie, patching):
+        monkeypatch.setattr(module, "risen", lambda level, split, nodes: splits.append(split) or risen(level, split, nodes))
+    nodes = trie.trie_nodes(df).cache()
+    assert bytes(nodes.where("path = ''").first().hash) == trie.root_of(leaves)
+    stay = dict(list(leaves.items())[:5])
+    gone = df.where(~df.key.isin([bytearray(k) for k in stay])).selectExpr("owner", "key", "CAST(NULL AS BINARY) AS value")
+    after = patching.patched_nodes(nodes, patching.changes(nodes, gone))
+    assert bytes(after.where("path = ''").first().hash) == trie.root_of(stay)
+    assert {(r.path, bytes(r.blob)) for r in after.collect()} == {(r.path, bytes(r.blob)) for r in trie.trie_nodes(df.join(gone, "key", "left_anti").select("owner", "key", "value")).collect()}
+    assert splits == [1, 1, 0]
+
+
 def test_many_subtrees_at_once():
     """Equal to the builder of one; hashes are those of the blobs."""
     draw = random.Random(3)
