@@ -8,10 +8,15 @@ closed, and known, when the order leaves it. What phrases are made of is joined
 Before the shuffle equal suffixes of a chunk are added up, and a chunk comes out in order, which makes sorting a merge.
 Words that begin over 1/HEAVY of all suffixes go by their second word too, and such pairs by all words; their own counts
 are added up over the parts.
+
+No phrase occurs more often than a word of it. So a suffix ends before a word that is too rare, and one that begins with
+such a word is left out; words are counted by hash before, so that none is taken for rarer than it is.
 """
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +29,10 @@ from ledgerloom.llm.common import small_batches, staged, summed_before, table
 LONGEST, LEAST, TOP, WITHIN = 3, 10, 2000, 50
 #: Suffixes that are added up before the shuffle.
 CHUNK = 1 << 19
+#: Suffixes that are counted at once: Arrow batches are short, for the sake of whole texts.
+TOGETHER = 1 << 15
+#: Numbers that words are hashed to, a bit each in every task; a task adds up so many of their counts.
+BUCKETS, COUNTED = 1 << 26, 1 << 22
 #: Fewer words, and fewer pairs, than this are heavy, whatever the input.
 HEAVY = 1024
 #: A-Z lower-cased; what parts pieces becomes a full stop, which no word can have then; the other space a blank.
@@ -106,11 +115,33 @@ def _distinct(first: np.ndarray, bound: int, columns: list[np.ndarray], base: in
     return [first[at], *(c[at] for c in columns)], n
 
 
+def _buckets(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), dtype=np.int64, count=len(words)) & (BUCKETS - 1)
+
+
+def _table(phrases, words, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(words, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "words", "n"])
+
+
+def _hashed(waiting: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(buckets, counts) to (bucket of 4 bytes, -1, n), one a bucket."""
+    of, at = np.unique(np.concatenate([b for b, _ in waiting]), return_inverse=True)
+    n = np.bincount(at, weights=np.concatenate([n for _, n in waiting])).astype(np.int64)
+    keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4), len(of), [None, pa.py_buffer(of.astype(">u4").tobytes())])
+    return _table(keys.cast(pa.binary()), np.full(len(of), -1), n)
+
+
 def _frequent(longest: int):
-    """(lang, text) to (phrase, words, n): of each chunk the words of each language (words: 0), and of its words and pairs those that may be heavy."""
+    """(lang, text) to (phrase, words, n): of each chunk the words of each language (words: 0), and of its words and pairs those that may be heavy; and all words by hash (words: -1)."""
 
     def run(batches):
+        waiting, size = [], 0
         for names, words, lang, columns in _chunks(batches, longest, ordered=False):
+            waiting.append((_buckets(words[1:]), np.bincount(columns[0], minlength=len(words))[1:]))
+            size += len(words)
+            if size >= COUNTED:
+                yield _hashed(waiting)
+                waiting, size = [], 0
             out = [(names[k], 0, n) for k, n in enumerate(np.bincount(lang).tolist()) if n]
             for depth in range(1, min(3, longest)):
                 if depth == 1:  # what is rare in all languages is rare in each
@@ -121,17 +152,25 @@ def _frequent(longest: int):
                 heavy = n * 2 * HEAVY > len(lang)
                 found, n = [c[heavy] for c in found], n[heavy]
                 out += [(b"\t".join([names[k], *[words[c] for c in of]]), depth, i) for k, *of, i in zip(*(c.tolist() for c in found), n.tolist(), strict=True)]
-            phrase, depth, n = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(phrase, pa.binary()), pa.array(depth, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "words", "n"])
+            yield _table(*(zip(*out, strict=True) if out else ((), (), ())))
+        if waiting:
+            yield _hashed(waiting)
 
     return run
 
 
-def _suffixes(longest: int, heavy: set[bytes]):
-    """(lang, text) to (head, tail, n): a suffix's words, each followed by a tab, after its language; the head is what it is shuffled by."""
+def _suffixes(longest: int, heavy: set[bytes], often: np.ndarray):
+    """(lang, text) to (head, tail, n): a suffix's words, each followed by a tab, after its language; the head is what it is shuffled by. often: a bit for each bucket, of words that may occur often enough."""
 
     def run(batches):
         for names, words, lang, columns in _chunks(batches, longest):
+            bucket = _buckets(words)
+            there = (often[bucket >> 6] >> (bucket & 63) & 1).astype(bool)
+            there[0] = False
+            own = there[columns[0]]
+            lang, columns = lang[own], [c[own] for c in columns]
+            for k in range(1, longest):
+                columns[k] = np.where((columns[k - 1] > 0) & there[columns[k]], columns[k], 0)
             (lang, *columns), n = _distinct(lang, len(names), columns, len(words))
             lang, columns, n = lang[::-1], [c[::-1] for c in columns], n[::-1]
             number = {w: k for k, w in enumerate(words)}
@@ -154,19 +193,27 @@ def _suffixes(longest: int, heavy: set[bytes]):
     return run
 
 
+def _together(batches):
+    """Batches joined to such of TOGETHER rows or more, but for the last."""
+    waiting, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.num_rows
+        if size >= TOGETHER:
+            yield pa.concat_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def _counted(longest: int, least: int):
     """(head, tail, n) in reverse order to (phrase, words, n): each phrase that occurs often enough, or of which other tasks have more."""
 
     def run(batches):
         stack: list = [None] * longest  # by number of words: the phrase that is open, its count, and whether to tell it
 
-        def told(rows):
-            phrase, size, n = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(phrase, pa.binary()), pa.array(size, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "words", "n"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _together(batches):
             head, tail, n = batch.column(0), batch.column(1), batch.column(2).to_numpy()
             parts = pc.split_pattern(pc.binary_join_element_wise(head, tail, b""), b"\t")
             low = parts.offsets.to_numpy()
@@ -195,9 +242,9 @@ def _counted(longest: int, least: int):
                 tell = np.flatnonzero(there[:-1] & (part[:-1] | (total[:-1] >= least)))
                 closed += zip(spelled(start[tell]), [size] * len(tell), total[tell].tolist(), strict=True)
             if closed:
-                yield told(closed)
+                yield _table(*zip(*closed, strict=True))
         if rest := [(s[0], k, s[1]) for k, s in enumerate(stack, 1) if s and (s[2] or s[1] >= least)]:
-            yield told(rest)
+            yield _table(*zip(*rest, strict=True))
 
     return run
 
@@ -209,10 +256,15 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     """(lang, n): words of each language; (phrase, words, n): occurrences of each phrase of up to `longest` words that has `least` or more, led by the language and a tab, words parted by tabs."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), docs["text"].cast("binary").alias("text"))
-    seen = staged(texts.mapInArrow(_frequent(longest), COUNTS).groupBy("phrase", "words").agg(F.sum("n").alias("n")), "phrase-heavy")
+    seen = texts.mapInArrow(_frequent(longest), COUNTS).groupBy("phrase", "words").agg(F.sum("n").alias("n"))
+    seen = staged(seen.where((F.col("words") >= 0) | (F.col("n") >= least)), "phrase-heavy")
     total = seen.where("words = 0").agg(F.sum("n")).first()[0] or 0
     heavy = {bytes(r.phrase) for r in seen.where((F.col("words") > 0) & (F.col("n") * HEAVY > total)).collect()}  # fewer than HEAVY of each length
-    suffixes = texts.mapInArrow(_suffixes(longest, heavy), "head binary, tail binary, n long")
+    bucket = F.conv(F.hex("phrase"), 16, 10).cast("long")
+    bits = seen.where("words = -1").groupBy((bucket / 64).cast("long").alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bucket % 64).cast("int"))).alias("bits")).toArrow()
+    often = np.zeros(BUCKETS // 64, dtype=np.int64)  # 8 MB, whatever the input
+    often[bits["at"].to_numpy()] = bits["bits"].to_numpy()
+    suffixes = texts.mapInArrow(_suffixes(longest, heavy, often), "head binary, tail binary, n long")
     ordered = suffixes.repartition("head").sortWithinPartitions(F.desc("head"), F.desc("tail"))
     found = ordered.mapInArrow(_counted(longest, least), COUNTS).groupBy("phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return seen.where("words = 0").select(F.col("phrase").cast("string").alias("lang"), "n"), staged(found.withColumn("phrase", F.col("phrase").cast("string")), "phrase-counts")

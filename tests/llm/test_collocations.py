@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import collocations
@@ -85,3 +87,23 @@ def test_products_pass_64_bits(spark, monkeypatch):
     monkeypatch.setattr(collocations, "phrase_counts", scaled)
     got = sorted((r.lang, r.rank, r.phrase, r.a, r.score) for r in collocations.collocations(df).collect())
     assert got == sorted((lang, rank, phrase, a * times, score) for lang, rank, phrase, a, _, _, _, score in brute(rows, 3, 10, 2000, 50))
+
+
+def test_short_batches_are_counted_together():
+    words = sorted((f"w{i:06d}" for i in range(64_000)), reverse=True)
+    rows = pa.table({"head": pa.array([f"en\t{w}\t".encode() for w in words]), "tail": pa.array([b""] * len(words)), "n": pa.array([10] * len(words))})
+    out = list(collocations._counted(3, 10)(iter(rows.to_batches(max_chunksize=1000))))
+    assert len(out) <= 3 and sum(b.num_rows for b in out) == len(words)
+    got = {p: n for b in out for p, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)}
+    assert got == {f"en\t{w}".encode(): 10 for w in words}
+
+
+def test_suffixes_end_before_rare_words():
+    """By hash, so that a word is kept that shares its number with a frequent one; what starts with a rare word is left out."""
+    often = np.zeros(collocations.BUCKETS // 64, dtype=np.int64)
+    for b in collocations._buckets([b"a", b"b"]).tolist():
+        often[b >> 6] |= np.uint64(1 << (b & 63)).astype(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([b"a b once a b a. b"])], names=["lang", "text"])
+    out = pa.Table.from_batches(collocations._suffixes(3, set(), often)([batch])).to_pylist()
+    got = {r["head"] + r["tail"]: r["n"] for r in out}
+    assert got == {b"en\ta\tb\t": 1, b"en\tb\t": 2, b"en\ta\tb\ta\t": 1, b"en\tb\ta\t": 1, b"en\ta\t": 1}
