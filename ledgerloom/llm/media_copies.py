@@ -2,37 +2,43 @@
 
 Corners, a number by area, are found on a pyramid of scales; around each, binary tests between pairs of pixels are turned by the patch's
 orientation. A descriptor's segments are keys of hash tables: images that share a key are compared in full, descriptor
-by descriptor under Hamming distance, and are copies if enough matches agree on one similarity transform.
+by descriptor under Hamming distance, and are copies if enough matches agree on one similarity transform. Of a bucket
+each image is compared with the least first; what that links is compared all with all by blocks, within tasks.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
+from math import exp
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import join_weighted, small_batches, staged, table
+from ledgerloom.llm.common import join_weighted, shuffles_go, small_batches, staged, table, unstaged
 from ledgerloom.llm.components import connected
 
 #: Pyramid: scales of its levels, which cover the turns that are accepted; a corner is the strongest so many pixels around, so that their number grows with the area.
 LEVELS = tuple(0.8**k for k in range(5))
 APART = 6
-#: Bits of a descriptor, radius of the patch in which orientation and tests lie; bits of a table's key, where the tables' segments begin.
+#: Bits of a descriptor, radius of the patch in which orientation and tests lie; bits of a table's key, where the tables' segments begin (they go round).
 BITS, RADIUS = 256, 10
-SEGMENT = 32
-STARTS = tuple(range(0, BITS, SEGMENT))
+SEGMENT = 54
+STARTS = tuple(BITS * k // 8 for k in range(8))
 TURNS = 32
+#: Tests see pixels that are smoothed by these boxes: noise turns few bits, so that keys can be long, and unlike images seldom share one.
+SMOOTH = (5, 5)
+#: Tests chosen one after another lie so many parts of a descriptor apart.
+PARTS = 8
 #: Bits in which matching descriptors may differ; pixels by which a match may miss the transform; matches that must agree.
 DIFFER, MISS, AGREE = 64, 3.0, 6
 #: Images of the usual size that are described at once; images of a block, of which a larger bucket has several.
 IMAGES, BUCKET = 64, 256
 #: Transforms that may agree by chance, of two images.
 CHANCE = 0.05
-#: Corners that are described at once; distances, or points under transforms, that are worked out at once.
-CORNERS, CELLS = 4096, 1 << 21
+#: Corners that are described at once; distances, or points under transforms, that are worked out at once; points whose distances to all are.
+CORNERS, CELLS, PLACES = 4096, 1 << 21, 128
 
 
 #: Binary tests that are drawn, of which BITS are chosen; how wide they lie, in parts of RADIUS; how one-sided a chosen one may be.
@@ -44,7 +50,7 @@ def _tests(seed: int = 5):
     """Offsets by turn, test and end, as (x, y): tests whose bits are even and depend little on each other, over corners of random pictures of several grains.
 
     Chosen greedily, the evenest first, under the least bound on correlation that leaves enough of them; those that
-    were chosen one after another go to different segments. Keys of dependent bits would bring unlike images together.
+    were chosen one after another lie apart. Keys of dependent bits would bring unlike images together.
     """
     draw = np.random.default_rng(seed)
     points = np.clip(draw.normal(0, RADIUS * WIDE, (POOL, 2, 2)), -RADIUS * FAR, RADIUS * FAR)
@@ -72,7 +78,7 @@ def _tests(seed: int = 5):
                 worst = np.maximum(worst, alike[k])
         if len(chosen) == BITS:
             break
-    return tests[:, np.array(chosen).reshape(-1, len(STARTS)).T.ravel()]
+    return tests[:, np.array(chosen).reshape(-1, PARTS).T.ravel()]
 
 
 def _box(a: np.ndarray, size: int) -> np.ndarray:
@@ -124,12 +130,15 @@ def describe(images: np.ndarray, tests: np.ndarray) -> list:
         corner = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
         inner = corner[:, edge:-edge, edge:-edge]
         every = np.nonzero((inner >= _highest(inner)) & (inner > 1.0))
+        soft = a
+        for size in SMOOTH:
+            soft = _box(soft, size)
         for k in range(0, len(every[0]), CORNERS):
             which, y, x = every[0][k : k + CORNERS], every[1][k : k + CORNERS] + edge, every[2][k : k + CORNERS] + edge
             patch = a[which[:, None], y[:, None] + disc[:, 1], x[:, None] + disc[:, 0]]
             turn = np.rint(np.arctan2(patch @ disc[:, 1], patch @ disc[:, 0]) * TURNS / (2 * np.pi)).astype(np.int64) % TURNS
             offset = tests[turn]
-            value = a[which[:, None, None], np.clip(y[:, None, None] + offset[..., 1], 0, h - 1), np.clip(x[:, None, None] + offset[..., 0], 0, w - 1)]
+            value = soft[which[:, None, None], np.clip(y[:, None, None] + offset[..., 1], 0, h - 1), np.clip(x[:, None, None] + offset[..., 0], 0, w - 1)]
             bits = np.packbits(value[..., 0] < value[..., 1], axis=1)
             points = ((x + 0.5) + 1j * (y + 0.5)) / scale
             for at, i in enumerate(which):
@@ -172,18 +181,19 @@ def _descriptors(tests: np.ndarray):
 
 
 def _keys(batches):
-    """(image_id, bits) to (key, image_id): the number of a segment and its bits, once an image."""
+    """(node, bits) to (key, node): the number of a segment and its bits, once an image."""
     place = 1 << np.arange(SEGMENT, dtype=np.int64)
     for batch in batches:
         keys, ids = [], []
         for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             bits = np.unpackbits(np.frombuffer(raw.as_py(), dtype=np.uint8).reshape(-1, BITS // 8), axis=1).astype(np.int64)
+            bits = np.concatenate([bits, bits[:, :SEGMENT]], axis=1)
             parts = [bits[:, s : s + SEGMENT] @ place | k << SEGMENT for k, s in enumerate(STARTS)]
             key = np.unique(np.concatenate(parts))
             keys.append(key)
             ids.append(np.full(len(key), i, dtype=np.int64))
         cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([cat(keys), cat(ids)], names=["key", "image_id"])
+        yield pa.RecordBatch.from_arrays([cat(keys), cat(ids)], names=["key", "node"])
 
 
 def _nearest(da: np.ndarray, db: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,8 +201,9 @@ def _nearest(da: np.ndarray, db: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     to, to_at = np.empty(len(da), dtype=np.int64), np.empty(len(da), dtype=np.int64)
     back, back_at = np.zeros(len(db), dtype=np.int64), np.full(len(db), BITS + 1)
     step = max(1, CELLS // len(db))
+    halves = [np.unpackbits(np.ascontiguousarray(d).view(np.uint8), axis=1).astype(np.float32) - 0.5 for d in (da, db)]
     for k in range(0, len(da), step):
-        apart = np.bitwise_count(da[k : k + step, None] ^ db[None]).sum(axis=2, dtype=np.int64)
+        apart = BITS / 2 - 2 * (halves[0][k : k + step] @ halves[1].T)  # equal bits add a quarter, others take one: exact
         to[k : k + step], to_at[k : k + step] = apart.argmin(axis=1), apart.min(axis=1)
         least = apart.min(axis=0)
         back = np.where(least < back_at, apart.argmin(axis=0) + k, back)
@@ -203,17 +214,24 @@ def _nearest(da: np.ndarray, db: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _places(z: np.ndarray) -> np.ndarray:
     """For each point the first that stands for it: levels find one corner several times."""
-    label = np.full(len(z), -1)
-    for i in range(len(z)):
-        if label[i] < 0:
-            label[(label < 0) & (np.abs(z - z[i]) <= 2 * MISS)] = i
-    return np.unique(label, return_inverse=True)[1]
+    label, n, free = np.empty(len(z), dtype=np.int64), 0, (1 << len(z)) - 1
+    for start in range(0, len(z), PLACES):
+        near = np.packbits(np.abs(z[start : start + PLACES, None] - z) <= 2 * MISS, axis=1, bitorder="little")
+        for i, row in enumerate(near, start):
+            if free >> i & 1:
+                own = int.from_bytes(row.tobytes(), "little") & free
+                free ^= own
+                while own:
+                    label[(own & -own).bit_length() - 1] = n
+                    own &= own - 1
+                n += 1
+    return label
 
 
 def _needed(m: int, z: np.ndarray) -> int:
     """Places that must agree: AGREE, or as many as chance is not expected to bring together among the transforms of m matches to points z."""
     by_chance = m * np.pi * MISS * MISS / max(float(np.ptp(z.real) * np.ptp(z.imag)), 1.0)
-    term, tail = np.exp(-by_chance), 1.0
+    term, tail = exp(-by_chance), 1.0
     for k in range(m):
         if k + 2 >= AGREE and m * m / 2 * tail < CHANCE:
             return k + 2
@@ -233,10 +251,11 @@ def agreeing(za: np.ndarray, da: np.ndarray, zb: np.ndarray, db: np.ndarray) ->
     if min(p.max() for p in places) + 1 < AGREE:
         return 0
     needed = _needed(len(own), zb)
-    best, step = 0, max(1, CELLS // len(a) ** 2)
-    for k in range(0, len(a), step):  # the transforms of some points with all later ones
+    best, k, step, most = 0, 0, 1, max(1, CELLS // len(a) ** 2)
+    while k < len(a):  # the transforms of some points with all later ones: of a few first, which do for most copies
         i, j = np.nonzero(np.arange(k, min(k + step, len(a)))[:, None] < np.arange(len(a)))
         i += k
+        k, step = k + step, min(4 * step, most)
         far = (np.abs(a[i] - a[j]) > 2 * MISS) & (b[i] != b[j])
         i, j = i[far], j[far]
         turn = (b[i] - b[j]) / (a[i] - a[j])
@@ -245,56 +264,118 @@ def agreeing(za: np.ndarray, da: np.ndarray, zb: np.ndarray, db: np.ndarray) ->
         shift = b[i] - turn * a[i]
         hits = np.abs(turn[:, None] * a + shift[:, None] - b) <= MISS
         for h in hits[hits.sum(axis=1) >= needed]:
-            best = max(best, min(len(np.unique(p[h])) for p in places))
+            best = max(best, min(len(set(p[h].tolist())) for p in places))
             if best >= needed:
                 return best
     return min(best, AGREE - 1)
 
 
-def _verified(batches):
-    """(a, ids, points and bits of a; b, points and bits of some b) to (u, v): pairs of which AGREE matches agree."""
+def _points(xs, ys, bits):
+    return np.asarray(xs.values) + 1j * np.asarray(ys.values), np.frombuffer(bits.as_py(), dtype=np.uint64).reshape(-1, BITS // 64)
 
-    def points(xs, ys, bits):
-        return np.asarray(xs.values) + 1j * np.asarray(ys.values), np.frombuffer(bits.as_py(), dtype=np.uint64).reshape(-1, BITS // 64)
 
+def _verified(batches):
+    """Rows sorted by (a, salt, b): the one without b has the points of a, the others those of images to compare with it. To (u, v), the pairs of which AGREE matches agree."""
+    at, one = None, None
     for batch in batches:
         us, vs = [], []
-        for k in range(batch.num_rows):
-            one = points(*(batch.column(c)[k] for c in (1, 2, 3)))
-            for other in batch.column(4)[k].values:
-                if agreeing(*one, *points(*(other[c] for c in ("xs", "ys", "bits")))) >= AGREE:
-                    us.append(batch.column(0)[k].as_py())
-                    vs.append(other["image_id"].as_py())
+        for k, (a, salt, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
+            points = _points(*(batch.column(c)[k] for c in (3, 4, 5)))
+            if b is None:
+                at, one = (a, salt), points
+            elif at == (a, salt) and agreeing(*one, *points) >= AGREE:
+                us.append(a)
+                vs.append(b)
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
-#: Images that one is compared with in a row.
-GROUP = 64
+#: Images that one is compared with in a group of rows; images of a block of a component, of which two meet in a task.
+GROUP, BLOCK = 64, 64
+#: Parts in which pairs are compared, one after another: what one has shuffled goes before the next begins.
+SLICES = 3
+POINTS = ["xs", "ys", "bits"]
 
 
 def _linked(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points agree, as (u, v). Points of b travel once a pair, those of a once for each GROUP of its pairs."""
-    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(1 << 20)).alias("salt"))
     counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    others = salted.join(counted, "a").withColumn("salt", F.pmod("salt", "groups")).join(points.withColumnRenamed("image_id", "b"), "b")
-    lists = others.groupBy("a", "salt").agg(F.collect_list(F.struct(F.col("b").alias("image_id"), "xs", "ys", "bits")).alias("others"))
-    both = lists.join(points.withColumnRenamed("image_id", "a"), "a").select("a", "xs", "ys", "bits", "others")
-    return staged(both.mapInArrow(_verified, "u long, v long"), "media-links")
-
-
-def _met(entry: DataFrame) -> DataFrame:
-    """entry (key, image_id) to the distinct pairs (a, b), a < b, that share a key; a large bucket's are formed by blocks against blocks, in many tasks.
+    others = pairs.join(counted, "a").select("a", F.pmod(F.xxhash64("b"), "groups").alias("salt"), "b", F.col("b").alias("node"))
+    own = counted.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), F.col("a").alias("node"))
+    sides, links = staged(others.unionByName(own), "media-sides"), []
+    for k in range(SLICES):
+        both = sides.where(F.pmod(F.xxhash64("a"), F.lit(SLICES)) == k).join(points, "node").select("a", "salt", "b", *POINTS)
+        both = both.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        links.append(staged(both.mapInArrow(_verified, "u long, v long"), "media-links"))
+    return reduce(DataFrame.unionByName, links)
+
+
+def _among(batches):
+    """Rows sorted by (root, i, j), block, node and points, to (node, links): all pairs of block i with block j, or of i with itself."""
+
+    def compared(group):
+        links = dict.fromkeys((node for _, node, _ in group), 0)
+        group.sort(key=lambda x: x[1])  # the smaller node first, as everywhere
+        for k, (block, a, one) in enumerate(group):
+            for other, b, two in group[k + 1 :]:
+                if (block != other) == apart and agreeing(*one, *two) >= AGREE:
+                    links[a] += 1
+                    links[b] += 1
+        return links
+
+    def told(found):
+        return pa.RecordBatch.from_arrays([pa.array([n for n, c in found if c], pa.int64()), pa.array([c for _, c in found if c], pa.int64())], names=["node", "links"])
+
+    at, group, apart = None, [], False
+    for batch in batches:
+        found = []
+        for k, (*key, block, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)):
+            if key != at:
+                found += compared(group).items()
+                at, group, apart = key, [], key[1] != key[2]
+            group.append((block, node, _points(*(batch.column(c)[k] for c in (5, 6, 7)))))
+        yield told(found)
+    yield told(compared(group).items())
+
+
+def _counted(roots: DataFrame, links: DataFrame, points: DataFrame) -> DataFrame:
+    """(node, links): how many of its component's other nodes each agrees with. Those of two nodes have their link; others' nodes meet by blocks, and no pair of them is a row."""
+    sizes = staged(roots.groupBy("root").agg(F.count("*").alias("of")).withColumn("blocks", F.ceil(F.col("of") / BLOCK).cast("int")), "media-sizes")
+    sized = join_weighted(roots, sizes.select("root", "of", F.col("of").alias("n"), "blocks"), "root", "n")
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    met = sized.where("of > 2").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
+    met = met.join(points, "node").select("root", "i", "j", "block", "node", *POINTS).repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    many = met.mapInArrow(_among, "node long, links long")
+    return staged(sized.where("of = 2").select("node", F.lit(1).cast("long").alias("links")).unionByName(many.groupBy("node").agg(F.sum("links").alias("links"))), "media-counts")
+
+
+def _met(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """keys (key, node) to the pairs (a, b) of each bucket's least node with the others, and to the entries (key, root, node) of buckets of over two, root being the least.
 
     Keys are counted by an aggregate, so that a hot one is no task's, and joined by weight.
     """
-    entry = staged(entry, "media-keys")
-    shared = staged(entry.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")), "media-shared")
-    sized = join_weighted(entry, shared, "key", "n").where("blocks IS NOT NULL")
-    sized = staged(sized.withColumn("block", F.pmod(F.xxhash64("image_id"), "blocks").cast("int")), "media-buckets")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("root"), F.max("node").alias("last")).where("n > 1")
+    shared = staged(shared, "media-shared")
+    entries = join_weighted(keys, shared.where("n > 2").select("key", "root", "n"), "key", "n").where("root IS NOT NULL")
+    entries = staged(entries.select("key", "root", "node"), "media-buckets")
+    pairs = shared.where("n = 2").select(F.col("root").alias("a"), F.col("last").alias("b"))
+    pairs = pairs.unionByName(entries.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    return staged(pairs.distinct(), "media-pairs"), entries
+
+
+def _across(entries: DataFrame, roots: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b), a < b, that share a key, lie in different components and are not known; a large bucket's are formed by blocks against blocks, in many tasks."""
+    of = entries.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of = staged(of, "media-entries")
+    mixed = of.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    mixed = staged(mixed.select("key", "n", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks")), "media-mixed")
+    sized = join_weighted(of, mixed, "key", "n").where("blocks IS NOT NULL")
+    sized = staged(sized.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "media-blocks")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = sized.select("key", F.col("image_id").alias("a"), F.col("block").alias("i"), every.alias("j"))
-    right = sized.select("key", F.col("image_id").alias("b"), every.alias("i"), F.col("block").alias("j"))
-    return staged(left.join(right, ["key", "i", "j"]).where("a < b").select("a", "b").distinct(), "media-pairs")
+    left = sized.select("key", F.col("node").alias("a"), F.col("root").alias("of_a"), F.col("block").alias("i"), every.alias("j"))
+    right = sized.select("key", F.col("node").alias("b"), F.col("root").alias("of_b"), every.alias("i"), F.col("block").alias("j"))
+    pairs = left.join(right, ["key", "i", "j"]).where("a < b AND of_a != of_b").select("a", "b").distinct()
+    return staged(pairs.join(known, ["a", "b"], "left_anti"), "media-pairs")
 
 
 def copies(images: DataFrame) -> DataFrame:
@@ -302,23 +383,35 @@ def copies(images: DataFrame) -> DataFrame:
 
     Equal pixels are one class, in which one stands for all; component_id is the smallest id of the classes that links
     reach, null if none has one; links counts the verified ones of the image's class. Any two classes that share a table
-    key are compared, so that a group of n different copies gives up to n * (n - 1) / 2 links, all of which are counted.
+    key are compared, and all of a component that links of a bucket's classes with its least make, so that a group of n
+    different copies has up to n * (n - 1) / 2 links, all of which are counted, within tasks.
     Rows without an id, and rows of one id with other pixels, are images of their own. Null pixels, and sizes that do not
     fit them, have no points: only equal ones link.
     """
     small_batches(images.sparkSession, 4 * IMAGES)
-    rows = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors(_tests()), "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
-    any_of = [F.any_value(c).alias(c) for c in ("xs", "ys", "bits")]  # equal pixels have equal points
-    classes = staged(rows.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n"), *any_of).withColumn("node", F.xxhash64("digest")), "media-classes")
-    points = classes.select(F.col("node").alias("image_id"), "xs", "ys", "bits")
-    links = _linked(_met(points.select("image_id", "bits").mapInArrow(_keys, "key long, image_id long")), points)
+    shuffles_go(images.sparkSession)
+    described = staged(images.select(F.col("image_id").cast("long").alias("image_id"), F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "pixels").mapInArrow(_descriptors(_tests()), "image_id long, digest binary, xs array<float>, ys array<float>, bits binary"), "media-points")
+    any_of = [F.any_value(c).alias(c) for c in POINTS]  # equal pixels have equal points
+    classes = described.groupBy("digest").agg(F.min("image_id").alias("first"), F.count("*").alias("n"), *any_of)
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "media-classes")  # numbered once, as written
+    points = classes.select("node", *POINTS)
+    rows = staged(described.select("image_id", "digest"), "media-rows")
+    unstaged(described)
+    pairs, entries = _met(points.select("node", "bits").mapInArrow(_keys, "key long, node long"))
+    links = _linked(pairs, points)
     roots = staged(connected(links), "media-roots")
-    counted = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    labels = classes.select("digest", "first", "n", "node").join(roots, "node", "left").join(counted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    across = _across(entries, roots, pairs)
+    counts = _counted(roots, links, points)
+    if across.take(1):
+        more = _linked(across, points)
+        counts = counts.unionByName(more.select(F.explode(F.array("u", "v")).alias("node"), F.lit(1).cast("long").alias("links")))
+        roots = staged(connected(links.unionByName(more)), "media-roots")
+    counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
+    labels = classes.select("digest", "first", "n", "node").join(roots, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labels = staged(labels.select("digest", "first", "n", "root", F.coalesce("links", F.lit(0)).alias("links")), "media-labels")
     least = staged(labels.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("of")), "media-least")
     labels = join_weighted(labels, least, "root", "of").select("digest", "component_id", "links", "n")
-    return join_weighted(rows.select("image_id", "digest"), staged(labels, "media-classes-labelled"), "digest", "n").select("image_id", "component_id", "links")
+    return join_weighted(rows, staged(labels, "media-classes-labelled"), "digest", "n").select("image_id", "component_id", "links")
 
 
 # --- images to look at: the tables hold none, so each vector is drawn, and once more as a cropped and edited copy

@@ -586,6 +586,19 @@ def test_images_with_strong_noise_are_candidates(spark):
     assert found(spark, [(picture(s, 96), noisy(picture(s, 96), 20, s)) for s in range(40)]) >= 39
 
 
+def test_unlike_images_seldom_share_a_key():
+    """Of the pairs of 200 different pictures hardly any is a candidate; noisy copies still are."""
+    import pyarrow as pa
+
+    def keys(a):
+        _, d = media_copies.describe(np.clip(a, 0, 255).astype(np.uint8)[None], media_copies._tests())[0]
+        return set(next(media_copies._keys([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"".join(x.tobytes() for x in d)])], names=["id", "bits"])])).column(0).to_pylist())
+
+    every = [keys(picture(1000 + s, 96)) for s in range(200)]
+    assert sum(bool(a & b) for k, a in enumerate(every) for b in every[:k]) <= 4
+    assert sum(bool(keys(noisy(picture(1000 + s, 96), 25, s)) & every[s]) for s in range(40)) >= 36
+
+
 def test_image_links_against_all_pairs(spark):
     """The query's own pictures: links of all pairs are found, and no others."""
     vectors = spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").limit(60)
