@@ -1,8 +1,12 @@
 """What keeps tasks as large as they are when tables grow."""
 
+import os
 import random
 
-from ledgerloom.plans import formats, patching, queries, trie
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import formats, patching, queries, staging, trie
 from ledgerloom.plans.staging import ROWS
 from tests.oracle import DATA
 
@@ -62,3 +66,41 @@ def test_plain_nodes_are_read_as_any(monkeypatch):
 def test_streams_follow_the_state(spark, monkeypatch):
     monkeypatch.setattr(formats, "STREAMED", 10)
     assert formats.streams_of(spark, spark.range(1000)) == 101 and formats.streams_of(spark, spark.range(5)) == 4
+
+
+@pytest.mark.parametrize("name", ["patched_trie_roots"])
+def test_tries_are_gone_through_by_slices(spark, monkeypatch, tmp_path, name):
+    """Each owner's trie is built once; when a slice begins, what those before it staged is gone; the rows are those of one slice."""
+    built, there, nodes_of = [], [], trie.trie_nodes
+
+    def nodes(leaves, **options):
+        built.append({bytes(r.owner) for r in leaves.select("owner").distinct().collect()})
+        there.append(sorted(d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)))
+        assert spark.conf.get(staging.CLEANUP) == "true"
+        return nodes_of(leaves, **options)
+
+    lines = queries.read(spark, DATA, "lineitem")
+    owners = lines.select("l_suppkey").distinct().count()
+    whole = sorted(map(tuple, queries.QUERIES[name](spark, DATA).collect()))
+    monkeypatch.setattr(trie, "trie_nodes", nodes)
+    monkeypatch.setattr(staging, "SLICED", lines.count() // 3)
+    monkeypatch.setattr(staging, "shared_dir", lambda _: f"file://{tmp_path}")
+    assert sorted(map(tuple, queries.QUERIES[name](spark, DATA).collect())) == whole
+    assert len(built) == 4 and sum(map(len, built)) == len(set().union(*built)) == owners and max(map(len, built)) < owners
+    assert there[1] == there[2] == there[3] and len(there[1]) == len(there[0]) + 1
+    assert len(os.listdir(tmp_path)) == 1
+
+
+def test_slices_have_all_rows(spark, monkeypatch):
+    """Also rows without a key, keys that only the other table has, and slices without rows."""
+    monkeypatch.setattr(staging, "SLICED", 2)
+    table = spark.createDataFrame([(k % 3 if k % 4 else None, k) for k in range(20)], "k int, v long")
+    other = spark.createDataFrame([(k,) for k in range(7)], "k long")
+    both = lambda part, own: part.select("k", "v").unionByName(own(other, "k").selectExpr("int(k) AS k", "-k AS v"))
+    got = staging.by_slices(table, "k", "halves", both)
+    want = [tuple(r) for r in table.collect()] + [(k, -k) for k in range(7)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    seen = []
+    staging.by_slices(table, "k", "seen", lambda part, own: seen.append(({r.k for r in part.collect()}, {r.k for r in own(other, "k").collect()})) or part)
+    assert len(seen) == 11 and all(not mine & {k for j, (a, b) in enumerate(seen) if j != i for k in a | b} for i, (mine, _) in enumerate(seen))
+    assert sorted(k for _, b in seen for k in b) == list(range(7))
