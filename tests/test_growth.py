@@ -68,7 +68,7 @@ def test_streams_follow_the_state(spark, monkeypatch):
     assert formats.streams_of(spark, spark.range(1000)) == 101 and formats.streams_of(spark, spark.range(5)) == 4
 
 
-@pytest.mark.parametrize("name", ["patched_trie_roots"])
+@pytest.mark.parametrize("name", ["patched_trie_roots", "trie_scan"])
 def test_tries_are_gone_through_by_slices(spark, monkeypatch, tmp_path, name):
     """Each owner's trie is built once; when a slice begins, what those before it staged is gone; the rows are those of one slice."""
     built, there, nodes_of = [], [], trie.trie_nodes
